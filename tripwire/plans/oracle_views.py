@@ -13,6 +13,27 @@ ENCODE = ("concat(concat_ws(',', CAST(step AS VARCHAR), type, CAST(amount_c AS V
           "CAST(oldbalanceOrg_c AS VARCHAR), CAST(newbalanceOrig_c AS VARCHAR), "
           "CAST(oldbalanceDest_c AS VARCHAR), CAST(newbalanceDest_c AS VARCHAR)), '" + SALT + "')")
 
+def _features_sql(src: str) -> str:
+    return """
+ SELECT tx_id,
+  CAST(step AS DOUBLE) AS step, CAST(amount AS DOUBLE) AS amount,
+  CAST(oldbalanceOrg AS DOUBLE) AS oldbalanceOrg, CAST(newbalanceOrig AS DOUBLE) AS newbalanceOrig,
+  CAST(oldbalanceDest AS DOUBLE) AS oldbalanceDest, CAST(newbalanceDest AS DOUBLE) AS newbalanceDest,
+  CAST(newbalanceOrig - oldbalanceOrg + amount AS DOUBLE) AS orig_balance_diff,
+  CAST(newbalanceDest - oldbalanceDest - amount AS DOUBLE) AS dest_balance_diff,
+  CAST(amount AS DOUBLE) / (CAST(oldbalanceOrg AS DOUBLE) + 1e-9) AS amount_to_orig_ratio,
+  CAST(amount AS DOUBLE) / (CAST(oldbalanceDest AS DOUBLE) + 1e-9) AS amount_to_dest_ratio,
+  CAST(CASE WHEN newbalanceOrig = 0 THEN 1 ELSE 0 END AS DOUBLE) AS orig_zeroed,
+  CAST(CASE WHEN type IN ('TRANSFER', 'CASH_OUT') THEN 1 ELSE 0 END AS DOUBLE) AS is_risky_type,
+  CAST(CASE WHEN replace(type, '-', '_') = 'CASH_IN' THEN 1 ELSE 0 END AS DOUBLE) AS type_CASH_IN,
+  CAST(CASE WHEN replace(type, '-', '_') = 'CASH_OUT' THEN 1 ELSE 0 END AS DOUBLE) AS type_CASH_OUT,
+  CAST(CASE WHEN replace(type, '-', '_') = 'DEBIT' THEN 1 ELSE 0 END AS DOUBLE) AS type_DEBIT,
+  CAST(CASE WHEN replace(type, '-', '_') = 'PAYMENT' THEN 1 ELSE 0 END AS DOUBLE) AS type_PAYMENT,
+  CAST(CASE WHEN replace(type, '-', '_') = 'TRANSFER' THEN 1 ELSE 0 END AS DOUBLE) AS type_TRANSFER,
+  isFraud
+ FROM """ + src
+
+
 VIEWS = [
     ("_lb", """
  SELECT o.o_orderkey AS tx_id,
@@ -75,24 +96,16 @@ VIEWS = [
    CAST(i.oldbalanceDest_c AS VARCHAR), CAST(i.newbalanceDest_c AS VARCHAR)), '""" + SALT + """'))"""),
     ("scores", """
  SELECT tx_id, isFraud AS label, amount_c % 1000 + 300 * isFraud AS score FROM ledger"""),
-    ("features", """
- SELECT tx_id,
-  CAST(step AS DOUBLE) AS step, CAST(amount AS DOUBLE) AS amount,
-  CAST(oldbalanceOrg AS DOUBLE) AS oldbalanceOrg, CAST(newbalanceOrig AS DOUBLE) AS newbalanceOrig,
-  CAST(oldbalanceDest AS DOUBLE) AS oldbalanceDest, CAST(newbalanceDest AS DOUBLE) AS newbalanceDest,
-  CAST(newbalanceOrig - oldbalanceOrg + amount AS DOUBLE) AS orig_balance_diff,
-  CAST(newbalanceDest - oldbalanceDest - amount AS DOUBLE) AS dest_balance_diff,
-  CAST(amount AS DOUBLE) / (CAST(oldbalanceOrg AS DOUBLE) + 1e-9) AS amount_to_orig_ratio,
-  CAST(amount AS DOUBLE) / (CAST(oldbalanceDest AS DOUBLE) + 1e-9) AS amount_to_dest_ratio,
-  CAST(CASE WHEN newbalanceOrig = 0 THEN 1 ELSE 0 END AS DOUBLE) AS orig_zeroed,
-  CAST(CASE WHEN type IN ('TRANSFER', 'CASH_OUT') THEN 1 ELSE 0 END AS DOUBLE) AS is_risky_type,
-  CAST(CASE WHEN replace(type, '-', '_') = 'CASH_IN' THEN 1 ELSE 0 END AS DOUBLE) AS type_CASH_IN,
-  CAST(CASE WHEN replace(type, '-', '_') = 'CASH_OUT' THEN 1 ELSE 0 END AS DOUBLE) AS type_CASH_OUT,
-  CAST(CASE WHEN replace(type, '-', '_') = 'DEBIT' THEN 1 ELSE 0 END AS DOUBLE) AS type_DEBIT,
-  CAST(CASE WHEN replace(type, '-', '_') = 'PAYMENT' THEN 1 ELSE 0 END AS DOUBLE) AS type_PAYMENT,
-  CAST(CASE WHEN replace(type, '-', '_') = 'TRANSFER' THEN 1 ELSE 0 END AS DOUBLE) AS type_TRANSFER,
-  isFraud
- FROM raw_ledger"""),
+    ("features", _features_sql("raw_ledger")),
+    ("pool_raw", """
+ SELECT tx_id, step, type, CAST(CAST(amount_c AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS amount,
+  CAST(CAST(oldbalanceOrg_c AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS oldbalanceOrg,
+  CAST(CAST(newbalanceOrig_c AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS newbalanceOrig,
+  CAST(CAST(oldbalanceDest_c AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS oldbalanceDest,
+  CAST(CAST(newbalanceDest_c AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS newbalanceDest,
+  0 AS isFraud
+ FROM pool"""),
+    ("pool_features", _features_sql("pool_raw")),
 ]
 
 

@@ -80,13 +80,18 @@ def to_money(c: str) -> Column:
 
 
 def raw_ledger(led: DataFrame) -> DataFrame:
-    """The reference's raw schema (DECIMAL money), keyed by ``tx_id``."""
+    """The reference's raw schema (DECIMAL money), keyed by ``tx_id``. Rows
+    without names/labels (decoys) get NULL names and label 0."""
+    col = lambda c, default: F.col(c) if c in led.columns else default
     return led.select(
-        "tx_id", "step", "type", to_money("amount_c").alias("amount"), "nameOrig",
+        "tx_id", "step", "type", to_money("amount_c").alias("amount"),
+        col("nameOrig", F.lit(None).cast("string")).alias("nameOrig"),
         to_money("oldbalanceOrg_c").alias("oldbalanceOrg"),
-        to_money("newbalanceOrig_c").alias("newbalanceOrig"), "nameDest",
+        to_money("newbalanceOrig_c").alias("newbalanceOrig"),
+        col("nameDest", F.lit(None).cast("string")).alias("nameDest"),
         to_money("oldbalanceDest_c").alias("oldbalanceDest"),
-        to_money("newbalanceDest_c").alias("newbalanceDest"), "isFraud", "isFlaggedFraud")
+        to_money("newbalanceDest_c").alias("newbalanceDest"),
+        col("isFraud", F.lit(0)).alias("isFraud"), col("isFlaggedFraud", F.lit(0)).alias("isFlaggedFraud"))
 
 
 def pool(led: DataFrame, seed: int = 42, fraction_div: int = 10) -> DataFrame:
@@ -163,6 +168,7 @@ class Views:
         self.raw = raw_ledger(self.ledger)
         self.pool = pool(self.ledger)
         self.pool_zoned = materialize(pool_zoned(self.pool, salt))
+        self.pool_raw = raw_ledger(self.pool_zoned)
         self.injected = materialize(injected(self.ledger, self.pool_zoned))
         self.access = access_log(spark, sf_dir, self.injected)
         self.scores = scores(self.ledger)
