@@ -15,6 +15,7 @@ def local_session(master: str | None = None, app: str = "tripwire",
     spark = (
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -46,3 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def utc(spark: SparkSession) -> None:
     """Pin the session time zone (streaming event time is read as wall-clock UTC)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def materialize(df):
+    """Write a DataFrame once to the shared checkpoint folder and read it back
+    (reliable checkpoint): cuts lineage, survives executor loss."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

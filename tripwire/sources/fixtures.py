@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tripwire.functions.hashing import DEFAULT_SALT, row_hash
 from tripwire.operators.ranking import first_n, global_rank, int_range_bucket, scalar
 from tripwire.schema import CONTENT_CENTS, MONEY_CENTS, ZONES
+from tripwire.session import materialize
 from tripwire.sources.tables import table
 
 # FIXED VALUES of the fixture ledger (priority -> transaction type).
@@ -144,14 +145,6 @@ def scores(led: DataFrame) -> DataFrame:
                       (F.col("amount_c") % 1000 + 300 * F.col("isFraud")).alias("score"))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a view once to the shared checkpoint folder (``spark.checkpoint.dir``)
-    and read it back: cuts lineage and survives executor loss."""
-    from tripwire.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 class Views:
     """All fixture views for one scale-factor directory.
 
