@@ -147,8 +147,10 @@ def place(zone: str, real: DataFrame, decoys: DataFrame, k: int, ctx: InjectCont
     """Dispatch by zone name; unknown zones use random placement."""
     fn = STRATEGIES.get(zone)
     if fn is None:
-        return strategy_random(real, decoys, k, ctx, seed=f"{ctx.seed}:{zone}")
-    return fn(real, decoys, k, ctx)
+        out = strategy_random(real, decoys, k, ctx, seed=f"{ctx.seed}:{zone}")
+    else:
+        out = fn(real, decoys, k, ctx)
+    return out.select(*decoys.columns)
 
 
 # ---- assembly (I8-I10, I12) ---------------------------------------------------------

@@ -36,6 +36,13 @@ def _assemble(df: DataFrame, features: Sequence[str], out: str = "_features") ->
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
+def fit_input(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Assembled, materialised training rows: iterative fits read them many
+    times and must not recompute the upstream lineage on each pass."""
+    from tripwire.session import materialize
+    return materialize(_assemble(df.select(*keep, *features), features).select(*keep, "_features"))
+
+
 def fit_random_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100,
                       max_depth: int = 10, seed: int = 42, weight_col: str | None = None):
     """M2: Spark ML random forest (sqrt feature subsets, like the reference)."""
@@ -44,7 +51,8 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str, num_tr
                                 maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt")
     if weight_col:
         rf = rf.setWeightCol(weight_col)
-    return rf.fit(_assemble(df.withColumn(label, F.col(label).cast("double")), features))
+    keep = [label] + ([weight_col] if weight_col else [])
+    return rf.fit(fit_input(df.withColumn(label, F.col(label).cast("double")), features, keep))
 
 
 def positive_proba(model, df: DataFrame, features: Sequence[str], out: str = "proba") -> DataFrame:
@@ -59,7 +67,7 @@ def positive_proba(model, df: DataFrame, features: Sequence[str], out: str = "pr
 def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 42) -> DataFrame:
     """K-means centroids as a small DataFrame with the feature columns."""
     from pyspark.ml.clustering import KMeans
-    model = KMeans(k=k, seed=seed, featuresCol="_features").fit(_assemble(df, features))
+    model = KMeans(k=k, seed=seed, featuresCol="_features").fit(fit_input(df, features))
     rows = [tuple(float(x) for x in c) for c in model.clusterCenters()]
     schema = T.StructType([T.StructField(f, T.DoubleType()) for f in features])
     return df.sparkSession.createDataFrame(rows, schema)

@@ -71,14 +71,13 @@ def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Se
                    out: str = "min_dist", n_cells: int | None = None, max_group: int = 20_000,
                    seed: int = 42) -> DataFrame:
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
 
     feats = list(features)
     spark = points.sparkSession
     n_a = anchors.count()
     m = n_cells or max(1, min(256, int(math.sqrt(max(n_a, 1)))))
-    vec = VectorAssembler(inputCols=feats, outputCol="_v").transform(anchors.select(*feats))
-    km = KMeans(k=m, seed=seed, featuresCol="_v", maxIter=10).fit(vec)
+    from tripwire.operators.models import fit_input
+    km = KMeans(k=m, seed=seed, featuresCol="_features", maxIter=10).fit(fit_input(anchors, feats))
     cents = np.array([np.asarray(c, dtype=float) for c in km.clusterCenters()], dtype=float)   # m x d, bounded
     c_b = spark.sparkContext.broadcast(cents)
 

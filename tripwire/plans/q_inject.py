@@ -10,6 +10,7 @@ from tripwire.operators import detect, inject, lookup, metrics, nearest, prep, s
 from tripwire.plans.q_core import _SPLIT_SQL
 from tripwire.plans.registry import query
 from tripwire.schema import CONTENT_CENTS, FEATURES
+from tripwire.session import materialize
 from tripwire.sources.fixtures import Views
 
 RATIO = 0.05
@@ -20,14 +21,24 @@ HV_SEED = "42:random"
 # ---- shared inputs: scaled train rows and scaled decoy pool ------------------------
 
 def scaled_inputs(v: Views):
-    """(train rows, decoy pool) as z-scored features; the scaler is fit on train."""
-    split = prep.stratified_split(v.ledger.select("tx_id", "isFraud")).filter(F.col("split") == "train")
-    fx = prep.feature_frame(v.raw)
-    train = fx.join(split.select("tx_id"), "tx_id")
-    params = prep.scaler_params(prep.fit_scaler(train))
-    train = prep.apply_scaler(train.withColumn("amount_raw", F.col("amount")), params)
-    pool = prep.apply_scaler(prep.feature_frame(v.pool_raw), params)
-    return train, pool, params
+    """(train rows, decoy pool, scaler params) as z-scored features; the scaler
+    is fit on the train split. Materialised once per view set: model fits
+    iterate over these rows many times."""
+    def build():
+        split = prep.stratified_split(v.ledger.select("tx_id", "isFraud"))
+        fx = prep.feature_frame(v.raw).join(split.select("tx_id", "split"), "tx_id")
+        train = fx.filter(F.col("split") == "train").drop("split")
+        params = prep.scaler_params(prep.fit_scaler(train))
+        train = materialize(prep.apply_scaler(train.withColumn("amount_raw", F.col("amount")), params))
+        test = materialize(prep.apply_scaler(fx.filter(F.col("split") == "test").drop("split"), params))
+        pool = materialize(prep.apply_scaler(prep.feature_frame(v.pool_raw), params))
+        return train, pool, params, test
+    return v.memo("scaled", build)[:3]
+
+
+def scaled_test(v: Views):
+    scaled_inputs(v)
+    return v.memo("scaled", None)[3]
 
 
 def _ctx():

@@ -175,6 +175,13 @@ class Views:
             v = cls._cache[key] = cls(spark, sf_dir, salt)
         return v
 
+    def memo(self, name: str, build):
+        """Build a derived table once per view set (callers materialise it)."""
+        memo = self.__dict__.setdefault("_memo", {})
+        if name not in memo:
+            memo[name] = build()
+        return memo[name]
+
     def lookup(self) -> DataFrame:
         from tripwire.operators.lookup import register
         return register(self.pool_zoned)
