@@ -107,8 +107,10 @@ def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY, seed=SEE
     round(test*n_c) are test, the next round(val/(1-test) * rest) are val
     (so val is ``val_size`` of the whole), the rest train.
     """
+    from fractions import Fraction
     t = F.lit(float(test_size))
-    v = F.lit(float(val_size) / (1.0 - float(test_size)))
+    # val share of the remainder, as the exact ratio val / (1 - test) (1/8 by default)
+    v = F.lit(float(Fraction(str(val_size)) / (1 - Fraction(str(test_size)))))
 
     def cuts(tot: Column):
         n_test = F.floor(tot * t + F.lit(0.5))

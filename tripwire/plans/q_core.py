@@ -13,7 +13,7 @@ from tripwire.functions.hashing import encode_row
 _SPLIT_SQL = """
 split AS (
  SELECT tx_id, isFraud, CASE WHEN rn <= n_test THEN 'test' WHEN rn <= n_test + n_val THEN 'val' ELSE 'train' END AS split
- FROM (SELECT tx_id, isFraud, rn, n_test, floor((tot - n_test) * CAST(0.12499999999999999 AS DOUBLE) + 0.5) AS n_val
+ FROM (SELECT tx_id, isFraud, rn, n_test, floor((tot - n_test) * CAST(0.125 AS DOUBLE) + 0.5) AS n_val
   FROM (SELECT tx_id, isFraud,
      row_number() OVER (PARTITION BY isFraud ORDER BY md5(concat(CAST(tx_id AS VARCHAR), ':42')), tx_id) AS rn,
      count(*) OVER (PARTITION BY isFraud) AS tot,

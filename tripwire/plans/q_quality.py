@@ -113,9 +113,13 @@ ks_cdf AS (SELECT feature, value, sum(n_r) OVER (PARTITION BY feature) AS nr_t,
   sum(n_d) OVER (PARTITION BY feature ORDER BY value) / sum(n_d) OVER (PARTITION BY feature) AS fd FROM ks_counts),
 ks_d AS (SELECT feature, max(abs(fr - fd)) AS d, sqrt(max(nr_t) * max(nd_t) / (max(nr_t) + max(nd_t))) AS en
  FROM ks_cdf GROUP BY feature),
-ks AS (SELECT feature, d AS ks_stat, least(greatest(list_sum(list_transform(range(1, 101),
-   lambda j: (CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * j * j * ((en + 0.12 + 0.11 / en) * d) * ((en + 0.12 + 0.11 / en) * d)))),
-   0.0), 1.0) AS ks_pval FROM ks_d),
+ks_l AS (SELECT feature, d, (en + 0.12 + 0.11 / en) * d AS lam FROM ks_d),
+ks AS (SELECT feature, d AS ks_stat, least(greatest(CASE WHEN lam <= 0 THEN 1.0
+  WHEN lam < 1.18 THEN 1.0 - 2.5066282746310002 / lam * list_sum(list_transform(range(1, 6),
+   lambda j: exp(-(2.0 * j - 1) * (2.0 * j - 1) * 9.869604401089358 / (8.0 * lam * lam))))
+  ELSE list_sum(list_transform(range(1, 101),
+   lambda j: (CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * j * j * lam * lam))) END,
+   0.0), 1.0) AS ks_pval FROM ks_l),
 kl_mm AS (SELECT feature, min(value) AS lo, max(value) AS hi,
   count(CASE WHEN src = 'real' THEN 1 END) AS nr, count(CASE WHEN src = 'decoy' THEN 1 END) AS nd FROM qlong GROUP BY feature),
 kl_bins AS (SELECT l.feature, least(floor((l.value - m.lo) / ((m.hi - m.lo) / 49.0)), 48) AS bin, m.nr, m.nd,
