@@ -3,8 +3,8 @@
 * ``min_dist_broadcast`` – anchors of a checked, bounded size (<= ``max_rows``)
   are shipped to every task; ``mapInPandas`` computes blocked distances with
   numpy on Arrow batches.
-* ``min_dist_cells``     – anchors of any size. Anchors are grouped into k-means
-  cells with a radius. For a point q, any anchor a of cell c satisfies
+* ``min_dist_cells``     – anchors of any size. Anchors are grouped into cells
+  around m hash-sampled pivots, each with a radius. For a point q, any anchor a of cell c satisfies
   d(q,c) - r_c <= d(q,a) <= d(q,c) + r_c, so u(q) = min_c (d(q,c) + r_c) bounds
   the answer and only cells with d(q,c) - r_c <= u(q) can hold the nearest
   anchor. Points are routed to those cells only; each (cell, anchor chunk,
@@ -30,21 +30,45 @@ from tripwire.session import materialize
 BROADCAST_MAX_ROWS = 20_000
 
 
-def _min_dist_np(q: np.ndarray, a: np.ndarray, q_block: int = 256, a_block: int = 2048) -> np.ndarray:
-    """Exact min_j ||q_i - a_j|| by direct differences, in bounded blocks."""
+def _min_dist_np(q: np.ndarray, a: np.ndarray, q_block: int = 1024, a_block: int = 4096) -> np.ndarray:
+    """Exact min_j ||q_i - a_j||.
+
+    Candidates come from the BLAS form |q|^2 + |a|^2 - 2 q.a; every anchor whose
+    approximate squared distance is within a tolerance (far above the rounding
+    error of that form) of the approximate minimum is then re-measured by
+    direct differences, so the result equals the direct computation.
+    """
     out = np.full(len(q), np.inf)
     if len(a) == 0 or len(q) == 0:
         return np.sqrt(out)
+    an = np.einsum("ij,ij->i", a, a)
+    amax = float(an.max())
     for i in range(0, len(q), q_block):
         qb = q[i:i + q_block]
+        qn = np.einsum("ij,ij->i", qb, qb)
+        tol = 1e-9 * (qn + amax + 1.0)
         best = np.full(len(qb), np.inf)
         for j in range(0, len(a), a_block):
-            diff = qb[:, None, :] - a[None, j:j + a_block, :]
-            best = np.minimum(best, np.einsum("ijk,ijk->ij", diff, diff).min(axis=1))
-        out[i:i + q_block] = best
+            d2 = qn[:, None] + an[None, j:j + a_block] - 2.0 * (qb @ a[j:j + a_block].T)
+            best = np.minimum(best, d2.min(axis=1))
+        exact = np.full(len(qb), np.inf)
+        for j in range(0, len(a), a_block):
+            ab = a[j:j + a_block]
+            d2 = qn[:, None] + an[None, j:j + a_block] - 2.0 * (qb @ ab.T)
+            iq, ia = np.nonzero(d2 <= (best + tol)[:, None])
+            if len(iq):
+                diff = qb[iq] - ab[ia]
+                np.minimum.at(exact, iq, np.einsum("ij,ij->i", diff, diff))
+        out[i:i + q_block] = exact
     return np.sqrt(out)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """CPU-heavy per-row work: give a narrow input at least one partition per core."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def _schema(df: DataFrame, key: str, out: str) -> T.StructType:
     return T.StructType([df.schema[key], T.StructField(out, T.DoubleType())])
 
@@ -64,21 +88,21 @@ def min_dist_broadcast(points: DataFrame, anchors: DataFrame, key: str, features
             q = pdf[feats].to_numpy(dtype=float)
             yield pd.DataFrame({key: pdf[key], out: _min_dist_np(q, arr)})
 
-    return points.select(key, *feats).mapInPandas(run, _schema(points, key, out))
+    return _spread(points.select(key, *feats)).mapInPandas(run, _schema(points, key, out))
 
 
 def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Sequence[str],
                    out: str = "min_dist", n_cells: int | None = None, max_group: int = 20_000,
                    seed: int = 42) -> DataFrame:
-    from pyspark.ml.clustering import KMeans
-
     feats = list(features)
     spark = points.sparkSession
     n_a = anchors.count()
     m = n_cells or max(1, min(256, int(math.sqrt(max(n_a, 1)))))
-    from tripwire.operators.models import fit_input
-    km = KMeans(k=m, seed=seed, featuresCol="_features", maxIter=10).fit(fit_input(anchors, feats))
-    cents = np.array([np.asarray(c, dtype=float) for c in km.clusterCenters()], dtype=float)   # m x d, bounded
+    # cell pivots: m anchors drawn by seeded hash (bounded m x d, no iterative fit)
+    h = F.md5(F.concat_ws("|", *[F.col(f).cast("string") for f in feats], F.lit(f":{seed}")))
+    piv = anchors.select(*feats).withColumn("_h", h).orderBy("_h").limit(m).drop("_h")
+    cents = np.array(piv.collect(), dtype=float).reshape(-1, len(feats))
+    m = len(cents)
     c_b = spark.sparkContext.broadcast(cents)
 
     def assign(it):
@@ -94,7 +118,7 @@ def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Se
 
     a_schema = T.StructType([T.StructField(f, T.DoubleType()) for f in feats] + [
         T.StructField("_cell", T.IntegerType()), T.StructField("_dc", T.DoubleType())])
-    a_cells = anchors.select(*[F.col(f).cast("double") for f in feats]).mapInPandas(assign, a_schema)
+    a_cells = _spread(anchors.select(*[F.col(f).cast("double") for f in feats])).mapInPandas(assign, a_schema)
     a_cells = materialize(a_cells)          # reused by the jobs below
     stats = {r["_cell"]: (r["r"], r["n"]) for r in
              a_cells.groupBy("_cell").agg(F.max("_dc").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
@@ -116,7 +140,7 @@ def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Se
 
     q_schema = T.StructType([points.schema[key]] + [T.StructField(f, T.DoubleType()) for f in feats]
                             + [T.StructField("_cell", T.IntegerType())])
-    q_cells = points.select(key, *[F.col(f).cast("double") for f in feats]).mapInPandas(candidates, q_schema)
+    q_cells = _spread(points.select(key, *[F.col(f).cast("double") for f in feats])).mapInPandas(candidates, q_schema)
     q_cells = materialize(q_cells)
     q_counts = {r["_cell"]: r["n"] for r in q_cells.groupBy("_cell").count().withColumnRenamed("count", "n").collect()}
 

@@ -227,9 +227,11 @@ def q_density_sweep(spark, sf):
 # ---- access scenarios over the fixture injected set ------------------------------------
 
 def _inj_hits(v: Views):
-    rows = lookup.hash_rows(v.injected.select("pos", "amount_c", *[c for c in CONTENT_CENTS if c != "amount_c"]),
-                            CONTENT_CENTS, v.salt)
-    return lookup.is_decoy(rows, v.lookup()).select("pos", "amount_c", "hit_zone")
+    """Injected rows probed once against the lookup (materialised: every trial reads it)."""
+    def build():
+        rows = lookup.hash_rows(v.injected.select("pos", *CONTENT_CENTS), CONTENT_CENTS, v.salt)
+        return materialize(lookup.is_decoy(rows, v.lookup()).select("pos", "amount_c", "hit_zone"))
+    return v.memo("inj_hits", build)
 
 
 _IH = """
@@ -271,16 +273,14 @@ def q_detection_rate(spark, sf):
     """Detection rate, mean decoy share and zones hit per access scenario
     (bulk 30 % / 10 %, targeted top 20 % / 10 %, incremental 20 x 100), 20 trials."""
     h = _inj_hits(Views.get(spark, sf))
-    parts = [
-        scenarios.random_access(h, "pos", "bulk_steal_30", 0.30, N_TRIALS),
-        scenarios.random_access(h, "pos", "bulk_steal_10", 0.10, N_TRIALS),
-        scenarios.targeted_access(h, "amount_c", "targeted_top20", 20.0, N_TRIALS),
-        scenarios.targeted_access(h, "amount_c", "targeted_top10", 10.0, N_TRIALS),
-        scenarios.incremental_access(h, "pos", "slow_theft", 20, 100, N_TRIALS),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    size = F.lit(100)
+    rnd = scenarios.multi_access(h, "pos", [
+        ("bulk_steal_30", lambda tot: F.floor(tot * F.lit(0.30))),
+        ("bulk_steal_10", lambda tot: F.floor(tot * F.lit(0.10))),
+        ("slow_theft", lambda tot: F.least(F.lit(20), F.floor(tot / size)) * size),
+    ], N_TRIALS)
+    out = rnd.unionByName(scenarios.targeted_access(h, "amount_c", "targeted_top20", 20.0, N_TRIALS)) \
+             .unionByName(scenarios.targeted_access(h, "amount_c", "targeted_top10", 10.0, N_TRIALS))
     return out.withColumn("detection_rate", sig_round(F.col("detection_rate"))) \
               .withColumn("decoy_ratio", sig_round(F.col("decoy_ratio")))
 

@@ -49,8 +49,14 @@ def utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def materialize(df):
-    """Write a DataFrame once to the shared checkpoint folder and read it back
-    (reliable checkpoint): cuts lineage, survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "t"):
+    """Write a DataFrame once as a Parquet table in the shared checkpoint
+    folder and read it back: the plan is computed once, lineage is cut (a lost
+    executor re-reads files instead of recomputing), and later scans keep
+    column pruning and filter pushdown."""
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
