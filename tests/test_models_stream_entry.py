@@ -32,6 +32,15 @@ def test_isolation_forest_ranks_outliers_and_contamination(spark):
     assert abs(share - 0.05) < 0.01
 
 
+def test_isolation_forest_disjoint_samples_on_large_input(spark):
+    df = spark.range(120_000).withColumnRenamed("id", "k").select(
+        "k", *[(F.rand(i) * 10).alias(c) for i, c in enumerate("abcd")])
+    forest = models.fit_isolation_forest(df, list("abcd"), "k", n_trees=100)
+    roots = forest.filter(F.col("node") == 0)
+    assert roots.count() == 100
+    assert {r.size for r in roots.select("size").distinct().collect()} == {256}
+
+
 def test_mixture_draw_moments(spark):
     mix = synth.Mixture(np.array([1.0]), np.array([[2.0, -1.0]]),
                         np.array([np.linalg.cholesky(np.array([[1.0, 0.5], [0.5, 2.0]]))]))

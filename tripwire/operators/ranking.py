@@ -117,11 +117,19 @@ def global_rank(df: DataFrame, order_col: Column, tiebreak: Sequence[str],
             .drop(_H, _B, _BEFORE))
 
 
-def int_range_bucket(df: DataFrame, col: str, n_buckets: int = 4096) -> Column:
-    """Equal-width bucket of an integer key over [min, max] (one small aggregate)."""
-    lo, hi = df.agg(F.min(col), F.max(col)).first()
+def int_range_bucket(df: DataFrame, col: str, n_buckets: int | None = None,
+                     rows_per_bucket: int = 1_000_000, max_buckets: int = 1 << 20) -> Column:
+    """Equal-width bucket of an integer key over [min, max] (one small aggregate).
+
+    By default the bucket count grows with the table (~``rows_per_bucket`` rows
+    per bucket, at least 4,096), so each rank window stays a bounded task while
+    the count table stays broadcastable.
+    """
+    lo, hi, n = df.agg(F.min(col), F.max(col), F.count(F.lit(1))).first()
     if lo is None:
         return F.lit(0).cast("bigint")
+    if n_buckets is None:
+        n_buckets = min(max_buckets, max(4096, -(-int(n) // rows_per_bucket)))
     width = max(1, -(-(int(hi) - int(lo) + 1) // n_buckets))
     return F.floor((F.col(col) - F.lit(int(lo))) / F.lit(width)).cast("bigint")
 

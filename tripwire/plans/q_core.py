@@ -163,6 +163,18 @@ def q_row_encode(spark, sf):
     return Views.get(spark, sf).pool.select("tx_id", encode_row(CONTENT_CENTS).alias("encoded"))
 
 
+_FIX6 = ["step", "amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"]
+
+
+@query("row_hash_fixed6", "SELECT tx_id, sha256(concat(concat_ws(',', "
+       + ", ".join(f"printf('%.6f', CAST({c} AS DOUBLE))" for c in _FIX6) + "), 'pepper')) AS row_hash FROM pool_raw")
+def q_row_hash_fixed6(spark, sf):
+    """J1/J2 with the reference's float encoding: every value as %.6f."""
+    from tripwire.operators.prep import drop_ids
+    v = Views.get(spark, sf)
+    return lookup.hash_rows(drop_ids(v.pool_raw), _FIX6, v.salt, fixed6=True).select("tx_id", "row_hash")
+
+
 @query("row_hash", "SELECT tx_id, row_hash FROM pool_zoned")
 def q_row_hash(spark, sf):
     """Salted SHA-256 of each decoy row."""
