@@ -36,11 +36,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder is set by the cluster (a shared file system); it is
     only invented here when unset, which happens in local tests.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="tripwire-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - core config may be read-only here
+            pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
