@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwire.functions.hashing import DEFAULT_SALT, row_hash
-from tripwire.schema import CONTENT_CENTS, zone_order
+from tripwire.schema import CONTENT_CENTS, ZONES
 
 HIT = "hit_zone"
 
@@ -28,10 +28,24 @@ def hash_rows(df: DataFrame, cols: Sequence = CONTENT_CENTS, salt: str = DEFAULT
 
 def register(decoys: DataFrame, hash_col: str = "row_hash", zone_col: str = "zone") -> DataFrame:
     """Hash -> zone; when a hash is registered by several zones the one
-    registered last (zone order random, edge_case, cluster, high_value) wins."""
+    registered last (zone order random, edge_case, cluster, high_value, then
+    other zone names) wins.
+
+    Zones are coded as integers from the (tiny) zone dictionary so the
+    per-hash reduction is a hash aggregate on ``max(code)`` with map-side
+    partial aggregation, not a sort-based aggregate over strings.
+    """
+    names = [r[0] for r in decoys.select(zone_col).distinct().collect()]   # bounded: #zones
+    order = [z for z in ZONES if z in names] + sorted(z for z in names if z is not None and z not in ZONES)
     z = F.col(zone_col)
-    return (decoys.groupBy(hash_col)
-            .agg(F.max_by(z, F.struct(zone_order(z), z)).alias(zone_col)))
+    code = F.lit(None).cast("int")
+    for i, name in enumerate(order):
+        code = F.when(z == name, F.lit(i)).otherwise(code)
+    if not order:
+        return decoys.select(F.col(hash_col), F.lit(None).cast("string").alias(zone_col)).limit(0)
+    agg = decoys.groupBy(hash_col).agg(F.max(code).alias("_zc"))
+    return agg.select(hash_col, F.element_at(F.array(*[F.lit(n) for n in order]), F.col("_zc") + 1)
+                      .alias(zone_col))
 
 
 def registrations(decoys: DataFrame, zone_col: str = "zone") -> DataFrame:
