@@ -69,3 +69,25 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "first_alarm_batch" in df.columns
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_end_to_end_pipeline(spark, tmp_path):
+    from tripwire.plans.pipeline import PipelineConfig, run_from_tables
+    out = run_from_tables(spark, SF001, str(tmp_path / "run"),
+                          PipelineConfig(num_trees=5, max_depth=4, n_trials=3))
+    att = {r.scenario: r for r in out["attacks"].collect()}
+    assert set(att) == {"bulk_steal_30", "bulk_steal_10", "slow_theft", "targeted_top20", "targeted_top10"}
+    assert att["bulk_steal_30"].detection_rate == 1.0
+    assert out["false_alarm"].first().false_positive_rate == 0.0
+    assert out["baselines"].count() == 3
+    lk = spark.read.parquet(str(tmp_path / "run" / "lookup"))
+    assert sorted(lk.columns) == ["row_hash", "zone"]
+    inj = out["injected"]
+    assert inj.filter("is_decoy").count() == sum(r.n_registered for r in
+                                                 lookup_counts(inj))
+    assert inj.select("pos").distinct().count() == inj.count()
+
+
+def lookup_counts(inj):
+    from tripwire.operators.lookup import registrations
+    return registrations(inj.filter("is_decoy")).collect()
