@@ -64,9 +64,10 @@ def _min_dist_np(q: np.ndarray, a: np.ndarray, q_block: int = 1024, a_block: int
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """CPU-heavy per-row work: give a narrow input at least one partition per core."""
+    """CPU-heavy per-row work: give an input read from fewer files than cores
+    one partition per core (file listing only; nothing is executed)."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    return df.repartition(par) if len(df.inputFiles()) < par else df
 
 
 def _schema(df: DataFrame, key: str, out: str) -> T.StructType:
