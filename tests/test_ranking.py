@@ -58,3 +58,22 @@ def test_global_rank_numeric_bucket(spark):
     df = spark.createDataFrame(pd.DataFrame({"k": [5, 1, 99, 42, 7, 1000, 3]}))
     r = global_rank(df, F.col("k"), [], bucket=int_range_bucket(df, "k", 4)).toPandas().sort_values("rank")
     assert list(r["k"]) == [1, 3, 5, 7, 42, 99, 1000]
+
+
+def test_smallest_k_hot_value_split_across_tasks(spark):
+    """A third of the rows share one value; the cut falls inside that tie group.
+    The result must equal brute force and the tie group must not be ranked in
+    one range partition."""
+    from tripwire.operators.inject import smallest_k
+    n = 6000
+    df = spark.range(n).withColumnRenamed("id", "k").withColumn(
+        "v", F.when(F.col("k") % 3 == 0, F.lit(2.5)).otherwise((F.col("k") * 7919 % 1000).cast("double")))
+    for k in (1, 1500, 2500, 4000, n):
+        got = sorted(r.k for r in smallest_k(df, F.col("v"), "k", k).select("k").collect())
+        pdf = df.toPandas().sort_values(["v", "k"])
+        assert got == sorted(pdf.k.head(k)), k
+    # the hot tie group is spread over several range partitions
+    r = (df.withColumn("_rk_h", F.col("v")).filter(F.col("v") == 2.5)
+         .repartitionByRange(8, F.col("_rk_h"), F.col("k"))
+         .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert r > 1

@@ -18,6 +18,7 @@ from tripwire.functions.buckets import log_bucket
 from tripwire.functions.draws import draw_key
 from tripwire.operators import nearest
 from tripwire.operators.ranking import first_n, global_rank, scalar, segment_by_rank
+from tripwire.session import materialize
 from tripwire.schema import DEFAULT_INJECTION_RATIO, DENSITY_RATIOS, FEATURES, ZONES
 
 Strategy = Callable[[DataFrame, DataFrame, int, "InjectContext"], DataFrame]
@@ -68,11 +69,16 @@ def density_sweep(real: DataFrame, decoys: DataFrame, ratios: Sequence[float] =
 
 def smallest_k(df: DataFrame, order: Column, key: str, k, prefix_bucket: Column | None = None) -> DataFrame:
     """Rows with the k smallest ``order`` values (key breaks ties), by a rank cut
-    on a monotone bucket of the value."""
+    on a monotone bucket of the value.
+
+    The scored rows are written once (the score is usually a nearest-anchor
+    distance or a model probability, too costly to compute twice), and ties on
+    a hot value are split by the key (``segment_by_rank(split_ties=True)``)."""
     c = k if callable(k) else (lambda tot: F.lit(int(k)))
-    d = df.withColumn("_ord", order)
+    d = materialize(df.withColumn("_ord", order), "smallest-k")
     b = prefix_bucket if prefix_bucket is not None else log_bucket(F.col("_ord"))
-    seg = segment_by_rank(d, F.col("_ord"), [key], lambda tot: [c(tot)], out="_s", bucket=b)
+    seg = segment_by_rank(d, F.col("_ord"), [key], lambda tot: [c(tot)], out="_s", bucket=b,
+                          split_ties=True)
     return seg.filter(F.col("_s") == 0).drop("_s", "_ord")
 
 

@@ -25,6 +25,7 @@ from tripwire.functions.draws import draw_key
 
 PREFIX = 4          # 16^4 = 65,536 hash buckets per part
 _H, _B, _NB, _BEFORE, _TOT = "_rk_h", "_rk_b", "_rk_nb", "_rk_before", "_rk_tot"
+_RANK, _PID, _NP, _PB = "_rk_rank", "_rk_pid", "_rk_np", "_rk_pb"
 
 
 def _win(parts: Sequence[str]) -> Window:
@@ -51,7 +52,8 @@ def _bucket_counts(d: DataFrame, parts: Sequence[str]) -> DataFrame:
 def segment_by_rank(df: DataFrame, order_hash: Column, tiebreak: Sequence[str],
                     cuts_fn: Callable[[Column], Sequence[Column]],
                     parts: Sequence[str] = (), prefix: int = PREFIX,
-                    out: str = "segment", bucket: Column | None = None) -> DataFrame:
+                    out: str = "segment", bucket: Column | None = None,
+                    split_ties: bool = False) -> DataFrame:
     """Label each row with the segment its rank falls in.
 
     Rank = position within ``parts`` ordered by (order_hash, *tiebreak), from 1.
@@ -59,6 +61,11 @@ def segment_by_rank(df: DataFrame, order_hash: Column, tiebreak: Sequence[str],
     holds ranks in (c_{i-1}, c_i], the last segment ranks beyond the last cut.
     ``parts`` must be low-cardinality (labels, trials): the count table is
     n_parts x 16^prefix rows and is broadcast.
+
+    ``split_ties``: for a value order whose monotone bucket can hold a hot value
+    (a third of all rows on one distance or score), the straddling buckets are
+    range-partitioned on (parts, order, tiebreak), which splits a tied value by
+    its tiebreak, and ranked per range partition; see ``_rank_by_range``.
     """
     parts = list(parts)
     d = df.withColumn(_H, order_hash)
@@ -74,13 +81,43 @@ def segment_by_rank(df: DataFrame, order_hash: Column, tiebreak: Sequence[str],
               .withColumn("_rk_hi", _segment_of(F.col(_BEFORE) + F.col(_NB), cut_cols)))
     j = d.join(F.broadcast(counts), [*parts, _B])
     sure = j.filter(F.col("_rk_lo") == F.col("_rk_hi")).withColumn(out, F.col("_rk_lo"))
-    w = Window.partitionBy(*parts, _B).orderBy(F.col(_H), *[F.col(t) for t in tiebreak])
-    amb = (j.filter(F.col("_rk_lo") != F.col("_rk_hi"))
-           .withColumn(out, _segment_of(F.col(_BEFORE) + F.row_number().over(w), cut_cols)))
+    amb = j.filter(F.col("_rk_lo") != F.col("_rk_hi"))
+    if split_ties:
+        amb = _rank_by_range(amb, parts, tiebreak)
+    else:
+        w = Window.partitionBy(*parts, _B).orderBy(F.col(_H), *[F.col(t) for t in tiebreak])
+        amb = amb.withColumn(_RANK, F.col(_BEFORE) + F.row_number().over(w))
+    amb = amb.withColumn(out, _segment_of(F.col(_RANK), cut_cols)).drop(_RANK)
     drop = [_H, _B, _NB, _BEFORE, "_rk_lo", "_rk_hi", *cut_names]
     return sure.unionByName(amb).drop(*drop)
 
 
+def _rank_by_range(amb: DataFrame, parts: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
+    """Exact rank of rows in straddling buckets without one task per bucket.
+
+    Range partitioning samples the composite key (parts, order, tiebreak), so a
+    value held by a third of all rows is spread over many partitions by its
+    tiebreak. The partition each row landed in is pinned by writing the rows
+    once to the checkpoint folder (a re-run would sample different bounds);
+    per (bucket, partition) counts are a bounded table (straddling buckets x
+    shuffle partitions) whose running sum gives each partition's offset.
+    """
+    from tripwire.session import materialize
+    spark = amb.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = materialize(amb.repartitionByRange(n, *[F.col(p) for p in parts], F.col(_H),
+                                           *[F.col(t) for t in tiebreak])
+                    .withColumn(_PID, F.spark_partition_id()), "rank-ties")
+    before = (Window.partitionBy(*parts, _B).orderBy(_PID)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    pc = (r.groupBy(*parts, _B, _PID).agg(F.count(F.lit(1)).alias(_NP))
+          .select(*parts, _B, _PID, F.coalesce(F.sum(_NP).over(before), F.lit(0)).alias(_PB)))
+    w = Window.partitionBy(*parts, _B, _PID).orderBy(F.col(_H), *[F.col(t) for t in tiebreak])
+    return (r.join(F.broadcast(pc), [*parts, _B, _PID])
+            .withColumn(_RANK, F.col(_BEFORE) + F.col(_PB) + F.row_number().over(w))
+            .drop(_PID, _PB))
+
+
 def first_n(df: DataFrame, key: str, seed, n, parts: Sequence[str] = (),
             prefix: int = PREFIX, order_hash: Column | None = None) -> DataFrame:
     """Exactly ``n`` rows (per part) in md5('<key>:<seed>') order, key as tiebreak.
