@@ -19,18 +19,22 @@ _B = "_cs_b"
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], parts: Sequence[str] = (),
-                bucket: Column | None = None, suffix: str = "_before") -> DataFrame:
+                bucket: Column | None = None, suffix: str = "_before",
+                totals: bool = False) -> DataFrame:
     """Add ``<c>_before`` = sum of ``c`` over rows with a smaller ``order_col``
     (same ``parts``). ``order_col`` must be unique within ``parts`` (aggregate
-    to distinct values first)."""
+    to distinct values first). ``totals`` also adds ``<c>_total`` per part,
+    taken from the bucket table (no second pass over the rows)."""
     parts = list(parts)
     d = df.withColumn(_B, bucket if bucket is not None else log_bucket(F.col(order_col).cast("double")))
     tot = d.groupBy(*parts, _B).agg(*[F.sum(c).alias(f"_cs_t_{c}") for c in sum_cols])
-    wb = (Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))).orderBy(_B) \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    wp = Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))
+    wb = wp.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    extra = [F.sum(f"_cs_t_{c}").over(wp).cast("bigint").alias(f"{c}_total") for c in sum_cols] if totals else []
     tot = tot.select(*parts, _B, *[F.coalesce(F.sum(f"_cs_t_{c}").over(wb), F.lit(0)).alias(f"_cs_o_{c}")
-                                   for c in sum_cols])
+                                   for c in sum_cols], *extra)
     w = Window.partitionBy(*parts, _B).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     j = d.join(tot, [*parts, _B])
     return j.select(*df.columns, *[(F.col(f"_cs_o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0)))
-                                   .cast("bigint").alias(f"{c}{suffix}") for c in sum_cols])
+                                   .cast("bigint").alias(f"{c}{suffix}") for c in sum_cols],
+                    *[F.col(f"{c}_total") for c in sum_cols if totals])
