@@ -191,7 +191,8 @@ def score_isolation_forest(df: DataFrame, forest: DataFrame, features: Sequence[
 
 def contamination_threshold(scores: DataFrame, contamination: float, col: str = "anomaly_score") -> float:
     """M8: score above which the top ``contamination`` share lies (exact percentile)."""
-    return scalar(scores.select(F.percentile(F.col(col), F.lit(1.0 - contamination))))
+    from tripwire.operators.cumulative import exact_percentile
+    return exact_percentile(scores, col, 1.0 - contamination)
 
 
 def flag_outliers(scores: DataFrame, threshold: float, col: str = "anomaly_score",

@@ -90,7 +90,8 @@ def pool_size(n_train: Column, n_decoys: int | None = None) -> Column:
 
 def quantile_threshold(df: DataFrame, col: str, q: float) -> Column:
     """Exact linear-interpolated percentile as a lazy scalar (numpy's default)."""
-    return F.lit(scalar(df.select(F.percentile(F.col(col), F.lit(float(q))))))
+    from tripwire.operators.cumulative import exact_percentile
+    return F.lit(exact_percentile(df, col, q))
 
 
 def high_value_rows(df: DataFrame, col: str = "amount", top_pct: float = 20.0) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tripwire.functions.draws import standard_normal, uniform01
 from tripwire.operators import nearest, prep
+from tripwire.operators.cumulative import exact_percentile
 from tripwire.operators.ranking import first_n, scalar
 from tripwire.schema import DISCRIMINATOR_PASS, FEATURES
 from tripwire.session import materialize
@@ -123,7 +124,7 @@ def mixture_decoys(real: DataFrame, n: int, features: Sequence[str] = FEATURES,
     draws = inverse(draw_mixture(spark, mix, n, f"gmm{seed}"), p)
     anc = first_n(real, key, f"{seed}:anchors", anchors)
     dist = nearest.min_dist_broadcast(draws, anc, ID, features)
-    thr = scalar(dist.select(F.percentile("min_dist", F.lit(0.10))))
+    thr = exact_percentile(dist, "min_dist", 0.10)
     kept = draws.join(dist.filter(F.col("min_dist") > F.lit(thr)).select(ID), ID)
     n_kept = kept.count()
     extra = inverse(draw_mixture(spark, mix, n - n_kept, f"gmm{seed}:topup", id_offset=n), p) \
@@ -134,7 +135,7 @@ def mixture_decoys(real: DataFrame, n: int, features: Sequence[str] = FEATURES,
 
 def uniqueness_cut(dist: DataFrame, col: str = "min_dist", q: float = 0.10) -> DataFrame:
     """Keep rows strictly farther than the q-quantile of the distances."""
-    thr = scalar(dist.select(F.percentile(col, F.lit(float(q)))))
+    thr = exact_percentile(dist, col, q)
     return dist.filter(F.col(col) > F.lit(thr))
 
 
