@@ -59,7 +59,7 @@ def q_stream_window_alarm(spark, sf):
 SELECT actor, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(hit_zone) AS BIGINT) AS n_decoys,
  min(CASE WHEN hit_zone IS NOT NULL THEN batch END) AS first_alarm_batch FROM hits GROUP BY actor""")
 def q_stream_first_alarm(spark, sf):
-    """Per-actor running state (applyInPandasWithState); final state = D3."""
+    """Per-actor running state (stateful streaming aggregation, update mode); final state = D3."""
     v = Views.get(spark, sf)
     out = ds.run_to_files(ds.running_first_alarm(_hits_stream(v)), "stream_first_alarm", "update")
     df = ds.read_output(spark, out, ds.STATE_OUT)
