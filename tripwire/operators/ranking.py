@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from tripwire.functions.draws import draw_key
 
-PREFIX = 4          # 16^4 = 65,536 hash buckets per part
+PREFIX = 4          # 16^4 = 65,536 hash buckets per part (rank cuts, per-trial parts)
+RANK_PREFIX = 5     # 16^5 buckets for a full global rank (no or few parts)
 _H, _B, _NB, _BEFORE, _TOT = "_rk_h", "_rk_b", "_rk_nb", "_rk_before", "_rk_tot"
 _RANK, _PID, _NP, _PB = "_rk_rank", "_rk_pid", "_rk_np", "_rk_pb"
 
@@ -137,19 +138,23 @@ def first_n(df: DataFrame, key: str, seed, n, parts: Sequence[str] = (),
 
 def global_rank(df: DataFrame, order_col: Column, tiebreak: Sequence[str],
                 parts: Sequence[str] = (), bucket: Column | None = None,
-                prefix: int = PREFIX, out: str = "rank") -> DataFrame:
+                prefix: int = RANK_PREFIX, out: str = "rank") -> DataFrame:
     """Rank 1..n of every row (per part) by (order_col, *tiebreak).
 
     ``bucket`` must be non-decreasing in ``order_col``; by default the first
-    ``prefix`` hex digits of ``order_col`` (an md5 string). Each bucket is sorted
-    in its own task; bucket offsets come from the bounded count table.
+    ``prefix`` hex digits of ``order_col`` (an md5 string: 16^5 buckets, about
+    a million rows per bucket at 10^12 rows). Each bucket is sorted in its own
+    task; bucket offsets come from the count table (<= n_parts x 16^prefix
+    rows). The join on (parts, bucket) is left to AQE: the window shuffles the
+    rows by the same keys, so a shuffled join adds no second data shuffle and
+    a small count table is still broadcast at run time.
     """
     parts = list(parts)
     d = df.withColumn(_H, order_col)
     d = d.withColumn(_B, bucket if bucket is not None else F.substring(_H, 1, prefix))
     counts = _bucket_counts(d, parts).select(*parts, _B, _BEFORE)
     w = Window.partitionBy(*parts, _B).orderBy(F.col(_H), *[F.col(t) for t in tiebreak])
-    return (d.join(F.broadcast(counts), [*parts, _B])
+    return (d.join(counts, [*parts, _B])
             .withColumn(out, (F.col(_BEFORE) + F.row_number().over(w)).cast("bigint"))
             .drop(_H, _B, _BEFORE))
 
