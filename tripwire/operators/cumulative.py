@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from tripwire.functions.buckets import log_bucket
 
 _B = "_cs_b"
+# 256 buckets per octave (relative width ~0.4 %): distinct values crowded in
+# a narrow band still spread over many tasks; the bucket table stays around
+# #parts x 256 x #octaves rows.
+SUB_BITS = 8
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], parts: Sequence[str] = (),
@@ -26,7 +30,8 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], parts: S
     to distinct values first). ``totals`` also adds ``<c>_total`` per part,
     taken from the bucket table (no second pass over the rows)."""
     parts = list(parts)
-    d = df.withColumn(_B, bucket if bucket is not None else log_bucket(F.col(order_col).cast("double")))
+    d = df.withColumn(_B, bucket if bucket is not None
+                      else log_bucket(F.col(order_col).cast("double"), sub_bits=SUB_BITS))
     tot = d.groupBy(*parts, _B).agg(*[F.sum(c).alias(f"_cs_t_{c}") for c in sum_cols])
     wp = Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))
     wb = wp.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
