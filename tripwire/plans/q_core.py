@@ -122,6 +122,14 @@ def q_stratified_split(spark, sf):
     return _split(Views.get(spark, sf))
 
 
+@query("train_unscaled", "WITH " + _SPLIT_SQL.strip() + """
+SELECT f.* FROM features f WHERE f.tx_id IN (SELECT tx_id FROM split WHERE split = 'train')""")
+def q_train_unscaled(spark, sf):
+    """Unscaled training rows (17 features, key, label) before N2."""
+    v = Views.get(spark, sf)
+    return prep.unscaled_train(prep.feature_frame(v.raw), _split(v))
+
+
 @query("split_stats", "WITH " + _SPLIT_SQL.strip() + """
 SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(isFraud) AS BIGINT) AS n_pos,
  round(avg(CAST(isFraud AS DOUBLE)), 9) AS pos_rate FROM split GROUP BY split""")
