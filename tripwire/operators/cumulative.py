@@ -46,23 +46,33 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], parts: S
 
 
 def exact_percentile(df: DataFrame, col: str | Column, q: float) -> float | None:
-    """Exact linear-interpolated percentile (numpy's default) without one
-    aggregation buffer holding every value.
+    """Exact linear-interpolated percentile (numpy's default); see
+    ``exact_percentiles``."""
+    return exact_percentiles(df, col, [q])[0]
+
+
+def exact_percentiles(df: DataFrame, col: str | Column, qs: Sequence[float]) -> list[float | None]:
+    """Exact linear-interpolated percentiles (numpy's default), all in one job,
+    without one aggregation buffer holding every value.
 
     Values are counted per distinct value first (a value held by a third of
     the rows is one row after the map-side combine); bucketed prefix sums give
     each distinct value's rank range, and the values at ranks floor/ceil of
     q·(n-1) are picked and interpolated. One bounded driver fetch (one row).
     """
-    from tripwire.operators.ranking import scalar
     c = F.col(col) if isinstance(col, str) else col
     counts = (df.select(c.cast("double").alias("_pv")).filter(F.col("_pv").isNotNull())
               .groupBy("_pv").agg(F.count(F.lit(1)).alias("_pn")))
     cum = prefix_sums(counts, "_pv", ["_pn"], totals=True)
-    pos = F.lit(float(q)) * (F.col("_pn_total") - 1)
-    lo, hi = F.floor(pos), F.ceil(pos)
     start, end = F.col("_pn_before"), F.col("_pn_before") + F.col("_pn")
-    picked = cum.agg(F.max(F.when((start <= lo) & (lo < end), F.col("_pv"))).alias("v_lo"),
-                     F.max(F.when((start <= hi) & (hi < end), F.col("_pv"))).alias("v_hi"),
-                     F.max(pos - lo).alias("frac"))
-    return scalar(picked.select(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")))
+    aggs = []
+    for i, q in enumerate(qs):
+        pos = F.lit(float(q)) * (F.col("_pn_total") - 1)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs += [F.max(F.when((start <= lo) & (lo < end), F.col("_pv"))).alias(f"lo{i}"),
+                 F.max(F.when((start <= hi) & (hi < end), F.col("_pv"))).alias(f"hi{i}"),
+                 F.max(pos - lo).alias(f"fr{i}")]
+    picked = cum.agg(*aggs)
+    row = picked.select(*[(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"fr{i}")).alias(f"p{i}")
+                          for i in range(len(qs))]).first()
+    return [row[f"p{i}"] for i in range(len(qs))]

@@ -279,8 +279,8 @@ def q_detection_rate(spark, sf):
         ("bulk_steal_10", lambda tot: F.floor(tot * F.lit(0.10))),
         ("slow_theft", lambda tot: F.least(F.lit(20), F.floor(tot / size)) * size),
     ], N_TRIALS)
-    out = rnd.unionByName(scenarios.targeted_access(h, "amount_c", "targeted_top20", 20.0, N_TRIALS)) \
-             .unionByName(scenarios.targeted_access(h, "amount_c", "targeted_top10", 10.0, N_TRIALS))
+    out = rnd.unionByName(scenarios.targeted_accesses(
+        h, "amount_c", [("targeted_top20", 20.0), ("targeted_top10", 10.0)], N_TRIALS))
     return out.withColumn("detection_rate", sig_round(F.col("detection_rate"))) \
               .withColumn("decoy_ratio", sig_round(F.col("decoy_ratio")))
 
