@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripwire.llm import quality, simhash, urls, warc
-from tripwire.llm.common import read_table
+from tripwire.llm import bpe, counts, html, quality, simhash, urls, warc
+from tripwire.llm.common import SPACE_RE, read_table, scratch_path, write_once
 
+import public_tokenizers
+
+BPE_JSON, BPE_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -65,3 +69,38 @@ r AS (SELECT *, CASE
     WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/' END AS rule FROM p)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM r
 """
+
+
+@query
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_round_trip(read_table(spark, sf_dir, "documents"), BPE_JSON)
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches over all documents: all are put; those labelled
+    of low quality are revised to their counts without repeated lines; those
+    labelled toxic are deleted. The second batch is committed twice, as after a
+    lost driver; it counts once. Versions: byte-level BPE tokens, and words."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    lean = F.array_join(F.array_distinct(F.split(text, "\n")), "\n")
+    words = lambda t: F.size(F.array_remove(F.split(t, SPACE_RE), ""))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", text.alias("text"), F.when(lean != text, lean).alias("lean"))
+    docs, _ = write_once(docs.select(
+        "doc_id", "source", "lang", counts.tokens_column("text", BPE_RANKS).alias("bpe"), words(F.col("text")).alias("words"),
+        F.col("lean").isNotNull().alias("revised"), counts.tokens_column("lean", BPE_RANKS).alias("lean_bpe"), words(F.col("lean")).alias("lean_words")), "counts")
+    labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    versions = {"byte_bpe_50k": "bpe", "words": "words"}
+    rollup = counts.Rollup(spark, scratch_path(spark, "rollup"))
+    marked = docs.join(labels, "doc_id")
+    lean_changes = counts.changes(marked.filter("quality = 0 AND revised"), "put", {"byte_bpe_50k": "lean_bpe", "words": "lean_words"})
+    rollup.commit(1, counts.changes(docs, "put", versions))
+    rollup.commit(2, lean_changes)
+    rollup.commit(2, lean_changes)
+    rollup.commit(3, counts.changes(marked.filter("toxic = 1"), "delete", versions))
+    return rollup.totals()
