@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.llm import bpe, counts, html, quality, simhash, urls, warc
+from tripwire.llm import bpe, counts, decontam, html, quality, simhash, urls, warc
 from tripwire.llm.common import SPACE_RE, read_table, scratch_path, write_once
 
 import public_tokenizers
@@ -104,3 +104,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit(2, lean_changes)
     rollup.commit(3, counts.changes(marked.filter("toxic = 1"), "delete", versions))
     return rollup.totals()
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
