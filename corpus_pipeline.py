@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripwire.llm import quality, simhash
+from tripwire.llm import bpe, decontam, quality, simhash, suffix
 from tripwire.llm.common import read_table, write_once
+from tripwire.llm.queries import BPE_JSON
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -19,18 +20,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component."""
+    """One document of each SimHash component, that with the smallest doc_id."""
     return simhash.keep_one(docs, shingle=3, distance=2)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates)]
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the bytes of strings of 200 bytes that occur twice."""
+    return suffix.drop_repeats(docs, length=200)
 
-#: Byte-level tokens and suffix sorting are not expressible in SQL; the tests hold run() against brute force.
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, n_tokens and the digests of its ids and of their decoding."""
+    return bpe.bpe_round_trip(docs, BPE_JSON)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages),
+    ("benchmark_leaks", benchmark_leaks), ("tokens", tokens),
+]
+
+#: Tokens, suffix sorting and the random walks of decontamination are not expressible in SQL;
+#: tests/llm holds run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; each result is written and reread as the next one's documents."""
+    """All stages in order over documents; each result but the last is written and reread as the next one's documents."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs, _ = write_once(stage(spark, docs, sf_dir), f"stage-{name}")

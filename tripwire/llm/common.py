@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,3 +89,55 @@ def components(edges: DataFrame, max_rounds: int = 60) -> tuple[DataFrame, list[
     # now every edge is (node, root), root the least node
     roots = cur.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
     return roots.union(roots.select(F.col("root"), F.col("root"))).distinct(), [path]
+
+
+# ---- rows looked up by the file group they lie in ------------------------------
+
+def slim_rows(df: DataFrame, id_col: str, text_col: str, name: str) -> tuple[DataFrame, str]:
+    """(row, id, raw): the texts in UTF-8 (null: empty), written once with a row
+    key. The key's upper bits number the task that wrote the row, its group: a
+    later scan finds what belongs to its rows in one small file per group
+    (``write_sides``), so the texts themselves are never shuffled."""
+    return write_once(df.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+        F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "utf-8").alias("raw")), name)
+
+
+def group_of(row: str = "row"):
+    """Group of a row key: the part that ``monotonically_increasing_id`` gives the task."""
+    return F.shiftright(F.col(row), 33).cast("int")
+
+
+def write_sides(df: DataFrame, name: str, *order: str) -> str:
+    """Write ``df`` (with a column ``g``) as one sorted file per group; returns the folder.
+    A group belongs to the rows of one input task, so a file is bounded by that."""
+    path = scratch_path(df.sparkSession, name)
+    df.repartition("g").sortWithinPartitions("g", *order).write.partitionBy("g").parquet(path)
+    return path
+
+
+class Sides:
+    """The side rows of one group at a time, read on the executors through
+    ``pyarrow`` from the shared folder; column arrays, empty if it has none."""
+
+    def __init__(self, path: str):
+        self.path, self.group, self.table = path, None, {}
+
+    def load(self, group: int, columns: list[str]) -> dict:
+        if group != self.group:
+            import pyarrow.parquet as pq
+            from pyarrow import fs
+            store, p = shared_fs(f"{self.path}/g={group}")
+            found = store.get_file_info(fs.FileSelector(p, allow_not_found=True))
+            parts = [pq.read_table(store.open_input_file(f.path), columns=columns) for f in sorted(found, key=lambda f: f.path) if f.path.endswith(".parquet")]
+            self.group = group
+            self.table = {c: np.concatenate([t.column(c).to_numpy() for t in parts]) if parts else np.empty(0, np.int64) for c in columns}
+        return self.table
+
+
+def shared_fs(path: str):
+    """(pyarrow file system, path in it) of a path in the shared folder."""
+    from pyarrow import fs
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)

@@ -249,13 +249,16 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     """The rows of ``docs`` whose text holds no item; all columns stay."""
     out = docs
     for block in _blocks(items, item_id, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(Matcher(block, rate, recall))
+        out = out.filter(~_held(docs.sparkSession.sparkContext.broadcast(Matcher(block, rate, recall)))(F.col(text_col).cast("string")))
+    return out
 
-        @F.pandas_udf("boolean")
-        def held(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            for s in batches:
-                hit = {g[0] for g in shared.value.find(s.tolist())}
-                yield pd.Series([i in hit for i in range(len(s))], dtype=bool)
 
-        out = out.filter(~held(F.col(text_col).cast("string")))
-    return out
+def _held(shared):
+    """A column function: whether a text holds any item of the broadcast matcher."""
+    @F.pandas_udf("boolean")
+    def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            hit = {g[0] for g in shared.value.find(s.tolist())}
+            yield pd.Series([i in hit for i in range(len(s))], dtype=bool)
+
+    return held

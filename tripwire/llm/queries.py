@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.llm import bpe, counts, decontam, html, quality, simhash, urls, warc
+from tripwire.llm import bpe, counts, decontam, html, quality, simhash, suffix, urls, warc
 from tripwire.llm.common import SPACE_RE, read_table, scratch_path, write_once
 
 import public_tokenizers
@@ -22,6 +22,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.suffix_dedup(read_table(spark, sf_dir, "documents"), length=200)
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

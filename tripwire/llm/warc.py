@@ -27,12 +27,11 @@ from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.llm.common import drop_path, scratch_path, write_once
+from tripwire.llm.common import drop_path, scratch_path, shared_fs, write_once
 
 #: Payloads from this size on are stored once.
 MIN_REVISIT = 1000
@@ -47,14 +46,8 @@ NO_ID = -(1 << 63)
 ID = "urn:x-capture:"
 
 
-def _fs(path: str) -> tuple[fs.FileSystem, str]:
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-
-
 def _create(path: str):
-    store, p = _fs(path)
+    store, p = shared_fs(path)
     store.create_dir(p.rsplit("/", 1)[0], recursive=True)
     return store.open_output_stream(p, compression=None)
 
@@ -214,13 +207,13 @@ class IndexReader:
         self.directory: tuple = ("", [], [])
 
     def _read(self, path: str, offset: int, length: int) -> bytes:
-        store, p = _fs(path)
+        store, p = shared_fs(path)
         with store.open_input_file(p) as f:
             return f.read_at(length, offset)
 
     def _directory(self, name: str) -> tuple:
         if self.directory[0] != name:
-            store, p = _fs(f"{name}.dir")
+            store, p = shared_fs(f"{name}.dir")
             with store.open_input_file(p) as f:
                 rows = json.loads(zlib.decompress(f.read()))
             self.directory = (name, rows, [tuple(r[:2]) for r in rows])
@@ -284,7 +277,7 @@ def read_records(lines: DataFrame) -> DataFrame:
                 if file != name:
                     if f is not None:
                         f.close()
-                    store, p = _fs(file)
+                    store, p = shared_fs(file)
                     name, f = file, store.open_input_file(p)
                 x = parse(zlib.decompress(f.read_at(length, offset), 31))
                 rows.append(x)
