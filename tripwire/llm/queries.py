@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.llm import bpe, counts, decontam, html, quality, simhash, suffix, urls, warc
+from tripwire.llm import bpe, counts, decontam, html, quality, simhash, substring, suffix, urls, warc
 from tripwire.llm.common import SPACE_RE, read_table, scratch_path, write_once
 
 import public_tokenizers
@@ -29,7 +29,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("failed_rules")
 
 
 #: The rules of the query (verdict, host, path).
@@ -114,3 +114,70 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(read_table(spark, sf_dir, "documents"), window=13)
+
+
+ORACLES["op8_substring_dedup"] = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i, ws FROM w),
+v AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS win FROM s),
+m AS (SELECT win, min(doc_id) AS least FROM v GROUP BY win),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM v JOIN m USING (win) WHERE doc_id > least),
+x AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+k AS (SELECT x.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS kept FROM x ANTI JOIN c USING (doc_id, j) GROUP BY x.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+ORACLES["op1_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM d),
+v AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS win FROM s),
+m AS (SELECT win FROM v GROUP BY win HAVING count(*) > 1),
+r AS (SELECT doc_id, i FROM v JOIN m USING (win)),
+p AS (SELECT doc_id, i, CASE WHEN i <= max(i + 200) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM r),
+q AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM p),
+t AS (SELECT doc_id, run, min(i) AS a, max(i) + 200 AS b FROM q GROUP BY doc_id, run),
+g AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM t),
+k AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS ending,
+  string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM g JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(ending, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+#: The rules of op2 again as SQL: cutoffs, statistic.
+_Q_RULES = " UNION ALL ".join(
+    f"SELECT '{name}' AS rule, {j + 1} AS j, CAST({c} AS DOUBLE) AS cutoff" for name, _, grid in quality.RULES for j, c in enumerate(grid))
+_Q_STATS = " UNION ALL ".join(
+    f"SELECT doc_id, stratum, '{name}' AS rule, CASE WHEN {e.split('/')[1]} > 0 THEN {e} ELSE 0.0 END AS stat FROM f" for name, e, _ in quality.RULES)
+_Q_LEVEL, _Q_DELTA = quality.ALPHA / len(quality.RULES), quality.DELTA / len(quality.RULES)
+ORACLES["op2_quality_rules"] = rf"""
+WITH w AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+v AS (SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS win FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+m AS (SELECT doc_id, win FROM v GROUP BY doc_id, win HAVING count(*) > 1),
+c AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS j FROM v JOIN m USING (doc_id, win)) GROUP BY doc_id),
+b AS (SELECT doc_id, stratum, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) AS BIGINT) AS n_upper,
+    CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM w LEFT JOIN c USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b),
+s AS ({_Q_STATS}), g AS ({_Q_RULES}),
+l AS (SELECT doc_id, max(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+k AS (SELECT stratum, rule, j, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND stat > cutoff) AS k, count(*) FILTER (NOT good AND stat > cutoff) AS hit
+  FROM s JOIN l USING (doc_id) JOIN g USING (rule) GROUP BY ALL),
+p AS (SELECT *, CASE WHEN k > n * {_Q_LEVEL} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
+    lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_Q_LEVEL}) + (n - i) * ln(1 - {_Q_LEVEL})))) END AS tail FROM k),
+o AS (SELECT *, min(CASE WHEN tail <= {_Q_DELTA} / (SELECT count(DISTINCT stratum) FROM k) THEN 1 ELSE 0 END)
+    OVER (PARTITION BY stratum, rule ORDER BY j ROWS UNBOUNDED PRECEDING) AS ok FROM p),
+z AS (SELECT stratum, rule, arg_max(cutoff, (hit - k) * 1000 - j) AS cutoff FROM o WHERE ok = 1 AND hit > k GROUP BY stratum, rule),
+bad AS (SELECT DISTINCT doc_id FROM s JOIN z USING (stratum, rule) WHERE stat > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM f
+"""
