@@ -9,7 +9,7 @@ encodes each distinct chunk once while it stays in a cache of bounded bytes.
 Joins: byte-level BPE works inside pre-tokens, so a cut between two pre-tokens
 joins exactly. Cuts prefer such places (letter or digit, space, letter or
 digit); a cut anywhere else is repaired by re-encoding from the left chunk's
-last pre-token until its boundaries agree with the right chunk's own.
+last pre-tokens until the boundaries agree with the right chunk's own.
 """
 
 from __future__ import annotations
@@ -95,11 +95,14 @@ class ChunkEncoder:
         self.cache: OrderedDict[str, np.ndarray] = OrderedDict()
         self.held = self.made = self.used = 0
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tok.encode(text, add_special_tokens=False).ids
+    def _pieces(self, text: str) -> list[tuple[int, str]]:
+        """(start, pre-token). Each encodes alone as it does in the text; a longer
+        part need not, for white space at its end would be split otherwise."""
+        return [(a, text[a:b]) for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
 
-    def _starts(self, text: str) -> list[int]:
-        return [span[0] for _, span in self.tok.pre_tokenizer.pre_tokenize_str(text)]
+    def _ids(self, pieces: list[tuple[int, str]]) -> np.ndarray:
+        found = self.tok.encode_batch_fast([p for _, p in pieces], add_special_tokens=False)
+        return np.array([i for e in found for i in e.ids], np.uint32)
 
     def chunks(self, wanted: list[str]) -> dict[str, np.ndarray]:
         """Ids of each distinct chunk; those not in the cache are encoded, once."""
@@ -131,25 +134,27 @@ class ChunkEncoder:
     def join(self, left: str, left_ids: np.ndarray, right: str, right_ids: np.ndarray) -> tuple[np.ndarray, str, np.ndarray]:
         """Repair a join at any character: (settled ids, open text, its ids).
         The open text is the rest of the right chunk that starts at a boundary
-        both agree on; without one, the whole re-encoded stretch."""
-        x = self._starts(left)[-1]
-        tail = left[x:]
-        kept = left_ids[: len(left_ids) - len(self._ids(tail))]
-        own, y = set(self._starts(right)), 64
+        both agree on; without one, the whole re-encoded stretch.
+
+        What follows a chunk can change its last two pre-tokens (a run goes on, or
+        an apostrophe and a letter become one), so boundaries after the start of
+        the last but one never count."""
+        ends = self._pieces(left)[-2:]
+        tail = left[ends[0][0]:]
+        kept = left_ids[: len(left_ids) - len(self._ids(ends))]
+        own, y = self._pieces(right), 64
+        starts = {a for a, _ in own}
         while True:
-            stretch = tail + right[:y]
-            last = self._starts(stretch)
-            # the last pre-token may go on behind y, so boundaries up to its start count
-            agreed = [s for s in last if s > len(tail) and s - len(tail) in own]
-            if y < len(right) and agreed or y >= len(right):
+            stretch = self._pieces(tail + right[:y])
+            agreed = [a - len(tail) for a, _ in stretch[:-1] if a > len(tail) and a - len(tail) in starts]
+            if agreed or y >= len(right):
                 break
             y *= 4
         if not agreed:
-            return kept, stretch, np.array(self._ids(stretch), np.uint32)
+            return kept, tail + right, self._ids(stretch)
         c = agreed[0]
-        settled = np.concatenate([kept, np.array(self._ids(stretch[:c]), np.uint32)])
-        b = c - len(tail)
-        return settled, right[b:], right_ids[len(self._ids(right[:b])):]
+        settled = np.concatenate([kept, self._ids([p for p in stretch if p[0] < c + len(tail)])])
+        return settled, right[c:], right_ids[len(self._ids([p for p in own if p[0] < c])):]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of whole texts, as one ``encode`` call of each would give them."""

@@ -72,10 +72,9 @@ def _element(tag: str, attrs: str, serial: int) -> tuple:
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name in ("class", "id", "role"):
                 v = value.lower().replace("_", "-")
-                if BAD_NAME.search(v):
-                    weight += NAME_WEIGHT[False]
-                elif GOOD_NAME.search(v):
-                    weight += NAME_WEIGHT[True]
+                good, bad = bool(GOOD_NAME.search(v)), bool(BAD_NAME.search(v))
+                if good != bad and tag not in ("html", "body"):  # a page's own classes tell what it has beside
+                    weight += NAME_WEIGHT[good]
             elif name == "style":
                 hidden |= bool(HIDDEN.search(value))
             else:
@@ -167,7 +166,9 @@ def logit(b: Block) -> float:
     """Log odds of content: evidence of the path, link share, length, sentence end."""
     if any(e[3] for e in b.path):
         return -20.0
-    z = BIAS + sum(e[2] for e in b.path) + LINK_WEIGHT * min(1.0, b.linked / len(b.text))
+    # the strongest sign of content on the path counts, but every sign of boilerplate
+    z = BIAS + max((e[2] for e in b.path if e[2] > 0), default=0.0) + sum(e[2] for e in b.path if e[2] < 0)
+    z += LINK_WEIGHT * min(1.0, b.linked / len(b.text))
     z += LONG_WEIGHT * math.log2(1 + len(b.text) / 40)
     return max(-20.0, min(20.0, z + END_WEIGHT * (b.text[-1] in ".!?:;\"'”»…")))
 
