@@ -105,12 +105,13 @@ def thresholds(feats: DataFrame, id_col: str, stratum_col: str, labels: DataFram
         .groupBy("stratum", "r.rule", "r.over").agg(F.sum(F.when(F.col("good"), 1).otherwise(0)).alias("g"),
                                                     F.sum(F.when(F.col("good"), 0).otherwise(1)).alias("b"))
     # cumulative counts over the grid: a bounded table of strata x rules x cutoffs
-    grid = feats.sparkSession.createDataFrame([(n, j + 1, float(c)) for n, _, g in rules for j, c in enumerate(g)],
-                                              "rule string, j int, cutoff double")
+    # the j-th cutoff from the lenient end is exceeded by statistics over ``least`` cutoffs or more
+    grid = feats.sparkSession.createDataFrame([(n, j + 1, len(g) - j, float(c)) for n, _, g in rules for j, c in enumerate(g)],
+                                              "rule string, j int, least int, cutoff double")
     sums = held.groupBy("stratum", "rule").agg(F.sum("g").alias("n_good"), F.sum("b").alias("n_bad"),
                                                F.collect_list(F.struct("over", "g", "b")).alias("hist"))
     beyond = lambda f: F.aggregate(F.col("hist"), F.lit(0).cast("long"),
-                                   lambda a, x: a + F.when(x["over"] >= F.col("j"), x[f]).otherwise(0))
+                                   lambda a, x: a + F.when(x["over"] >= F.col("least"), x[f]).otherwise(0))
     n_strata = held.select("stratum").distinct().agg(F.count("*").alias("n_strata"))
     cand = sums.join(F.broadcast(grid), "rule").withColumn("n_false", beyond("g")).withColumn("n_caught", beyond("b")) \
         .crossJoin(n_strata)  # one row
