@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tripwire.schema import CONTENT_CENTS
 from tripwire.operators import detect, lookup
 
 
@@ -59,12 +60,47 @@ def test_hash_is_sha256_of_encoding_and_salt(spark):
     df = spark.createDataFrame([(1, "PAYMENT", 10, 0, 0, 5, 15)],
                                "step int, type string, amount_c long, oldbalanceOrg_c long, newbalanceOrig_c long, "
                                "oldbalanceDest_c long, newbalanceDest_c long")
-    got = lookup.hash_rows(df, salt="s3cret").first().row_hash
+    got = lookup.hash_rows(df, CONTENT_CENTS, "s3cret").first().row_hash
     assert got == hashlib.sha256(b"1,PAYMENT,10,0,0,5,15s3cret").hexdigest()
 
 
+def test_encoding_tells_rows_apart(spark):
+    from tripwire.functions.hashing import encode_row, encode_row_fixed6
+    rows = [("a", None, "b"), ("a", "b", None), (None, "a", "b"), ("a,b", "", None), ("a", "b", ""), ("a\\,b", "", None), ("\\N", "a", "b"), ("a\\", "b", "c"), ("a", "\\b", "c")]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    assert df.select(encode_row(["x", "y", "z"]).alias("e")).distinct().count() == len(rows)
+    num = spark.createDataFrame([(1.0, None), (None, 1.0), (0.0, 1.0)], "x double, y double")
+    assert sorted(r.e for r in num.select(encode_row_fixed6(["x", "y"]).alias("e")).collect()) == ["0.000000,1.000000", "1.000000,\\N", "\\N,1.000000"]
+
+
+def test_salt_is_in_no_plan(spark, capsys):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    h = lookup.hash_rows(df, ["a", "b"], "sEcReTsAlT")
+    h.collect()
+    h.explain("extended")
+    assert "row_hash" in (out := capsys.readouterr().out) and "sEcReTsAlT" not in out
+    assert "sEcReTsAlT" not in h._jdf.queryExecution().toString()
+
+
+def test_zone_order_is_the_callers(spark):
+    d = spark.createDataFrame([("h", "random"), ("h", "cluster"), ("g", None), ("k", "zz"), ("k", "aa"), ("k", "random")], "row_hash string, zone string")
+    got = lambda **kw: {r.row_hash: r.zone for r in lookup.register(d, **kw).collect()}
+    assert got() == {"h": "cluster", "g": None, "k": "zz"}
+    assert got(order=["cluster", "random"]) == {"h": "random", "g": None, "k": "zz"}
+    assert got(order=["zz", "random"])["k"] == "aa"
+
+
+def test_unknown_positions_are_counted(spark):
+    rows = spark.createDataFrame([(0, "x", True), (1, "y", False)], "pos long, c string, is_decoy boolean")
+    lk = lookup.register(lookup.hash_rows(rows.filter("is_decoy").withColumn("zone", F.lit("random")), ["c"], "s"))
+    acc = spark.createDataFrame([(7, 1, 0), (7, 1, 1), (7, 2, 99), (8, 1, None)], "actor long, batch int, pos long")
+    hits = detect.access_hits(acc, rows, lk, "s", content=["c"])
+    got = {r.actor: (r.n_rows, r.n_decoys, r.first_alarm_batch) for r in detect.first_alarm(hits).collect()}
+    assert got == {7: (3, 1, 1), 8: (1, 0, None)}
+
+
 def test_every_planted_decoy_is_found(views):
-    rows = lookup.hash_rows(views.injected)
+    rows = lookup.hash_rows(views.injected, CONTENT_CENTS, views.salt)
     hits = lookup.is_decoy(rows, views.lookup())
     agg = hits.agg(F.sum(F.col("is_decoy").cast("int")).alias("t"),
                    F.sum(F.col("hit_zone").isNotNull().cast("int")).alias("h"),

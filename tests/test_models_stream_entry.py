@@ -74,7 +74,7 @@ def test_entry_contract(spark):
 def test_end_to_end_pipeline(spark, tmp_path):
     from tripwire.plans.pipeline import PipelineConfig, run_from_tables
     out = run_from_tables(spark, SF001, str(tmp_path / "run"),
-                          PipelineConfig(num_trees=5, max_depth=4, n_trials=3))
+                          PipelineConfig(salt="test", num_trees=5, max_depth=4))
     att = {r.scenario: r for r in out["attacks"].collect()}
     assert set(att) == {"bulk_steal_30", "bulk_steal_10", "slow_theft", "targeted_top20", "targeted_top10"}
     assert att["bulk_steal_30"].detection_rate == 1.0

@@ -13,14 +13,19 @@ from pyspark.sql import functions as F
 
 
 def log_bucket(x: Column, sub_bits: int = 6) -> Column:
+    """Infinities lie beyond all finite buckets, NaN beyond +infinity (Spark's own
+    order); NULL has no bucket."""
     sub = 2 ** sub_bits
-    a = F.abs(x)
+    inf = float("inf")
+    odd = x.isNull() | F.isnan(x) | (x == inf) | (x == -inf) | (x == 0)
+    a = F.when(odd, F.lit(1.0)).otherwise(F.abs(x))
     e = F.floor(F.log2(a))
     m = a / F.pow(F.lit(2.0), e)
     # k grows with |x|; an off-by-one exponent at a power of two lands on the
     # neighbouring key, so the order is kept.
     k = ((e + 1100) * sub + F.floor((m - 1.0) * sub)).cast("bigint")
-    return (F.when(x > 0, k).when(x < 0, -k).otherwise(F.lit(0).cast("bigint")))
+    return (F.when(x.isNull(), F.lit(None).cast("bigint")).when(F.isnan(x), F.lit(1 << 41)).when(x == inf, F.lit(1 << 40))
+            .when(x == -inf, F.lit(-(1 << 40))).when(x > 0, k).when(x < 0, -k).otherwise(F.lit(0)).cast("bigint"))
 
 
 def sig_round(x: Column, digits: int = 9) -> Column:

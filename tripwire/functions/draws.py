@@ -22,16 +22,17 @@ def draw_key(key, seed) -> Column:
     return F.md5(F.concat(_c(key).cast("string"), F.lit(":"), seed_c))
 
 
-def uniform32(hex_col: Column, start: int = 1) -> Column:
-    """Integer in [0, 2^32) from 8 hex digits of an md5 string."""
-    return F.conv(F.substring(hex_col, start, 8), 16, 10).cast("bigint")
+def uniform_bits(hex_col: Column, digits: int = 15) -> Column:
+    """Integer in [0, 16^digits) from the first hex digits of an md5 string (15: 60 bits)."""
+    return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("bigint")
 
 
 def uniform01(key, seed, slot: int = 0) -> Column:
     """Uniform double in (0, 1) for (key, seed, slot); slots are independent streams."""
     seed_c = F.lit(str(seed)) if not isinstance(seed, Column) else seed.cast("string")
     h = F.md5(F.concat(_c(key).cast("string"), F.lit(":"), seed_c, F.lit(f"#{slot}")))
-    return (uniform32(h).cast("double") + F.lit(0.5)) / F.lit(float(2 ** 32))
+    # 52 bits, so that neither end is reached after rounding to a double
+    return (uniform_bits(h, 13).cast("double") + F.lit(0.5)) / F.lit(float(2 ** 52))
 
 
 def standard_normal(key, seed, slot: int = 0) -> Column:

@@ -1,9 +1,9 @@
 """Detection over accesses: hits, alarms, first alarm, zone profiles.
 
-An access row is (who, when/batch, which row). Its content is hashed and
-joined once with the lookup; everything after is aggregation with map-side
-partial aggregation, so an actor holding a third of all accesses costs one
-partial-aggregate row per task, not a hot task.
+An access row is (who, when/batch, which row). The table rows are hashed and
+probed once, accesses join the few positions that hit; everything after is
+aggregation with map-side partial aggregation, so an actor holding a third of
+all accesses costs one partial-aggregate row per task, not a hot task.
 """
 
 from __future__ import annotations
@@ -14,23 +14,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwire.functions.draws import draw_key
-from tripwire.functions.hashing import DEFAULT_SALT
-from tripwire.operators.lookup import HIT, batch_check, hash_rows, is_decoy
+from tripwire.functions.hashing import hash_rows
+from tripwire.operators.lookup import HIT, batch_check, is_decoy
 from tripwire.operators.ranking import first_n, global_rank
-from tripwire.schema import CONTENT_CENTS, ZONES, zone_order
+from tripwire.schema import CONTENT_CENTS, zone_order
 
 
-def access_hits(access: DataFrame, rows: DataFrame, lookup: DataFrame,
-                salt: str = DEFAULT_SALT, pos_col: str = "pos",
+def probe(rows: DataFrame, lookup: DataFrame, salt: str, pos_col: str = "pos",
+          content: Sequence[str] = CONTENT_CENTS) -> DataFrame:
+    """The rows an alarm can come from: ``(pos, is_decoy, hit_zone)`` of every
+    table row that hits the lookup or is a decoy. Each table row is hashed and
+    probed once, not once per access; the result is as small as the decoys."""
+    keep = [pos_col, *content] + [c for c in ("is_decoy",) if c in rows.columns]
+    found = is_decoy(hash_rows(rows.select(*keep), content, salt), lookup)
+    truth = F.col("is_decoy") if "is_decoy" in rows.columns else F.lit(False)
+    return found.filter(F.col(HIT).isNotNull() | truth).select(pos_col, truth.alias("is_decoy"), HIT)
+
+
+def access_hits(access: DataFrame, rows: DataFrame, lookup: DataFrame, salt: str, pos_col: str = "pos",
                 content: Sequence[str] = CONTENT_CENTS) -> DataFrame:
-    """Resolve each access to its row content, hash it, probe the lookup.
+    """Every access with ``is_decoy`` and ``hit_zone``. An access to an ordinary
+    or unknown position has no hit, and is counted like any other."""
+    return join_hits(access, probe(rows, lookup, salt, pos_col, content), pos_col)
 
-    ``access ⋈ rows`` on ``pos`` is a shuffled equi-join (AQE splits a hot
-    ``pos``); the lookup probe is a second equi-join on the hash.
-    """
-    keep = [pos_col, *content] + [c for c in ("is_decoy",) if c in rows.columns]
-    resolved = access.join(rows.select(*keep), pos_col)
-    return is_decoy(hash_rows(resolved, content, salt), lookup)
+
+def join_hits(access: DataFrame, probed: DataFrame, pos_col: str = "pos") -> DataFrame:
+    """Accesses left-joined with the probed positions: one shuffle of the log,
+    or none where AQE finds the probed side small; a hot position is split by AQE."""
+    return access.join(probed, pos_col, "left").withColumn("is_decoy", F.coalesce("is_decoy", F.lit(False)))
 
 
 def first_alarm(hits: DataFrame, actor: str = "actor", batch: str = "batch",
@@ -62,12 +73,6 @@ def zone_totals(hits: DataFrame, by: Sequence[str] = (), hit_col: str = HIT) ->
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_hits")))
 
 
-def zone_map(long: DataFrame, by: Sequence[str], zone: str = "zone", n: str = "n_hits") -> DataFrame:
-    """D5 merged form: one zone->count map per group (at most #zones entries)."""
-    return long.groupBy(*by).agg(F.map_from_entries(F.sort_array(F.collect_list(
-        F.struct(F.col(zone), F.col(n))))).alias("zones_hit"))
-
-
 def actor_profile(hits: DataFrame, actor: str = "actor", hit_col: str = HIT) -> DataFrame:
     """The zone an actor hit most (tie -> earliest zone order), its share,
     and how many zones were hit."""
@@ -98,7 +103,3 @@ def incremental_batches(df: DataFrame, key: str, seed, n_batches: int, batch_siz
                      lambda tot: F.least(F.lit(int(n_batches)), F.floor(tot / size)) * size)
     ranked = global_rank(chosen, draw_key(key, seed), [key], out="_r")
     return ranked.withColumn("batch", (F.floor((F.col("_r") - 1) / size) + 1).cast("int")).drop("_r")
-
-
-def zone_names() -> list[str]:
-    return list(ZONES)

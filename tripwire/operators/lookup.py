@@ -14,38 +14,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwire.functions.hashing import DEFAULT_SALT, row_hash
-from tripwire.schema import CONTENT_CENTS, ZONES
+from tripwire.functions.hashing import hash_rows  # noqa: F401 - part of the lookup interface
+from tripwire.schema import ZONES
 
 HIT = "hit_zone"
 
 
-def hash_rows(df: DataFrame, cols: Sequence = CONTENT_CENTS, salt: str = DEFAULT_SALT,
-              out: str = "row_hash", fixed6: bool = False) -> DataFrame:
-    """J1+J2: add the salted SHA-256 of the row content."""
-    return df.withColumn(out, row_hash(cols, salt, fixed6))
-
-
-def register(decoys: DataFrame, hash_col: str = "row_hash", zone_col: str = "zone") -> DataFrame:
+def register(decoys: DataFrame, hash_col: str = "row_hash", zone_col: str = "zone",
+             order: Sequence[str] = tuple(ZONES)) -> DataFrame:
     """Hash -> zone; when a hash is registered by several zones the one
-    registered last (zone order random, edge_case, cluster, high_value, then
-    other zone names) wins.
+    registered last wins: ``order`` is the caller's order of zones, other names
+    come after it in alphabetical order, NULL before all.
 
-    Zones are coded as integers from the (tiny) zone dictionary so the
-    per-hash reduction is a hash aggregate on ``max(code)`` with map-side
-    partial aggregation, not a sort-based aggregate over strings.
+    One aggregate with a map-side combine; no zone name is collected.
     """
-    names = [r[0] for r in decoys.select(zone_col).distinct().collect()]   # bounded: #zones
-    order = [z for z in ZONES if z in names] + sorted(z for z in names if z is not None and z not in ZONES)
     z = F.col(zone_col)
-    code = F.lit(None).cast("int")
-    for i, name in enumerate(order):
-        code = F.when(z == name, F.lit(i)).otherwise(code)
-    if not order:
-        return decoys.select(F.col(hash_col), F.lit(None).cast("string").alias(zone_col)).limit(0)
-    agg = decoys.groupBy(hash_col).agg(F.max(code).alias("_zc"))
-    return agg.select(hash_col, F.element_at(F.array(*[F.lit(n) for n in order]), F.col("_zc") + 1)
-                      .alias(zone_col))
+    place = F.array_position(F.array(*[F.lit(o) for o in order]), z) if order else F.lit(0)
+    last = F.when(z.isNotNull(), F.struct(F.when(place > 0, place).otherwise(F.lit(len(order) + 1)).alias("place"), z.alias("zone")))
+    return decoys.groupBy(hash_col).agg(F.max(last).alias("_z")).select(hash_col, F.col("_z.zone").alias(zone_col))
 
 
 def registrations(decoys: DataFrame, zone_col: str = "zone") -> DataFrame:
@@ -97,8 +83,3 @@ def batch_check(hits: DataFrame, batch_cols: Sequence[str], hit_col: str = HIT)
         F.when(F.col("n_rows") > 0, F.col("n_decoys") / F.col("n_rows")).otherwise(F.lit(0.0)).alias("decoy_ratio"),
         F.map_from_entries("_zones").alias("zones_hit"),
     )
-
-
-def zones_json(map_col: str = "zones_hit"):
-    """Map column as JSON text (sorted keys), the form written to CSV reports."""
-    return F.to_json(F.col(map_col))

@@ -5,8 +5,7 @@ it is built here as a distributed operator:
 
 * fit  – every tree draws its own sub-sample of ``psi`` rows by seeded hash:
   a row survives for tree t when u(key, t) < c·psi/n (a filter inside one
-  projection, no row replication beyond the survivors; on large tables one
-  draw per row and disjoint windows per tree), then each tree's
+  projection, no row replication beyond the survivors), then each tree's
   candidates (~c·psi rows, bounded) are reduced to exactly ``psi`` rows and the
   tree is grown in ``groupBy(tree).applyInPandas``. The output is a node table.
 * score – the node table (trees x <= 2·psi nodes, bounded) is broadcast and
@@ -24,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripwire.functions.draws import uniform01
 from tripwire.operators.ranking import scalar
 
 EULER = 0.5772156649015329
@@ -129,18 +127,12 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str], key: str, n_tre
     thr = min(1.0, oversample * m / max(n, 1) + 64.0 / max(n, 1))
     height = max(1, math.ceil(math.log2(max(m, 2))))
     base = df.select(key, *[F.col(f).cast("double") for f in feats])
-    if thr * n_trees <= 1.0:
-        # large tables: one draw per row; tree t takes the rows whose draw falls
-        # in its own window [(t-1)·thr, t·thr) -> disjoint random sub-samples
-        u = uniform01(F.col(key), f"if{seed}")
-        t = (F.floor(u / F.lit(thr)) + 1).cast("int")
-        cand = (base.withColumn("tree", t).filter(F.col("tree") <= n_trees)
-                .withColumn("_u", u - (F.col("tree") - 1) * F.lit(thr)))
-    else:
-        trees = F.sequence(F.lit(1), F.lit(n_trees))
-        kept = F.filter(trees, lambda t: uniform01(F.col(key), F.concat(F.lit(f"if{seed}:"), t.cast("string"))) < F.lit(thr))
-        cand = (base.withColumn("tree", F.explode(kept))
-                .withColumn("_u", uniform01(F.col(key), F.concat(F.lit(f"if{seed}:"), F.col("tree").cast("string")))))
+    # every tree draws on its own at every table size: a 64-bit hash of (key, tree) under a threshold
+    draw = lambda t: F.xxhash64(F.col(key), F.lit(seed), t)
+    limit = F.lit(-(1 << 63) + min(int(thr * (1 << 64)), (1 << 64) - 1)).cast("bigint")
+    trees = F.sequence(F.lit(1), F.lit(n_trees))
+    cand = (base.withColumn("tree", F.explode(F.filter(trees, lambda t: draw(t) <= limit)))
+            .withColumn("_u", draw(F.col("tree"))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["tree"].iloc[0])

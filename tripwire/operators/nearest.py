@@ -10,8 +10,7 @@
   anchor. Points are routed to those cells only; each (cell, anchor chunk,
   point chunk) group is reduced with numpy inside ``cogroup.applyInPandas``
   (pairs are never materialised as rows), and hot cells are split into chunks
-  so that no group exceeds ``max_group`` anchors or points. Exact.
-* ``min_dist``           – picks the path from the anchor count.
+  so that no group exceeds about ``max_group`` anchors or points. Exact.
 """
 
 from __future__ import annotations
@@ -63,11 +62,13 @@ def _min_dist_np(q: np.ndarray, a: np.ndarray, q_block: int = 1024, a_block: int
     return np.sqrt(out)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """CPU-heavy per-row work: give an input read from fewer files than cores
-    one partition per core (file listing only; nothing is executed)."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if len(df.inputFiles()) < par else df
+def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """||x_i - c_j||, by blocks of rows so that the differences stay under about 4 million numbers."""
+    step = max(1, (4 << 20) // max(1, c.size))
+    out = np.empty((len(x), len(c)))
+    for i in range(0, len(x), step):
+        out[i:i + step] = np.sqrt(((x[i:i + step, None, :] - c[None, :, :]) ** 2).sum(-1))
+    return out
 
 
 def _schema(df: DataFrame, key: str, out: str) -> T.StructType:
@@ -89,7 +90,7 @@ def min_dist_broadcast(points: DataFrame, anchors: DataFrame, key: str, features
             q = pdf[feats].to_numpy(dtype=float)
             yield pd.DataFrame({key: pdf[key], out: _min_dist_np(q, arr)})
 
-    return _spread(points.select(key, *feats)).mapInPandas(run, _schema(points, key, out))
+    return points.select(key, *feats).mapInPandas(run, _schema(points, key, out))
 
 
 def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Sequence[str],
@@ -97,9 +98,10 @@ def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Se
                    seed: int = 42) -> DataFrame:
     feats = list(features)
     spark = points.sparkSession
-    n_a = anchors.count()
-    m = n_cells or max(1, min(256, int(math.sqrt(max(n_a, 1)))))
-    # cell pivots: m anchors drawn by seeded hash (bounded m x d, no iterative fit)
+    # repeated anchors cannot change a least distance: each is kept once, so equal rows make no hot cell and no equal pivots
+    anchors = materialize(anchors.select(*[F.col(f).cast("double") for f in feats]).distinct(), "anchors")
+    m = n_cells or max(1, math.isqrt(max(anchors.count(), 1)))
+    # cell pivots: the square root of the anchors, drawn by seeded hash (m x d numbers, no iterative fit)
     h = F.md5(F.concat_ws("|", *[F.col(f).cast("string") for f in feats], F.lit(f":{seed}")))
     piv = anchors.select(*feats).withColumn("_h", h).orderBy("_h").limit(m).drop("_h")
     cents = np.array(piv.collect(), dtype=float).reshape(-1, len(feats))
@@ -110,7 +112,7 @@ def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Se
         c = c_b.value
         for pdf in it:
             x = pdf[feats].to_numpy(dtype=float)
-            d = np.sqrt(((x[:, None, :] - c[None, :, :]) ** 2).sum(-1))
+            d = _distances(x, c)
             cell = d.argmin(1)
             res = pdf[feats].copy()
             res["_cell"] = cell.astype("int32")
@@ -119,7 +121,7 @@ def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Se
 
     a_schema = T.StructType([T.StructField(f, T.DoubleType()) for f in feats] + [
         T.StructField("_cell", T.IntegerType()), T.StructField("_dc", T.DoubleType())])
-    a_cells = _spread(anchors.select(*[F.col(f).cast("double") for f in feats])).mapInPandas(assign, a_schema)
+    a_cells = anchors.mapInPandas(assign, a_schema)
     a_cells = materialize(a_cells)          # reused by the jobs below
     stats = {r["_cell"]: (r["r"], r["n"]) for r in
              a_cells.groupBy("_cell").agg(F.max("_dc").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
@@ -131,7 +133,7 @@ def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Se
         live = np.isfinite(r)
         for pdf in it:
             x = pdf[feats].to_numpy(dtype=float)
-            d = np.sqrt(((x[:, None, :] - c[None, :, :]) ** 2).sum(-1))
+            d = _distances(x, c)
             ub = np.where(live[None, :], d + r[None, :], np.inf).min(1)
             ok = live[None, :] & (d - r[None, :] <= ub[:, None] + 1e-9 * (1.0 + ub[:, None]))
             qi, ci = np.nonzero(ok)
@@ -141,7 +143,7 @@ def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Se
 
     q_schema = T.StructType([points.schema[key]] + [T.StructField(f, T.DoubleType()) for f in feats]
                             + [T.StructField("_cell", T.IntegerType())])
-    q_cells = _spread(points.select(key, *[F.col(f).cast("double") for f in feats])).mapInPandas(candidates, q_schema)
+    q_cells = points.select(key, *[F.col(f).cast("double") for f in feats]).mapInPandas(candidates, q_schema)
     q_cells = materialize(q_cells)
     q_counts = {r["_cell"]: r["n"] for r in q_cells.groupBy("_cell").count().withColumnRenamed("count", "n").collect()}
 
@@ -168,11 +170,3 @@ def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Se
     part = (q_grp.groupBy("_cell", "_a", "_q").cogroup(a_grp.groupBy("_cell", "_a", "_q"))
             .applyInPandas(reduce_group, _schema(points, key, out)))
     return part.groupBy(key).agg(F.min(out).alias(out))
-
-
-def min_dist(points: DataFrame, anchors: DataFrame, key: str, features: Sequence[str],
-             out: str = "min_dist", max_broadcast_rows: int = BROADCAST_MAX_ROWS, **kw) -> DataFrame:
-    n = anchors.count()
-    if n <= max_broadcast_rows:
-        return min_dist_broadcast(points, anchors, key, features, out, max_broadcast_rows)
-    return min_dist_cells(points, anchors, key, features, out, **kw)

@@ -50,14 +50,14 @@ def one_hot_type(df: DataFrame, extra_types: str = "ignore") -> DataFrame:
     """One dummy per type of the fixed domain (all five always present).
 
     ``extra_types='error'`` fails the job on a type outside the domain;
-    ``'ignore'`` encodes it as all zeros.
+    ``'ignore'`` encodes it as all zeros, like a NULL type.
     """
     t = F.col("type")
     out = df
     if extra_types == "error":
         out = out.withColumn("type", F.when(t.isin(*TYPE_DOMAIN), t).otherwise(
             F.raise_error(F.concat(F.lit("unknown transaction type: "), t))))
-    return out.withColumns({f"type_{v}": (F.col("type") == v).cast("int") for v in TYPE_DOMAIN}).drop("type")
+    return out.withColumns({f"type_{v}": F.coalesce((F.col("type") == v).cast("int"), F.lit(0)) for v in TYPE_DOMAIN}).drop("type")
 
 
 def feature_frame(raw: DataFrame, normalize_first: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tripwire.functions.buckets import sig_round, sig_round_sql as S
-from tripwire.operators import detect, inject, lookup, metrics, nearest, prep, scenarios
+from tripwire.operators import inject, lookup, metrics, nearest, prep, scenarios
 from tripwire.plans.q_core import _SPLIT_SQL
 from tripwire.plans.registry import query
 from tripwire.schema import CONTENT_CENTS, FEATURES
@@ -14,7 +14,6 @@ from tripwire.session import materialize
 from tripwire.sources.fixtures import Views
 
 RATIO = 0.05
-N_TRIALS = 20
 HV_SEED = "42:random"
 
 
@@ -227,7 +226,7 @@ def q_density_sweep(spark, sf):
 # ---- access scenarios over the fixture injected set ------------------------------------
 
 def _inj_hits(v: Views):
-    """Injected rows probed once against the lookup (materialised: every trial reads it)."""
+    """Injected rows probed once against the lookup (materialised: the scenario queries share it)."""
     def build():
         rows = lookup.hash_rows(v.injected.select("pos", *CONTENT_CENTS), CONTENT_CENTS, v.salt)
         return materialize(lookup.is_decoy(rows, v.lookup()).select("pos", "amount_c", "hit_zone"))
@@ -239,57 +238,41 @@ ih AS (SELECT i.pos, i.amount_c, k.zone AS hit_zone FROM injected i
  LEFT JOIN lookup k ON k.row_hash = sha256(concat(concat_ws(',', CAST(i.step AS VARCHAR), i.type,
    CAST(i.amount_c AS VARCHAR), CAST(i.oldbalanceOrg_c AS VARCHAR), CAST(i.newbalanceOrig_c AS VARCHAR),
    CAST(i.oldbalanceDest_c AS VARCHAR), CAST(i.newbalanceDest_c AS VARCHAR)), 'pepper'))),
-trials AS (SELECT range AS trial FROM range(1, 21)),
-ntot AS (SELECT count(*) AS n FROM ih),
-rs AS (
- SELECT 'bulk_steal_30' AS scenario, t.trial, ih.pos, ih.hit_zone,
-   row_number() OVER (PARTITION BY t.trial ORDER BY md5(concat(CAST(ih.pos AS VARCHAR), ':bulk_steal_30:', CAST(t.trial AS VARCHAR))), ih.pos) AS rn,
-   floor((SELECT n FROM ntot) * CAST(0.3 AS DOUBLE)) AS k FROM ih, trials t
- UNION ALL
- SELECT 'bulk_steal_10', t.trial, ih.pos, ih.hit_zone,
-   row_number() OVER (PARTITION BY t.trial ORDER BY md5(concat(CAST(ih.pos AS VARCHAR), ':bulk_steal_10:', CAST(t.trial AS VARCHAR))), ih.pos),
-   floor((SELECT n FROM ntot) * CAST(0.1 AS DOUBLE)) FROM ih, trials t
- UNION ALL
- SELECT 'slow_theft', t.trial, ih.pos, ih.hit_zone,
-   row_number() OVER (PARTITION BY t.trial ORDER BY md5(concat(CAST(ih.pos AS VARCHAR), ':slow_theft:', CAST(t.trial AS VARCHAR))), ih.pos),
-   least(20, floor((SELECT n FROM ntot) / 100)) * 100 FROM ih, trials t),
-sel AS (SELECT scenario, trial, pos, hit_zone FROM rs WHERE rn <= k
- UNION ALL SELECT 'targeted_top20', t.trial, pos, hit_zone FROM ih, trials t
-   WHERE amount_c >= (SELECT quantile_cont(amount_c, 0.8) FROM ih)
- UNION ALL SELECT 'targeted_top10', t.trial, pos, hit_zone FROM ih, trials t
-   WHERE amount_c >= (SELECT quantile_cont(amount_c, 0.9) FROM ih)),
-pt AS (SELECT scenario, trial, count(*) AS n_stolen, count(hit_zone) AS n_decoys FROM sel GROUP BY scenario, trial),
-zt AS (SELECT scenario, '{' || string_agg('"' || hit_zone || '":' || CAST(n AS VARCHAR), ',' ORDER BY hit_zone) || '}' AS zones_hit
- FROM (SELECT scenario, hit_zone, count(*) AS n FROM sel WHERE hit_zone IS NOT NULL GROUP BY scenario, hit_zone) q GROUP BY scenario)"""
+tot AS (SELECT count(*) AS n, count(hit_zone) AS d FROM ih),
+zc AS (SELECT hit_zone, count(*) AS dz FROM ih WHERE hit_zone IS NOT NULL GROUP BY hit_zone),
+uk AS (SELECT 'bulk_steal_30' AS scenario, CAST(floor(n * CAST(0.3 AS DOUBLE)) AS BIGINT) AS k, n, d FROM tot
+ UNION ALL SELECT 'bulk_steal_10', CAST(floor(n * CAST(0.1 AS DOUBLE)) AS BIGINT), n, d FROM tot
+ UNION ALL SELECT 'slow_theft', CAST(least(20, floor(n / 100)) * 100 AS BIGINT), n, d FROM tot),
+ur AS (SELECT scenario, k AS n_rows, CASE WHEN d <= 0 OR k <= 0 THEN 0.0 WHEN n - d < k THEN 1.0 ELSE
+   1.0 - exp(lgamma(n - d + 1) - lgamma(n - d - k + 1) - lgamma(n + 1) + lgamma(n - k + 1)) END AS detection_rate,
+  CASE WHEN k > 0 THEN d / CAST(n AS DOUBLE) ELSE 0.0 END AS decoy_ratio,
+  (SELECT '{' || coalesce(string_agg('"' || hit_zone || '":' || CAST(CAST(floor(k * dz / CAST(n AS DOUBLE) + 0.5) AS BIGINT) AS VARCHAR), ',' ORDER BY hit_zone), '') || '}' FROM zc) AS zones_hit
+ FROM uk),
+sel AS (SELECT 'targeted_top20' AS scenario, hit_zone FROM ih WHERE amount_c >= (SELECT quantile_cont(amount_c, 0.8) FROM ih)
+ UNION ALL SELECT 'targeted_top10', hit_zone FROM ih WHERE amount_c >= (SELECT quantile_cont(amount_c, 0.9) FROM ih)),
+tr AS (SELECT s.scenario, count(*) AS n_rows, CASE WHEN count(hit_zone) > 0 THEN 1.0 ELSE 0.0 END AS detection_rate,
+  count(hit_zone) / CAST(count(*) AS DOUBLE) AS decoy_ratio, max(coalesce(z.zones_hit, '{}')) AS zones_hit
+ FROM sel s LEFT JOIN (SELECT scenario, '{' || string_agg('"' || hit_zone || '":' || CAST(c AS VARCHAR), ',' ORDER BY hit_zone) || '}' AS zones_hit
+   FROM (SELECT scenario, hit_zone, count(*) AS c FROM sel WHERE hit_zone IS NOT NULL GROUP BY scenario, hit_zone) q GROUP BY scenario) z
+  ON s.scenario = z.scenario GROUP BY s.scenario),
+sc AS (SELECT * FROM ur UNION ALL SELECT * FROM tr)"""
 
 
 @query("detection_rate", "WITH " + _IH.strip() + f"""
-SELECT p.scenario, CAST(20 AS INTEGER) AS n_trials,
- {S('sum(CASE WHEN n_decoys > 0 THEN 1 ELSE 0 END) / 20.0')} AS detection_rate,
- {S('sum(CAST(n_decoys AS DOUBLE) / n_stolen) / 20.0')} AS decoy_ratio,
- coalesce(max(z.zones_hit), '{{}}') AS zones_hit
-FROM pt p LEFT JOIN zt z ON p.scenario = z.scenario GROUP BY p.scenario""")
+SELECT scenario, n_rows, round(detection_rate, 6) AS detection_rate, {S('decoy_ratio')} AS decoy_ratio, zones_hit FROM sc""")
 def q_detection_rate(spark, sf):
-    """Detection rate, mean decoy share and zones hit per access scenario
-    (bulk 30 % / 10 %, targeted top 20 % / 10 %, incremental 20 x 100), 20 trials."""
+    """Alarm probability, expected decoy share and zones hit per access scenario
+    (bulk 30 % / 10 %, incremental 20 x 100: uniform draws, exact; targeted top 20 % / 10 %)."""
     h = _inj_hits(Views.get(spark, sf))
-    size = F.lit(100)
-    rnd = scenarios.multi_access(h, "pos", [
-        ("bulk_steal_30", lambda tot: F.floor(tot * F.lit(0.30))),
-        ("bulk_steal_10", lambda tot: F.floor(tot * F.lit(0.10))),
-        ("slow_theft", lambda tot: F.least(F.lit(20), F.floor(tot / size)) * size),
-    ], N_TRIALS)
-    out = rnd.unionByName(scenarios.targeted_accesses(
-        h, "amount_c", [("targeted_top20", 20.0), ("targeted_top10", 10.0)], N_TRIALS))
-    return out.withColumn("detection_rate", sig_round(F.col("detection_rate"))) \
+    out = scenarios.uniform_access(h, scenarios.BULK_AND_SLOW) \
+        .unionByName(scenarios.targeted_accesses(h, "amount_c", scenarios.TARGETED))
+    return out.withColumn("detection_rate", F.round("detection_rate", 6)) \
               .withColumn("decoy_ratio", sig_round(F.col("decoy_ratio")))
 
 
 @query("scenario_summary", "WITH " + _IH.strip() + """
-SELECT p.scenario AS attack, printf('%.1f%%', sum(CASE WHEN n_decoys > 0 THEN 1 ELSE 0 END) / 20.0 * 100) AS detection_rate,
- printf('%.2f%%', sum(CAST(n_decoys AS DOUBLE) / n_stolen) / 20.0 * 100) AS decoy_in_stolen,
- coalesce(max(z.zones_hit), '{}') AS zones_hit
-FROM pt p LEFT JOIN zt z ON p.scenario = z.scenario GROUP BY p.scenario""")
+SELECT scenario AS attack, printf('%.1f%%', detection_rate * 100) AS detection_rate,
+ printf('%.2f%%', decoy_ratio * 100) AS decoy_in_stolen, zones_hit FROM sc""")
 def q_scenario_summary(spark, sf):
     """The scenario table with rates formatted as percentages."""
     d = q_detection_rate(spark, sf)
@@ -304,24 +287,23 @@ cl AS (SELECT l.tx_id, k.zone AS hit_zone FROM ledger l JOIN split s ON l.tx_id
  LEFT JOIN lookup k ON k.row_hash = sha256(concat(concat_ws(',', CAST(l.step AS VARCHAR), l.type,
    CAST(l.amount_c AS VARCHAR), CAST(l.oldbalanceOrg_c AS VARCHAR), CAST(l.newbalanceOrig_c AS VARCHAR),
    CAST(l.oldbalanceDest_c AS VARCHAR), CAST(l.newbalanceDest_c AS VARCHAR)), 'pepper'))),
-d AS (SELECT t.range AS trial, cl.hit_zone, row_number() OVER (PARTITION BY t.range
-   ORDER BY md5(concat(CAST(cl.tx_id AS VARCHAR), ':legit:', CAST(t.range AS VARCHAR))), cl.tx_id) AS rn
- FROM cl, range(1, 101) t)
-SELECT sum(CASE WHEN a THEN 1 ELSE 0 END) / 100.0 AS false_positive_rate, CAST(100 AS INTEGER) AS n_draws
-FROM (SELECT trial, count(hit_zone) > 0 AS a FROM d WHERE rn <= 50 GROUP BY trial) q""")
+t AS (SELECT count(*) AS n, count(hit_zone) AS d, least(50, count(*)) AS k FROM cl)
+SELECT round(CASE WHEN d <= 0 OR k <= 0 THEN 0.0 WHEN n - d < k THEN 1.0 ELSE
+  1.0 - exp(lgamma(n - d + 1) - lgamma(n - d - k + 1) - lgamma(n + 1) + lgamma(n - k + 1)) END, 6) AS false_positive_rate,
+ CAST(k AS INTEGER) AS draw_size, n AS n_clean, d AS n_false_hits FROM t""")
 def q_false_alarm_rate(spark, sf):
-    """Share of 100 draws of 50 clean train rows that raise an alarm."""
+    """Probability that a draw of 50 clean train rows raises an alarm."""
     v = Views.get(spark, sf)
     split = prep.stratified_split(v.ledger.select("tx_id", "isFraud")).filter(F.col("split") == "train")
     rows = lookup.hash_rows(v.ledger.join(split.select("tx_id"), "tx_id"), CONTENT_CENTS, v.salt)
     clean = lookup.is_decoy(rows, v.lookup()).select("tx_id", "hit_zone")
-    return scenarios.false_alarm_rate(clean, "tx_id", 100, 50)
+    return scenarios.false_alarm_rate(clean, 50).withColumn("false_positive_rate", F.round("false_positive_rate", 6))
 
 
 @query("flood_response", """
 WITH pidx AS (SELECT tx_id, row_number() OVER (ORDER BY tx_id) AS i FROM pool),
 n AS (SELECT count(*) AS np FROM pool),
-dr AS (SELECT d.range AS draw, ('0x' || substr(md5(concat(CAST(d.range AS VARCHAR), ':flood')), 1, 8))::BIGINT % (SELECT np FROM n) + 1 AS i
+dr AS (SELECT d.range AS draw, ('0x' || substr(md5(concat(CAST(d.range AS VARCHAR), ':flood')), 1, 15))::BIGINT % (SELECT np FROM n) + 1 AS i
  FROM range(0, 900) d WHERE d.range < (SELECT np FROM n)),
 dec AS (SELECT dr.draw, 'decoy' AS src, p.tx_id AS ref FROM dr JOIN pidx p ON dr.i = p.i),
 rl AS (SELECT CAST(NULL AS BIGINT) AS draw, 'injected' AS src, pos AS ref FROM (
@@ -374,5 +356,3 @@ def q_bulk_select(spark, sf):
     inj = Views.get(spark, sf).injected.select("pos")
     return prep.sample_exact(inj, 0.3, key="pos", seed="bulk", rounding="floor")
 
-
-_ = detect  # detection operators are used by the core queries

@@ -9,8 +9,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from tripwire.functions.buckets import sig_round, sig_round_sql as S
-from tripwire.operators import lookup, prep
-from tripwire.plans.q_inject import _w, scaled_inputs
+from tripwire.operators import prep
+from tripwire.plans.q_inject import _w
 from tripwire.plans.registry import query
 from tripwire.schema import FEATURES
 from tripwire.session import ensure_checkpoint_dir
@@ -55,6 +55,23 @@ def q_stream_window_alarm(spark, sf):
                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n_rows", "n_decoys", "alarm")
 
 
+@query("stream_sliding_alarm", """
+WITH w AS (SELECT actor, hit_zone, unnest(range(4)) AS k, time_bucket(INTERVAL 15 MINUTE, ts) AS b FROM hits)
+SELECT actor, b - k * INTERVAL 15 MINUTE AS window_start, b - k * INTERVAL 15 MINUTE + INTERVAL 1 HOUR AS window_end,
+ CAST(count(*) AS BIGINT) AS n_rows, CAST(count(hit_zone) AS BIGINT) AS n_decoys, count(hit_zone) > 0 AS alarm
+FROM w GROUP BY actor, b - k * INTERVAL 15 MINUTE
+HAVING b - k * INTERVAL 15 MINUTE + INTERVAL 1 HOUR <= (SELECT max(ts) FROM hits) - INTERVAL 1 HOUR""")
+def q_stream_sliding_alarm(spark, sf):
+    """T4: hourly windows sliding by 15 minutes per actor, 1 h watermark, closed windows only."""
+    v = Views.get(spark, sf)
+    out = ds.run_to_files(ds.sliding_alarms(_hits_stream(v)), "stream_sliding_alarm", "append")
+    schema = ("actor bigint, window_start timestamp, window_end timestamp, n_rows bigint, "
+              "n_decoys bigint, alarm boolean")
+    df = ds.read_output(spark, out, schema)
+    return df.select("actor", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                     F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n_rows", "n_decoys", "alarm")
+
+
 @query("stream_first_alarm", """
 SELECT actor, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(hit_zone) AS BIGINT) AS n_decoys,
  min(CASE WHEN hit_zone IS NOT NULL THEN batch END) AS first_alarm_batch FROM hits GROUP BY actor""")
@@ -136,5 +153,3 @@ def q_report_sinks(spark, sf):
                                      F.avg("kl_div").alias("mean_kl_divergence")), p2)
     return spark.read.option("header", True).csv(p1)
 
-
-_ = (lookup, scaled_inputs)

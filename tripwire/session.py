@@ -33,14 +33,16 @@ def local_session(master: str | None = None, app: str = "tripwire",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the cluster (a shared file system); it is
-    only invented here when unset, which happens in local tests.
+    On a cluster the folder must be set (a shared file system), otherwise this
+    raises; a folder of its own is made only for a local master, as in tests.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="tripwire-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

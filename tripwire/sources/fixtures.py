@@ -19,7 +19,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.functions.hashing import DEFAULT_SALT, row_hash
+from tripwire.functions.hashing import hash_rows
 from tripwire.operators.ranking import first_n, global_rank, int_range_bucket, scalar
 from tripwire.schema import CONTENT_CENTS, MONEY_CENTS, ZONES
 from tripwire.session import materialize
@@ -114,8 +114,12 @@ def zone_of(key: Column) -> Column:
     return z
 
 
-def pool_zoned(pl: DataFrame, salt: str = DEFAULT_SALT) -> DataFrame:
-    return pl.withColumn("zone", zone_of(F.col("tx_id"))).withColumn("row_hash", row_hash(CONTENT_CENTS, salt))
+#: Salt of the fixtures; callers of the library pass their own.
+FIXTURE_SALT = "pepper"
+
+
+def pool_zoned(pl: DataFrame, salt: str = FIXTURE_SALT) -> DataFrame:
+    return hash_rows(pl.withColumn("zone", zone_of(F.col("tx_id"))), CONTENT_CENTS, salt)
 
 
 def injected(led: DataFrame, pz: DataFrame) -> DataFrame:
@@ -155,7 +159,7 @@ class Views:
 
     _cache: dict = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str, salt: str = DEFAULT_SALT):
+    def __init__(self, spark: SparkSession, sf_dir: str, salt: str = FIXTURE_SALT):
         self.spark, self.sf_dir, self.salt = spark, sf_dir, salt
         self.ledger = materialize(ledger(spark, sf_dir))
         self.raw = raw_ledger(self.ledger)
@@ -167,7 +171,7 @@ class Views:
         self.scores = scores(self.ledger)
 
     @classmethod
-    def get(cls, spark: SparkSession, sf_dir: str, salt: str = DEFAULT_SALT) -> "Views":
+    def get(cls, spark: SparkSession, sf_dir: str, salt: str = FIXTURE_SALT) -> "Views":
         """Views shared by the queries of one Spark application."""
         key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), salt)
         v = cls._cache.get(key)

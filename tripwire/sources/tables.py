@@ -15,7 +15,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_ledger_csv(spark: SparkSession, path: str) -> DataFrame:
     """Ledger CSV with header and the explicit ledger schema (never inferred)."""
     return spark.read.schema(LEDGER_SCHEMA).option("header", True).csv(path)
-
-
-def read_ledger_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)

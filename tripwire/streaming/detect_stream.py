@@ -25,9 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripwire.functions.hashing import DEFAULT_SALT
-from tripwire.operators.detect import access_hits
-from tripwire.session import ensure_checkpoint_dir, utc
+from tripwire.operators.detect import join_hits, probe
+from tripwire.session import ensure_checkpoint_dir, materialize, utc
 
 
 def stream_dir(spark: SparkSession, name: str) -> str:
@@ -50,9 +49,10 @@ def access_stream(spark: SparkSession, src_dir: str, n_rows: int, file_glob: str
                      ((F.col("event_id") * 7919) % F.lit(n_rows)).alias("pos"))
 
 
-def stream_hits(access: DataFrame, rows: DataFrame, lookup: DataFrame, salt: str = DEFAULT_SALT) -> DataFrame:
-    """Stream-static joins to the injected rows and the lookup."""
-    return access_hits(access, rows, lookup, salt).select(
+def stream_hits(access: DataFrame, rows: DataFrame, lookup: DataFrame, salt: str) -> DataFrame:
+    """Stream-static join to the probed positions, which are written once
+    and not planned anew in every micro-batch."""
+    return join_hits(access, materialize(probe(rows, lookup, salt), "probed")).select(
         "event_id", "actor", "ts", "batch", "pos", "is_decoy", "hit_zone")
 
 
@@ -67,8 +67,21 @@ def windowed_alarms(hits: DataFrame, window: str = "1 day", delay: str = "1 hour
                     "n_rows", "n_decoys", (F.col("n_decoys") > 0).alias("alarm")))
 
 
+def sliding_alarms(hits: DataFrame, window: str = "1 hour", slide: str = "15 minutes", delay: str = "1 hour") -> DataFrame:
+    """T4: per actor and sliding window: rows, decoy hits, alarm (closed windows)."""
+    hit = F.col("hit_zone").isNotNull()
+    return (hits.withWatermark("ts", delay)
+            .groupBy(F.window("ts", window, slide).alias("w"), "actor")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+                 F.sum(F.when(hit, 1).otherwise(0)).cast("bigint").alias("n_decoys"))
+            .select("actor", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "n_rows", "n_decoys", (F.col("n_decoys") > 0).alias("alarm")))
+
+
 def session_hits(hits: DataFrame, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
-    """T4: per actor session windows of accesses (gap-separated)."""
+    """T4: per actor session windows of accesses (gap-separated). Sessions are
+    merged before the shuffle, so a hot actor sends few rows to its task."""
+    hits.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     hit = F.col("hit_zone").isNotNull()
     return (hits.withWatermark("ts", delay)
             .groupBy(F.session_window("ts", gap).alias("s"), "actor")
