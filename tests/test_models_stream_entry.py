@@ -32,7 +32,7 @@ def test_isolation_forest_ranks_outliers_and_contamination(spark):
     assert abs(share - 0.05) < 0.01
 
 
-def test_isolation_forest_disjoint_samples_on_large_input(spark):
+def test_isolation_forest_samples_on_large_input(spark):
     df = spark.range(120_000).withColumnRenamed("id", "k").select(
         "k", *[(F.rand(i) * 10).alias(c) for i, c in enumerate("abcd")])
     forest = models.fit_isolation_forest(df, list("abcd"), "k", n_trees=100)

@@ -121,9 +121,9 @@ def mixture_decoys(real: DataFrame, n: int, features: Sequence[str] = FEATURES,
     spark = real.sparkSession
     p = fit_pca(real, features, n_components)
     mix = fit_mixture(project(real, p), p.k, mixture_k, seed, max_iter)
-    draws = inverse(draw_mixture(spark, mix, n, f"gmm{seed}"), p)
+    draws = materialize(inverse(draw_mixture(spark, mix, n, f"gmm{seed}"), p), "draws")
     anc = first_n(real, key, f"{seed}:anchors", anchors)
-    dist = nearest.min_dist_broadcast(draws, anc, ID, features)
+    dist = materialize(nearest.min_dist_broadcast(draws, anc, ID, features), "draw_dist")
     thr = exact_percentile(dist, "min_dist", 0.10)
     kept = draws.join(dist.filter(F.col("min_dist") > F.lit(thr)).select(ID), ID)
     n_kept = kept.count()
@@ -188,13 +188,14 @@ def evaluate_quality(real: DataFrame, decoys: DataFrame, features: Sequence[str]
     """Q9: discriminator metrics + per-feature report summary; pass = acc <= 0.65."""
     from tripwire.operators import quality
     long = quality.melt(real, decoys, features)
-    report = quality.quality_report(long, digits=None)
+    report = materialize(quality.quality_report(long, digits=None), "report")
     agg = report.agg(F.sum(F.col("mean_ok").cast("int")).alias("ok"), F.avg("kl_div").alias("kl"),
                      F.avg("ks_pval").alias("ks")).first()
     out = discriminator(real, decoys, features, real_key, decoy_key, **rf)
     out.update({"features_within_2sd": int(agg["ok"] or 0), "mean_kl_divergence": agg["kl"],
                 "mean_ks_pvalue": agg["ks"], "quality_pass": out["discriminator_accuracy"] <= DISCRIMINATOR_PASS})
-    return out, quality.quality_report(long)
+    rounded = ["real_mean", "decoy_mean", "real_std", "decoy_std", "ks_pval", "kl_div"]
+    return out, report.withColumns({c: F.bround(F.col(c), 4) for c in rounded})
 
 
 def generate_decoys(real: DataFrame, n: int, features: Sequence[str] = FEATURES, key: str = "tx_id",
@@ -202,12 +203,12 @@ def generate_decoys(real: DataFrame, n: int, features: Sequence[str] = FEATURES,
     """Latent generator first; if its discriminator accuracy is above
     0.65 switch to the PCA + mixture generator (evaluated once)."""
     if not force_mixture:
-        dec = latent_decoys(real, n, features, seed=seed)
+        dec = materialize(latent_decoys(real, n, features, seed=seed), "decoys")
         q, _ = evaluate_quality(real, dec, features, key, **rf)
         if q["quality_pass"]:
             q["method"] = "latent"
             return dec, q
-    dec = mixture_decoys(real, n, features, key, seed=seed)
+    dec = materialize(mixture_decoys(real, n, features, key, seed=seed), "decoys")
     q, _ = evaluate_quality(real, dec, features, key, **rf)
     q["method"] = "mixture"
     return dec, q

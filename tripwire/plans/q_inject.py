@@ -24,8 +24,7 @@ def scaled_inputs(v: Views):
     is fit on the train split. Materialised once per view set: model fits
     iterate over these rows many times."""
     def build():
-        split = prep.stratified_split(v.ledger.select("tx_id", "isFraud"))
-        fx = prep.feature_frame(v.raw).join(split.select("tx_id", "split"), "tx_id")
+        fx = materialize(prep.stratified_split(prep.feature_frame(v.raw)), "split")
         train = fx.filter(F.col("split") == "train").drop("split")
         params = prep.scaler_params(prep.fit_scaler(train))
         train = materialize(prep.apply_scaler(train.withColumn("amount_raw", F.col("amount")), params))

@@ -132,8 +132,7 @@ CROSS JOIN LATERAL (SELECT CASE f """ + " ".join(f"WHEN '{c}' THEN sc.m_{c}" for
 def q_scaler_roundtrip(spark, sf):
     """Scaler parameters (train mean / population std) persisted and reloaded."""
     v = Views.get(spark, sf)
-    split = prep.stratified_split(v.ledger.select("tx_id", "isFraud")).filter(F.col("split") == "train")
-    train = prep.feature_frame(v.raw).join(split.select("tx_id"), "tx_id")
+    train = prep.stratified_split(prep.feature_frame(v.raw)).filter(F.col("split") == "train")
     path = _scratch(spark, "scaler")
     sinks.write_scaler(prep.fit_scaler(train), path)
     back = sinks.read_scaler(spark, path)
