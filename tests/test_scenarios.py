@@ -69,3 +69,15 @@ def test_nan_ranks_highest(spark):
 def test_null_type_has_no_dummy(spark):
     r = prep.one_hot_type(spark.createDataFrame([(None,), ("DEBIT",)], "type string")).collect()
     assert sum(r[0]) == 0 and sum(r[1]) == 1
+
+
+def test_percentiles_of_crowded_and_odd_values(spark):
+    rng = np.random.default_rng(3)
+    cases = {"band": 1.7e9 + rng.integers(0, 5_000_000, 20000).astype(float), "ties": np.repeat([5.0, 1.0, 2.0], [7000, 100, 50]),
+             "tails": np.concatenate([rng.normal(size=3000), [1e300, -1e300, 0.0, 1e-300]]), "one": np.array([3.5])}
+    for name, x in cases.items():
+        df = spark.createDataFrame([(float(a),) for a in x], "v double")
+        qs = [0.0, 0.1, 0.5, 0.8, 0.965, 1.0]
+        assert exact_percentiles(df, "v", qs) == pytest.approx([float(np.quantile(x, q)) for q in qs], rel=1e-12), name
+    assert exact_percentiles(spark.createDataFrame([(None,)], "v double"), "v", [0.5]) == [None]
+    assert math.isnan(exact_percentiles(spark.createDataFrame([(1.0,), (float("nan"),)], "v double"), "v", [1.0])[0])

@@ -8,6 +8,7 @@ sum runs inside each bucket only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,28 +52,56 @@ def exact_percentile(df: DataFrame, col: str | Column, q: float) -> float | None
     return exact_percentiles(df, col, [q])[0]
 
 
+#: Buckets of a selection round; each round returns at most this many rows a rank to the driver.
+SELECT_BUCKETS = 1024
+
+
 def exact_percentiles(df: DataFrame, col: str | Column, qs: Sequence[float]) -> list[float | None]:
-    """Exact linear-interpolated percentiles (numpy's default), all in one job,
-    without one aggregation buffer holding every value.
+    """Exact linear-interpolated percentiles (numpy's default).
 
-    Values are counted per distinct value first (a value held by a third of
-    the rows is one row after the map-side combine); bucketed prefix sums give
-    each distinct value's rank range, and the values at ranks floor/ceil of
-    q·(n-1) are picked and interpolated. One bounded driver fetch (one row).
+    Distributed selection: the values are written once; each round counts the
+    rows per bucket of the interval that still holds a wanted rank (map-side
+    combined, so a value held by a third of the rows is one row per task) and
+    goes on with that bucket's least and greatest value, until they are equal.
+    The first buckets are those of ``log_bucket``, the next ones equal parts,
+    so values crowded in a narrow band are parted like any others. No value is
+    shuffled, only counts. NULL is ignored, NaN is greater than all.
     """
+    from tripwire.session import materialize
     c = F.col(col) if isinstance(col, str) else col
-    counts = (df.select(c.cast("double").alias("_pv")).filter(F.col("_pv").isNotNull())
-              .groupBy("_pv").agg(F.count(F.lit(1)).alias("_pn")))
-    cum = prefix_sums(counts, "_pv", ["_pn"], totals=True)
-    start, end = F.col("_pn_before"), F.col("_pn_before") + F.col("_pn")
-    aggs = []
-    for i, q in enumerate(qs):
-        pos = F.lit(float(q)) * (F.col("_pn_total") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        aggs += [F.max(F.when((start <= lo) & (lo < end), F.col("_pv"))).alias(f"lo{i}"),
-                 F.max(F.when((start <= hi) & (hi < end), F.col("_pv"))).alias(f"hi{i}"),
-                 F.max(pos - lo).alias(f"fr{i}")]
-    picked = cum.agg(*aggs)
-    row = picked.select(*[(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"fr{i}")).alias(f"p{i}")
-                          for i in range(len(qs))]).first()
-    return [row[f"p{i}"] for i in range(len(qs))]
+    vals = materialize(df.select(c.cast("double").alias("v")).filter(F.col("v").isNotNull()), "percentile")
+    v = F.col("v")
+    stat = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+    first = sorted(vals.groupBy(log_bucket(v, sub_bits=2).alias("b")).agg(*stat).collect(), key=lambda r: r.b)
+    n = sum(r.n for r in first)
+    if n == 0:
+        return [None for _ in qs]
+    ranks = sorted({r for q in qs for r in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))})
+
+    def holding(buckets, rank: int, before: int):
+        for r in buckets:
+            if rank < before + r.n:
+                return before, r.lo, r.hi
+            before += r.n
+        raise AssertionError("rank beyond the counts")
+
+    at = {rank: holding(first, rank, 0) for rank in ranks}
+    same = lambda a, b: a == b or (a != a and b != b)
+    while open_ := sorted({x for x in at.values() if not same(x[1], x[2])}):
+        parts = []
+        for i, (_, lo, hi) in enumerate(open_):
+            # a quotient of halves stays finite for any lo and hi
+            share = (v / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2)
+            b = F.when(v == hi, F.lit(SELECT_BUCKETS)).otherwise(F.least(F.floor(share * SELECT_BUCKETS), F.lit(SELECT_BUCKETS - 1)))
+            parts.append(F.when((v >= lo) & (v <= hi), F.struct(F.lit(i).alias("i"), b.cast("int").alias("b"))))
+        got = vals.select("v", F.explode(F.array_compact(F.array(*parts))).alias("x")).groupBy("x.i", "x.b").agg(*stat).collect()
+        for rank, x in at.items():
+            if x in open_:
+                i = open_.index(x)
+                at[rank] = holding(sorted((r for r in got if r.i == i), key=lambda r: r.b), rank, x[0])
+    out = []
+    for q in qs:
+        pos = q * (n - 1)
+        lo, hi = at[math.floor(pos)][1], at[math.ceil(pos)][1]
+        out.append(lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos)))
+    return out

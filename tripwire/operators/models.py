@@ -197,7 +197,9 @@ def flag_outliers(scores: DataFrame, threshold: float, col: str = "anomaly_score
 def evaluate_scores(scored: DataFrame, label: str, score: str, pred: str, name: str) -> DataFrame:
     """One baseline row: label + AUC-ROC, AUC-PR (AP), F1, precision, recall."""
     from tripwire.operators import metrics
-    s = scored.select(F.col(label).alias("label"), F.col(score).alias("score"), F.col(pred).alias("pred"))
+    from tripwire.session import materialize
+    # three metrics read the scored rows, so they are scored and written once
+    s = materialize(scored.select(F.col(label).alias("label"), F.col(score).alias("score"), F.col(pred).alias("pred")), "scored")
     auc = metrics.auc_roc(s).first()["auc_roc"]
     ap = metrics.average_precision(s).first()["average_precision"]
     bm = metrics.binary_metrics(s).first()
@@ -219,7 +221,8 @@ def baseline_random_forest(train: DataFrame, test: DataFrame, features: Sequence
 def baseline_isolation_forest(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                               key: str, name: str = "Isolation Forest", contamination: float = 0.035,
                               n_trees: int = 100, seed: int = 42) -> DataFrame:
-    forest = fit_isolation_forest(train, features, key, n_trees, seed=seed)
+    from tripwire.session import materialize
+    forest = materialize(fit_isolation_forest(train, features, key, n_trees, seed=seed), "if_nodes")
     thr = contamination_threshold(score_isolation_forest(train, forest, features, key), contamination)
     s = score_isolation_forest(test, forest, features, key)
     scored = (test.select(key, label).join(s, key)

@@ -53,7 +53,7 @@ def q_gmm_decoys(spark, sf):
     """n = max(500, 10 % of train) mixture decoys with the uniqueness cut and top-up."""
     legit, train, *_ = _legit_train(Views.get(spark, sf))
     n = max(500, int(train.count() * 0.10))
-    return synth.mixture_decoys(legit, n)
+    return Views.get(spark, sf).memo("gmm_decoys", lambda: materialize(synth.mixture_decoys(legit, n), "gmm_decoys"))
 
 
 @query("latent_stats")
@@ -136,11 +136,16 @@ def _pool_hash(v: Views, pool):
 @query("inject")
 def q_inject(spark, sf):
     """All four zones placed, assembled, permuted; lookup registered."""
-    v = Views.get(spark, sf)
-    _, train, pool, _ = _legit_train(v)
-    real = train.join(lookup.hash_rows(v.ledger, CONTENT_CENTS, v.salt).select("tx_id", "row_hash"), "tx_id")
-    injected, lk, _ = inject.inject_decoys(real, _pool_hash(v, pool), _ctx())
-    return injected.select("pos", "tx_id", "isFraud", "is_decoy", "zone", "row_hash")
+    return _injected(Views.get(spark, sf)).select("pos", "tx_id", "isFraud", "is_decoy", "zone", "row_hash")
+
+
+def _injected(v: Views):
+    """The injected train rows (I12), placed once for all queries that use them."""
+    def build():
+        _, train, pool, _ = _legit_train(v)
+        real = train.join(lookup.hash_rows(v.ledger, CONTENT_CENTS, v.salt).select("tx_id", "row_hash"), "tx_id")
+        return materialize(inject.inject_decoys(real, _pool_hash(v, pool), _ctx())[0], "injected")
+    return v.memo("injected_train", build)
 
 
 @query("rf_baseline")
@@ -152,28 +157,31 @@ def q_rf_baseline(spark, sf):
                                          "RF on clean data (no decoys)", **RF)
 
 
+def _train_forest(v: Views):
+    """The isolation forest of the train rows: fitted once, its node table written."""
+    return v.memo("if_train", lambda: materialize(
+        models.fit_isolation_forest(_legit_train(v)[1], FEATURES, "tx_id", N_TREES_IF), "if_nodes"))
+
+
 @query("iforest_fit")
 def q_iforest_fit(spark, sf):
-    """M6: isolation-forest node table (50 trees, 256-row sub-samples)."""
-    _, train, _, _ = _legit_train(Views.get(spark, sf))
-    return models.fit_isolation_forest(train, FEATURES, "tx_id", N_TREES_IF)
+    """M6: isolation-forest node table (100 trees, 256-row sub-samples)."""
+    return _train_forest(Views.get(spark, sf))
 
 
 @query("iforest_score")
 def q_iforest_score(spark, sf):
     """M7: anomaly scores of the test rows."""
     v = Views.get(spark, sf)
-    _, train, _, params = _legit_train(v)
-    forest = models.fit_isolation_forest(train, FEATURES, "tx_id", N_TREES_IF)
-    return models.score_isolation_forest(_test(v, params), forest, FEATURES, "tx_id")
+    return models.score_isolation_forest(scaled_test(v), _train_forest(v), FEATURES, "tx_id")
 
 
 @query("contamination_cut")
 def q_contamination_cut(spark, sf):
     """M8: outlier flags at the 3.5 % contamination threshold of the train scores."""
-    _, train, _, _ = _legit_train(Views.get(spark, sf))
-    forest = models.fit_isolation_forest(train, FEATURES, "tx_id", N_TREES_IF)
-    s = models.score_isolation_forest(train, forest, FEATURES, "tx_id")
+    v = Views.get(spark, sf)
+    train = _legit_train(v)[1]
+    s = materialize(models.score_isolation_forest(train, _train_forest(v), FEATURES, "tx_id"), "if_scores")
     return models.flag_outliers(s, models.contamination_threshold(s, 0.035))
 
 
@@ -216,9 +224,7 @@ def q_baseline_table(spark, sf):
     _, train, pool, params = _legit_train(v)
     test = _test(v, params)
     clean = models.baseline_random_forest(train, test, FEATURES, "isFraud", "RF on clean data (no decoys)", **RF)
-    real = train.join(lookup.hash_rows(v.ledger, CONTENT_CENTS, v.salt).select("tx_id", "row_hash"), "tx_id")
-    injected, _, _ = inject.inject_decoys(real, _pool_hash(v, pool), _ctx())
-    dirty = models.baseline_random_forest(injected, test, FEATURES, "isFraud",
+    dirty = models.baseline_random_forest(_injected(v), test, FEATURES, "isFraud",
                                           "RF on injected data (with decoys)", **RF)
     iso = models.baseline_isolation_forest(train, test, FEATURES, "isFraud", "tx_id", n_trees=N_TREES_IF)
     return clean.unionByName(dirty).unionByName(iso)
