@@ -187,7 +187,7 @@ def evaluate_quality(real: DataFrame, decoys: DataFrame, features: Sequence[str]
                      real_key: str = "tx_id", decoy_key: str = ID, **rf) -> tuple[dict, DataFrame]:
     """Q9: discriminator metrics + per-feature report summary; pass = acc <= 0.65."""
     from tripwire.operators import quality
-    long = quality.melt(real, decoys, features)
+    long = quality.stack(real, decoys, features)
     report = materialize(quality.quality_report(long, digits=None), "report")
     agg = report.agg(F.sum(F.col("mean_ok").cast("int")).alias("ok"), F.avg("kl_div").alias("kl"),
                      F.avg("ks_pval").alias("ks")).first()

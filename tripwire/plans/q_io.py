@@ -145,7 +145,7 @@ def q_report_sinks(spark, sf):
     from tripwire.operators import quality
     v = Views.get(spark, sf)
     real = prep.feature_frame(v.raw.filter(F.col("isFraud") == 0))
-    rep = quality.quality_report(quality.melt(real, prep.feature_frame(v.pool_raw)))
+    rep = quality.quality_report(quality.stack(real, prep.feature_frame(v.pool_raw)))
     p1, p2 = _scratch(spark, "report_csv"), _scratch(spark, "summary_json")
     sinks.write_report_csv(rep, p1)
     sinks.write_summary_json(rep.agg(F.sum(F.col("mean_ok").cast("int")).alias("features_within_2sd"),

@@ -20,7 +20,7 @@ def _preds(v: Views):
 def _long(v: Views):
     real = prep.feature_frame(v.raw.filter(F.col("isFraud") == 0))
     decoy = prep.feature_frame(v.pool_raw)
-    return quality.melt(real, decoy)
+    return quality.stack(real, decoy)
 
 
 def _sig(df, cols):
