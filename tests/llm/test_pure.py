@@ -133,6 +133,15 @@ def test_chunked_encoding_is_exact(tok, monkeypatch):
         assert ids.tolist() == enc.tok.encode(t, add_special_tokens=False).ids, t[:80]
 
 
+def test_fast_encoder_has_the_same_ids(tok):
+    slow, fast = bpe.tokenizer(tok)
+    chars = [chr(c) for c in range(0, 0x110000, 37) if not 0xD800 <= c < 0xE000] + [chr(c) for c in range(0x3000)]
+    for c in chars:
+        t = f"a{c}b {c} {c}{c}1{c}!{c}  {c}x '{c}s"
+        assert fast.encode(t, allowed_special="all") == slow.encode(t, add_special_tokens=False).ids, hex(ord(c))
+    assert bpe.fast_encoder(public_tokenizers.path("word_bpe_49k.json")) is None
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(max_size=400))
 def test_cuts_add_up(t):

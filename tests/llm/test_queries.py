@@ -46,7 +46,7 @@ def test_decontamination_query(spark, con):
 
 
 def test_token_count_query(spark, con):
-    tok = bpe.tokenizer(BPE_JSON)
+    tok = bpe.tokenizer(BPE_JSON)[0]
     labels = {d: (q, t) for d, q, t in con.execute("SELECT doc_id, quality, toxic FROM labels").fetchall()}
     want = {}
     for d, text, source, lang in con.execute("SELECT doc_id, text, source, lang FROM documents").fetchall():
@@ -76,7 +76,7 @@ def test_pipeline(spark, con):
         for i in range(len(raw) - 199):
             count[raw[i: i + 200]] = count.get(raw[i: i + 200], 0) + 1
     items = [decontam.normal(x) for _, x in con.execute("SELECT item_id, text FROM benchmark").fetchall()]
-    tok, want = bpe.tokenizer(BPE_JSON), {}
+    tok, want = bpe.tokenizer(BPE_JSON)[0], {}
     for d, t in docs:
         raw = t.encode()
         at = np.array([i for i in range(len(raw) - 199) if count[raw[i: i + 200]] > 1], np.int64)

@@ -15,6 +15,7 @@ last pre-tokens until the boundaries agree with the right chunk's own.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections import OrderedDict
 from collections.abc import Iterator
@@ -40,17 +41,44 @@ _loaded: dict = {}
 
 
 def tokenizer(path: str):
-    """The tokenizer of this Python worker, without padding and truncation."""
+    """The (tokenizer, fast encoder or None) of this Python worker, without padding and truncation."""
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         t = Tokenizer.from_file(path)
         t.no_padding()
         t.no_truncation()
-        _loaded[path] = t
+        _loaded[path] = (t, fast_encoder(path))
     return _loaded[path]
 
 
+def fast_encoder(path: str):
+    """A faster encoder with the same ids, or None: the file's vocabulary as byte
+    ranks, for a byte-level BPE without normalizer or options whose merges are in
+    the order of their ids (then the rank of a merge is its id)."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex") \
+        and not pre.get("add_prefix_space") and not any(model.get(k) for k in (
+            "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    added = spec.get("added_tokens", [])
+    if not plain or any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added):
+        return None
+    vocab = model["vocab"]
+    merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if any(b <= a for a, b in zip(merged, merged[1:])):
+        return None
+    import public_tokenizers
+    import tiktoken
+    # byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    special = {t["content"]: t["id"] for t in added}
+    ranks = {bytes(byte[c] for c in w): i for w, i in vocab.items() if w not in special}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
 def rolling(data: np.ndarray) -> np.ndarray:
     """At each byte, a hash of it and the 15 bytes before it."""
     h = GEAR[data]
@@ -90,7 +118,7 @@ class ChunkEncoder:
     """Encodes texts through a cache of chunks."""
 
     def __init__(self, path: str):
-        self.tok = tokenizer(path)
+        self.tok, self.fast = tokenizer(path)
         self.specials = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
         self.cache: OrderedDict[str, np.ndarray] = OrderedDict()
         self.held = self.made = self.used = 0
@@ -101,8 +129,12 @@ class ChunkEncoder:
         return [(a, text[a:b]) for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
 
     def _ids(self, pieces: list[tuple[int, str]]) -> np.ndarray:
-        found = self.tok.encode_batch_fast([p for _, p in pieces], add_special_tokens=False)
-        return np.array([i for e in found for i in e.ids], np.uint32)
+        return np.concatenate([np.empty(0, np.uint32), *self._encode_all([p for _, p in pieces])])
+
+    def _encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        if self.fast is not None:
+            return [self.fast.encode_to_numpy(t, allowed_special="all") for t in texts]
+        return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def chunks(self, wanted: list[str]) -> dict[str, np.ndarray]:
         """Ids of each distinct chunk; those not in the cache are encoded, once."""
@@ -123,9 +155,8 @@ class ChunkEncoder:
 
     def _encode(self, new: list[str], out: dict) -> None:
         self.made += len(new)
-        for c, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-            ids = out[c] = np.array(e.ids, np.uint32)
-            self.cache[c] = ids
+        for c, ids in zip(new, self._encode_all(new)):
+            out[c] = self.cache[c] = ids
             self.held += 2 * len(c) + ids.nbytes + 200
         while self.held > CACHE_BYTES:
             c, ids = self.cache.popitem(last=False)
