@@ -40,9 +40,10 @@ TAG_WEIGHT = {"article": 3.0, "main": 2.5, "p": 0.8, "h1": 0.8, "h2": 0.6, "h3":
               "figcaption": 0.5, "nav": -8.0, "header": -3.0, "footer": -8.0, "aside": -8.0, "form": -8.0, "button": -8.0, "select": -8.0,
               "menu": -8.0, "dialog": -8.0, "label": -3.0, "fieldset": -5.0, "address": -1.0, "option": -8.0, "head": -20.0}
 GOOD_NAME = re.compile(r"(?:^|[^a-z])(?:article|content|entry|post|story|main|body|text)(?:[^a-z]|$)")
-BAD_NAME = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|foot|copyright|"
-                      r"sidebar|side|rail|widget|related|recommend\w*|share|sharing|social|comments?|replies|reply|discussion|disqus|respond|cookies?|consent|"
-                      r"notice|gdpr|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search\w*|form|toolbar|pager|pagination|tags?|skip|legal|alert)(?:[^a-z]|$)")
+BAD_NAME = re.compile(r"(?:^|[^a-z])(?:ads?|adsense|adbox|adslot|adunit|advert\w*|banner\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|header\w*|masthead|"
+                      r"footer\w*|foot|copyright|sidebar\w*|side|rail|widget\w*|related\w*|recommend\w*|share|sharing|social\w*|comment\w*|replies|reply|"
+                      r"discussion|disqus\w*|respond|cookie\w*|consent|notice\w*|gdpr|popup\w*|modal\w*|overlay|newsletter\w*|subscribe|subscription|signup|"
+                      r"login|search\w*|form|toolbar|pager|pagination|tags?|skip|legal|alert\w*)(?:[^a-z]|$)")
 NAME_WEIGHT = {True: 1.0, False: -8.0}
 BIAS, LINK_WEIGHT, LONG_WEIGHT, END_WEIGHT = -0.4, -3.5, 0.6, 0.4
 #: Smoothness: between neighbours, halved for each step of path between them.
