@@ -310,10 +310,11 @@ def earlier_windows(slim: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     anchors = _shared_anchors(slim, window, gram)
     table, t_path = write_once(_spans(slim, anchors, window, gram), "substring-spans")
     name = ["anchor", "n1", "n2"]
-    names = table.groupBy(*name).agg(F.min("doc").alias("least"))
+    # written, so that both sides of the join are plain shuffles and AQE can split a name that a third of all spans have
+    names, n_path = write_once(table.groupBy(*name).agg(F.min("doc").alias("least")), "substring-names")
     # spans of a larger id than their name's least go as a whole; those of the least id wait for the automata
     marked, m_path = write_once(table.join(names, name).select("anchor", "row", "first", "last", "doc", (F.col("doc") > F.col("least")).alias("later")), "substring-marked")
-    drop_path(slim.sparkSession, t_path)
+    drop_path(slim.sparkSession, t_path, n_path)
     whole = marked.filter("later").select("row", "first", "last")
     own = marked.filter("NOT later")
     groups = own.groupBy("anchor").agg(F.count("*").alias("m"), F.min("doc").alias("low"), F.max("doc").alias("high")) \
