@@ -76,8 +76,9 @@ def test_end_to_end_pipeline(spark, tmp_path):
     out = run_from_tables(spark, SF001, str(tmp_path / "run"),
                           PipelineConfig(salt="test", num_trees=5, max_depth=4))
     att = {r.scenario: r for r in out["attacks"].collect()}
-    assert set(att) == {"bulk_steal_30", "bulk_steal_10", "slow_theft", "targeted_top20", "targeted_top10"}
-    assert att["bulk_steal_30"].detection_rate == 1.0
+    assert set(att) == {"bulk_steal_30", "bulk_steal_10", "slow_theft", "targeted_top20", "targeted_top10",
+                        "mimicry_5pct", "mimicry_10pct"}
+    assert att["bulk_steal_30"].detection_rate > 0.999
     assert out["false_alarm"].first().false_positive_rate == 0.0
     assert out["baselines"].count() == 3
     lk = spark.read.parquet(str(tmp_path / "run" / "lookup"))

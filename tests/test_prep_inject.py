@@ -98,6 +98,6 @@ def test_unscaled_train_keeps_train_rows_unscaled(spark):
     from tripwire.operators import prep
     feats = spark.createDataFrame([(i, float(i) * 10, i % 2) for i in range(10)], "tx_id long, amount double, isFraud int")
     split = spark.createDataFrame([(i, "train" if i < 6 else "test") for i in range(10)], "tx_id long, split string")
-    got = prep.unscaled_train(feats, split)
+    got = prep.unscaled_train(feats.join(split, "tx_id"))
     assert got.columns == feats.columns
     assert sorted((r.tx_id, r.amount) for r in got.collect()) == [(i, float(i) * 10) for i in range(6)]

@@ -123,10 +123,10 @@ def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY, seed=SEE
     return seg.withColumn("split", name).drop("_seg")
 
 
-def unscaled_train(features: DataFrame, split: DataFrame, key: str = KEY) -> DataFrame:
-    """The training rows of the feature frame (key, features, label)
-    before the z-score, for interpretable output (a semi join on the key)."""
-    return features.join(split.filter(F.col("split") == "train").select(key), key, "left_semi")
+def unscaled_train(split_frame: DataFrame) -> DataFrame:
+    """The training rows of a split feature frame (key, features, label)
+    before the z-score, for interpretable output."""
+    return split_frame.filter(F.col("split") == "train").drop("split")
 
 
 def holdout_split(df: DataFrame, test_size: float = 0.2, key: str = KEY, seed=SEED) -> DataFrame:

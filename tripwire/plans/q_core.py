@@ -127,7 +127,7 @@ SELECT f.* FROM features f WHERE f.tx_id IN (SELECT tx_id FROM split WHERE split
 def q_train_unscaled(spark, sf):
     """Unscaled training rows (17 features, key, label) before N2."""
     v = Views.get(spark, sf)
-    return prep.unscaled_train(prep.feature_frame(v.raw), _split(v))
+    return prep.unscaled_train(prep.stratified_split(prep.feature_frame(v.raw)))
 
 
 @query("split_stats", "WITH " + _SPLIT_SQL.strip() + """
