@@ -4,36 +4,58 @@ leaks, tokens. Each stage works on all rows its predecessor kept."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tripwire.llm import bpe, decontam, quality, simhash, suffix
-from tripwire.llm.common import read_table, write_once
+from tripwire.llm.common import drop_path, read_table, recording, write_once
 from tripwire.llm.queries import BPE_JSON
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_scratch: list[str] = []
 
 
+def stage(fn: Stage) -> Stage:
+    """A stage begins when its predecessor's result is written, so it first drops
+    the scratch tables of the stages before it (but what ``docs`` itself reads)."""
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles()
+        done = [p for p in _scratch if not any(p.rsplit("/", 1)[1] in f for f in read)]
+        drop_path(spark, *done)
+        _scratch[:] = [p for p in _scratch if p not in done]
+        with recording(_scratch):
+            return fn(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the risk-controlled quality rules keep."""
     return quality.keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component, that with the smallest doc_id."""
     return simhash.keep_one(docs, shingle=3, distance=2)
 
 
+@stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes of strings of 200 bytes that occur twice."""
     return suffix.drop_repeats(docs, length=200)
 
 
+@stage
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontam.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_tokens and the digests of its ids and of their decoding."""
     return bpe.bpe_round_trip(docs, BPE_JSON)
@@ -52,6 +74,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over documents; each result but the last is written and reread as the next one's documents."""
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs, _ = write_once(stage(spark, docs, sf_dir), f"stage-{name}")
+    for name, step in STAGES[:-1]:
+        out = step(spark, docs, sf_dir)
+        with recording(_scratch):
+            docs, _ = write_once(out, f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

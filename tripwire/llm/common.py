@@ -9,6 +9,7 @@ files that every machine sees.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 
@@ -21,9 +22,25 @@ from tripwire.session import ensure_checkpoint_dir
 SPACE_RE = r"[\x20\x09-\x0D]+"
 
 
+_recorded: list[list[str]] = []
+
+
+@contextmanager
+def recording(paths: list[str]):
+    """Add the scratch paths made inside to ``paths``, for whoever drops them later."""
+    _recorded.append(paths)
+    try:
+        yield
+    finally:
+        _recorded.pop()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; nothing is created yet."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    for paths in _recorded:
+        paths.append(path)
+    return path
 
 
 def write_once(df: DataFrame, name: str) -> tuple[DataFrame, str]:

@@ -16,13 +16,15 @@ The work is on distinct fingerprints: copies are one row before the search.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwire.llm.common import components, drop_path, write_once
+from tripwire.llm.common import Sides, components, drop_path, group_of, write_once, write_sides
 
 SEED = 42
 #: Shingles counted at once: bounds the bit matrix of a very long text to 64 x this.
@@ -154,15 +156,28 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     """The rows of ``df`` with one row of each component, that with the smallest
     id (of rows repeated with it, one; null ids come last); all columns stay.
 
-    The rows are written once with their fingerprint and a row key, so that the
-    decision joins back on a unique key whatever the ids are."""
+    The rows are written once with their fingerprint and a row key; the keys to
+    keep are looked up in one small file per group of rows, so texts are never
+    shuffled, whatever the ids are."""
     spark, cols = df.sparkSession, df.columns
     rows, _ = write_once(df.withColumn("__fp", fingerprint_column(text_col, shingle))
                          .withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
     first = F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("__row").alias("row")))
     least, least_path = write_once(rows.groupBy(F.col("__fp").alias("fp")).agg(first.alias("first")), "simhash-fp")
     member, old = _roots(least, distance)
-    winners, _ = write_once(member.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row")),
-                            "simhash-keep")
+    winners = member.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
+    keep = write_sides(winners.withColumn("g", group_of()), "simhash-keep", "row")
     drop_path(spark, least_path, *old)
-    return rows.join(winners, "__row", "left_semi").select(*cols)
+
+    @F.pandas_udf("boolean")
+    def kept(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        sides = Sides(keep)
+        for keys in batches:
+            k = keys.to_numpy()
+            hit = np.zeros(len(k), bool)
+            for g in np.unique(k >> 33):
+                mine = k >> 33 == g
+                hit[mine] = np.isin(k[mine], sides.load(int(g), ["row"])["row"])
+            yield pd.Series(hit)
+
+    return rows.filter(kept("__row")).select(*cols)
