@@ -23,8 +23,8 @@ difference-cover scheme whose cover is chosen by content:
    are sorted, and neighbours with equal prefixes of ``length`` bytes repeat.
 
 An anchor with more than HOT different triples (a passage that a large share of
-all texts hold) is not sorted in one task: its expanded suffixes are named and
-counted by a map-side combined aggregation over all tasks.
+all texts hold) is not sorted in one task: ranges of its suffixes are named,
+counted over all tasks with a map-side combine, and halved where undecided.
 
 Texts are written once with a row key; later scans look their rows up in one
 file per group of rows, so no text is shuffled. Only hashes of anchors, names
@@ -265,22 +265,61 @@ def _merge(contexts: DataFrame, length: int) -> DataFrame:
     return cool.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _ddl(STARTS))
 
 
-def _merge_hot(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for hot anchors: every expanded suffix's prefix is named, and
-    names are counted over all tasks."""
-    named = pa.schema([("n1", pa.int64()), ("n2", pa.int64()), ("single", pa.bool_()), ("row", pa.int64()), ("x", pa.int64())])
+PIECES = pa.schema([("anchor", pa.int64()), ("node", pa.int64()), ("single", pa.bool_()), ("row", pa.int64()), ("first", pa.int64()), ("last", pa.int64()),
+                    ("p", pa.int64()), ("context", pa.binary()), ("low", pa.int64()), ("high", pa.int64()),
+                    ("i1", pa.int64()), ("i2", pa.int64()), ("u1", pa.int64()), ("u2", pa.int64())])
 
+
+def _pieces(rows: DataFrame, size: int, length: int) -> DataFrame:
+    """Name the suffixes of each triple whose offset back from the sample lies in
+    [node * size, node * size + size): i, what all of them have in common, and
+    u, all that they cover together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for single, row, first, last, context in zip(*(c.to_pylist() for c in b.columns)):
-                n = np.frombuffer(b"".join([xxhash.xxh3_128_digest(context[i: i + length]) for i in range(last - first + 1)]), "<i8").reshape(-1, 2)
-                k = len(n)
-                yield pa.RecordBatch.from_arrays([pa.array(n[:, 0]), pa.array(n[:, 1]), pa.array([single] * k, pa.bool_()), pa.array([row] * k, pa.int64()),
-                                                  pa.array(np.arange(first, last + 1))], schema=named)
-
-    rows = contexts.filter("hot").select("single", "row", "first", "last", "context").mapInArrow(run, _ddl(named))
-    twice = rows.groupBy("n1", "n2").agg(F.count("*").alias("n")).filter("n > 1").select("n1", "n2")
-    return rows.filter("single").join(twice, ["n1", "n2"]).select("row", F.col("x").alias("first"), F.col("x").alias("last"))
+            out = []
+            for anchor, node, single, row, first, last, p, context in zip(*(c.to_pylist() for c in b.columns)):
+                low, high = max(p - last, node * size), min(p - first, node * size + size - 1)
+                if low > high:
+                    continue
+                at = p - first
+                common = xxhash.xxh3_128_digest(context[at - node * size: at - (node * size + size - 1) + length])
+                cover = xxhash.xxh3_128_digest(context[at - high: at - low + length])
+                out.append((anchor, node, single, row, first, last, p, context, low, high, *np.frombuffer(common + cover, "<i8").tolist()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], f.type) for i, f in enumerate(PIECES)], schema=PIECES)
+
+    return rows.select("anchor", "node", "single", "row", "first", "last", "p", "context").mapInArrow(run, _ddl(PIECES))
+
+
+def _merge_hot(contexts: DataFrame, length: int) -> tuple[DataFrame, list[str]]:
+    """The same for hot anchors, by halving ranges of offsets instead of sorting
+    every suffix in one task; and the folders to drop after use.
+
+    A triple's range is a repeat as a whole if another triple covers the same
+    bytes, and holds none if no other has its common bytes. Only ranges that are
+    neither are halved, which are those at the ends of a passage: a row or two
+    for each triple and level. Triples with equal cover go on as one."""
+    hot, path = write_once(contexts.filter("hot").withColumn("node", F.lit(0).cast("long")), "suffix-hot")
+    found, paths = hot.select("row", "first", "last").limit(0), [path]
+    if hot.isEmpty():
+        return found, paths
+    size = 1 << (length // 2).bit_length()
+    rows = hot
+    while True:
+        named = _pieces(rows, size, length)
+        cover = ["anchor", "node", "low", "high", "u1", "u2"]
+        named, n_path = write_once(named, "suffix-pieces")
+        same = named.groupBy(*cover).agg(F.count("*").alias("n"), F.min(F.struct("row", "first")).alias("one"))
+        marked, m_path = write_once(named.join(same, cover), "suffix-marked")
+        drop_path(hot.sparkSession, n_path)
+        paths.append(m_path)
+        found = found.union(marked.filter("single AND n > 1").select("row", (F.col("p") - F.col("high")).alias("first"), (F.col("p") - F.col("low")).alias("last")))
+        if size == 1:
+            return found, paths
+        live = marked.filter((F.col("one.row") == F.col("row")) & (F.col("one.first") == F.col("first"))).withColumn("single", F.expr("single AND n = 1"))
+        common = ["anchor", "node", "i1", "i2"]
+        open_ = live.groupBy(*common).agg(F.count("*").alias("m"), F.max("single").alias("any")).filter("m > 1 AND any").select(*common)
+        rows = live.join(open_, common).withColumn("node", F.explode(F.array(2 * F.col("node"), 2 * F.col("node") + 1)))
+        size //= 2
 
 
 def repeated_starts(slim: DataFrame, length: int = LENGTH) -> tuple[str, list[str]]:
@@ -300,9 +339,10 @@ def repeated_starts(slim: DataFrame, length: int = LENGTH) -> tuple[str, list[st
         group_of("r.row").alias("g"), "r.row", "r.first", "r.last", "r.p", "anchor", "hot", (F.col("n") == 1).alias("single"))
     open_path = write_sides(open_, "suffix-open", "row", "first")
     contexts, c_path = write_once(_contexts(slim, open_path, length), "suffix-contexts")
-    found = twice.union(_merge(contexts, length)).union(_merge_hot(contexts, length))
+    hot, hot_paths = _merge_hot(contexts, length)
+    found = twice.union(_merge(contexts, length)).union(hot)
     out = write_sides(found.withColumn("g", group_of()), "suffix-starts", "row", "first")
-    drop_path(spark, anchors, t_path, n_path, open_path, c_path)
+    drop_path(spark, anchors, t_path, n_path, open_path, c_path, *hot_paths)
     return out, [out]
 
 
