@@ -55,6 +55,17 @@ def test_main_text_cases(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("head, body", [
+    ('<div><svg class="icon"/></div>', ""), ("<math display='block' />", ""), ("<SVG/>", '<svg><text>drawn</text></svg>'),
+    ('<svg class="a"/><svg class="b"/>', '<p>Next one <svg viewBox="0 0 1 1"/>here.</p><svg><path d="M0"/><title>drawn</title></svg>'),
+    ("<svg class=a/><text>drawn</text></svg>", ""),  # the slash is the value's, so the element is open
+])
+def test_self_closing_svg_drops_no_text(head, body):
+    text = html.main_text(f"{head}<article><p>First text of the article here.</p>{body}<p>Last text of the article here.</p></article>")
+    middle = ["Next one here."] if "Next one" in body else []
+    assert text.split("\n") == ["First text of the article here.", *middle, "Last text of the article here."]
+
+
 def test_very_long_page():
     assert html.main_text("<article>" + "<p>word after word.</p>" * 20000 + "</article>").count("\n") == 19999
     assert html.main_text("<div>" * 3000 + "<p>A text deep down in the page, and no more.</p>") == "A text deep down in the page, and no more."

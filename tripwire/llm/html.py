@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 # paragraph, and that are inline.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes".split())
+#: Raw elements that end at once with a self-closing sign: HTML honours it on foreign elements only.
+FOREIGN = frozenset(("svg", "math"))
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter output "
                    "q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements of an own kind that close an open one when they begin.
@@ -52,6 +54,8 @@ ADJACENT, SIBLING = 1.2, 0.6
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
                    r"</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|<([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*?)(/?)(?:>|$)", re.S)
 ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: A slash after this belongs to the attribute's value and closes nothing.
+UNQUOTED = re.compile(r"=\s*[^\s\"'>]*$")
 RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
 WHITE = re.compile(r"[ \t\n\r\f\v]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -131,8 +135,9 @@ def blocks(html: str) -> list[Block]:
         elif m[3]:
             tag = m[3].lower()
             if tag in RAW:
-                end = RAW_END[tag].search(html, at)
-                at = end.end() if end else len(html)
+                if not (tag in FOREIGN and m[5] and not UNQUOTED.search(m[4])):
+                    end = RAW_END[tag].search(html, at)
+                    at = end.end() if end else len(html)
                 if tag not in INLINE and tag != "noscript":
                     text.append(" ")
                 continue
