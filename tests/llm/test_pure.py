@@ -66,6 +66,20 @@ def test_self_closing_svg_drops_no_text(head, body):
     assert text.split("\n") == ["First text of the article here.", *middle, "Last text of the article here."]
 
 
+ARTICLE = "First sentence of the article, which is long enough. " * 4
+REMARK = "I read it all and do not agree with the author, for many reasons. " * 4
+
+
+@pytest.mark.parametrize("name", ["post-comments", "main-menu", "content-sidebar", "article-footer", "post_share", "entry-related", "comment-body", "box comment-text"])
+def test_a_bad_word_outweighs_a_good_one_in_a_name(name):
+    assert html.main_text(f'<div class="post"><p>{ARTICLE}</p></div><div class="{name}"><p>{REMARK}</p></div>') == ARTICLE.strip()
+
+
+@pytest.mark.parametrize("name", ["post tag-news", "content has-sidebar", "content-sidebar-wrap", "main-with-sidebar", "entry-header", "content-no-sidebar wide"])
+def test_names_that_tell_nothing_keep_the_text(name):
+    assert html.main_text(f'<div class="{name}"><p>{ARTICLE}</p></div>') == ARTICLE.strip()
+
+
 def test_very_long_page():
     assert html.main_text("<article>" + "<p>word after word.</p>" * 20000 + "</article>").count("\n") == 19999
     assert html.main_text("<div>" * 3000 + "<p>A text deep down in the page, and no more.</p>") == "A text deep down in the page, and no more."

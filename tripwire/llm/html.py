@@ -46,6 +46,10 @@ BAD_NAME = re.compile(r"(?:^|[^a-z])(?:ads?|adsense|adbox|adslot|adunit|advert\w
                       r"footer\w*|foot|copyright|sidebar\w*|side|rail|widget\w*|related\w*|recommend\w*|share|sharing|social\w*|comment\w*|replies|reply|"
                       r"discussion|disqus\w*|respond|cookie\w*|consent|notice\w*|gdpr|popup\w*|modal\w*|overlay|newsletter\w*|subscribe|subscription|signup|"
                       r"login|search\w*|form|toolbar|pager|pagination|tags?|skip|legal|alert\w*)(?:[^a-z]|$)")
+#: A name of both kinds is boilerplate (post-comments, comment-body), but for these: a
+#: column's frame or neighbour (content-sidebar-wrap, main-with-sidebar), a headline's box (entry-header).
+NEUTRAL_NAME = re.compile(r"(?:^|-)(?:with|without|has|no)-(?:\w+-)*(?:sidebar\w*|side|rail)(?:-|$)|(?:sidebar\w*|side|rail)-(?:wrap\w*|container|layout|inner|row|grid)$|"
+                          r"^(?:article|content|entry|post|story)-header$")
 NAME_WEIGHT = {True: 1.0, False: -8.0}
 BIAS, LINK_WEIGHT, LONG_WEIGHT, END_WEIGHT = -0.4, -3.5, 0.6, 0.4
 #: Smoothness: between neighbours, halved for each step of path between them.
@@ -76,8 +80,12 @@ def _element(tag: str, attrs: str, serial: int) -> tuple:
         for m in ATTR.finditer(attrs):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name in ("class", "id", "role"):
-                v = value.lower().replace("_", "-")
-                good, bad = bool(GOOD_NAME.search(v)), bool(BAD_NAME.search(v))
+                good = bad = False
+                for v in value.lower().replace("_", "-").split():
+                    g, b = bool(GOOD_NAME.search(v)), bool(BAD_NAME.search(v))
+                    if g and b and NEUTRAL_NAME.search(v):
+                        continue
+                    good, bad = good or g and not b, bad or b
                 if good != bad and tag not in ("html", "body"):  # a page's own classes tell what it has beside
                     weight += NAME_WEIGHT[good]
             elif name == "style":
