@@ -1,4 +1,5 @@
 import math
+from decimal import Decimal, localcontext
 
 import numpy as np
 import pytest
@@ -27,6 +28,22 @@ def test_false_alarms_with_planted_hits(spark):
     assert scenarios.false_alarm_rate(_hits(spark, 0, 0)).first().false_positive_rate == 0
 
 
+def test_alarm_probability_on_large_tables(spark):
+    cases = [(n, d, k) for n in (60, 10**4, 10**7, 10**9, 10**10, 10**12) for d in (1, 10, 45, 3000, 10**5) for k in (1, 50, 5000, 10**5) if d + k <= n]
+    cases += [(60, 30, 30), (2, 1, 1), (70, 20, 50)]
+
+    def want(n, d, k):
+        with localcontext(prec=60):
+            none = Decimal(1)
+            for i in range(min(d, k)):
+                none *= 1 - Decimal(max(d, k)) / (n - i)
+            return float(1 - none)
+
+    df = spark.createDataFrame(cases, "n long, d long, k long").withColumn("p", scenarios.alarm_probability(F.col("n"), F.col("d"), F.col("k")))
+    for r in df.collect():
+        assert r.p == pytest.approx(want(r.n, r.d, r.k), rel=1e-10), (r.n, r.d, r.k)
+
+
 def test_selected_access(spark):
     r = scenarios.selected_access(_hits(spark, 10, 3), "t").first()
     assert tuple(r) == ("t", 10, 1.0, 0.3, '{"a":2,"b":1}')
