@@ -10,7 +10,7 @@ from tests.llm.test_operators import brute_components, multi
 from tripwire.llm import bpe, decontam, simhash, suffix
 from tripwire.llm.queries import BPE_JSON, ORACLES, QUERIES
 
-SF001 = "/root/testdata/sf0.001"
+SF001, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +32,16 @@ def test_query_matches_sql(spark, con, name):
     assert sorted([tuple(r[c] for c in cols) for r in df.collect()], key=repr) == want
 
 
+def test_quality_query_where_rules_have_cutoffs(spark):
+    """At sf0.1, the only given size with enough labels for a cutoff."""
+    c = duckdb.connect()
+    for t in ("documents", "labels"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF01}/{t}.parquet')")
+    want = dict(c.execute(f"SELECT doc_id, kept OR base_failed FROM ({ORACLES['op2_quality_rules']})").fetchall())
+    got = {r.doc_id: r.kept or r.base_failed for r in QUERIES["op2_quality_rules"](spark, SF01).collect()}
+    assert got == want and not all(want.values())
+
+
 def test_decontamination_query(spark, con):
     items = con.execute("SELECT item_id, text FROM benchmark").fetchall()
     got = {(r.doc_id, r.item_id): r.distance for r in QUERIES["op4_decontaminate"](spark, SF001).collect()}
