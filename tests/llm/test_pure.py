@@ -137,6 +137,25 @@ def test_matcher_finds_edited_items():
     assert all(d < 120 for d, *_ in found)
 
 
+def test_matcher_recall_for_every_item():
+    # a few items that agree less than all others: long ones of one repeated word
+    items, word, rng = _items(300, 5)
+    items = [(i, t[:40]) for i, t in items] + [(1000 + i, (word() + " ") * 60) for i in range(4)]
+    texts, planted = [], set()
+    for i, t in items:
+        raw = decontam.normal(t)
+        e = int(len(raw) * decontam.RATE)
+        for _ in range(20 if i >= 1000 else 4):
+            cuts = [len(raw) * x // (e + 1) for x in range(e + 2)]
+            whole, out = rng.randrange(e + 1), []
+            for j, (a, b) in enumerate(zip(cuts, cuts[1:])):  # an edit in each piece but one
+                x, p, kind = raw[a:b], rng.randrange(b - a), rng.randrange(3)
+                out.append(x if j == whole else x[:p] + (b"" if kind == 1 else b"%c" % rng.choice(b"abcxyz")) + x[p + (kind != 0):])
+            planted.add((len(texts), i))
+            texts.append(word() + " " + b"".join(out).decode() + " " + word())
+    assert len(planted) == 1280 and planted <= {x[:2] for x in decontam.Matcher(items).find(texts)}
+
+
 def test_matcher_small_cases():
     assert decontam.Matcher([]).find(["abc", None, ""]) == []
     m = decontam.Matcher([(1, "xyz"), (2, ""), (3, "xyz"), (4, "a longer item of several words, all of them here")])

@@ -15,7 +15,8 @@ e = rate * n edits are allowed.
 3. Bit-sampling LSH. A signature is k sampled coordinates; a window is a
    candidate if any of the repeated signatures of any of the walks meets its
    item's. The number of signatures is computed from the target recall and the
-   agreement measured on seeded edits of the items themselves.
+   agreement measured on seeded edits of every item; the windows of an item that
+   this number does not bring to the recall are all candidates.
 4. Candidates are verified by exact edit distance (bit-parallel), best placement
    within the allowed edits.
 """
@@ -32,9 +33,9 @@ from pyspark.sql import functions as F
 
 #: Edits per byte of the item; wanted share of true matches that become candidates.
 RATE, RECALL = 0.08, 0.999
-#: Coordinates of a signature, random walks; items used for calibration and the
-#: quantile of their agreement that must still reach the recall.
-SAMPLED, WALKS, CALIBRATION_ITEMS, QUANTILE = 4, 6, 64, 0.01
+#: Coordinates of a signature, random walks; seeded edits of each item for calibration, and
+#: the quantile of the items that sets the number of signatures (the items under it need none).
+SAMPLED, WALKS, CALIBRATION_RUNS, QUANTILE = 4, 6, 16, 0.01
 #: Bytes of items broadcast at once (larger sets go in several passes), and of text searched at once.
 MAX_BROADCAST, SLICE = 32 << 20, 1 << 20
 BITS = 22
@@ -81,7 +82,7 @@ class Matcher:
         self.edits = [int(len(t) * rate) for t in self.texts]
         self.pieces: dict[int, dict[bytes, list[tuple[int, int]]]] = {}  # by gram length, by piece: (item, offset)
         for k, (t, e) in enumerate(zip(self.texts, self.edits)):
-            cuts = [len(t) * i // (e + 1) for i in range(e + 2)]
+            cuts = self._cuts(t, e)
             gram = min(8, min(b - a for a, b in zip(cuts, cuts[1:])))
             for a, b in zip(cuts, cuts[1:]):
                 self.pieces.setdefault(gram, {}).setdefault(t[a:b], []).append((k, a))
@@ -96,7 +97,7 @@ class Matcher:
         n = np.array([len(t) for t in self.texts] or [1])
         self.steps = 2 * int(n.max())  # a walk reads half a byte a step
         self.walks = [rng.integers(0, 2, (self.steps, 256), dtype=np.uint8) for _ in range(WALKS)]
-        self.signatures = self._calibrate(recall, np.random.default_rng(seed + 1))
+        self.signatures, self.always = self._calibrate(recall, np.random.default_rng(seed + 1))
         share = [rng.random((self.signatures, SAMPLED)) for _ in range(WALKS)]
         # sampled coordinates of each item: (walk)(item, signature, coordinate)
         self.coords = [(s[None] * (2 * n - 1)[:, None, None]).astype(np.int32) for s in share]
@@ -106,11 +107,16 @@ class Matcher:
             each = np.arange(len(n))
             self.marks = [self._sample(self._walk(w, buf, starts, n), each, c) for w, c in zip(self.walks, self.coords)]
 
-    def _walk(self, walk: np.ndarray, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def _cuts(t: bytes, e: int) -> list[int]:
+        return [len(t) * i // (e + 1) for i in range(e + 2)]
+
+    def _walk(self, walk: np.ndarray, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray, steps: int | None = None) -> np.ndarray:
         """CGK embedding of windows of ``buf``: (steps, windows) bytes, 0 after the end."""
-        out = np.empty((self.steps, len(starts)), np.uint8)
+        steps = steps or self.steps
+        out = np.empty((steps, len(starts)), np.uint8)
         i = np.zeros(len(starts), np.int64)
-        for j in range(self.steps):
+        for j in range(steps):
             c = buf[starts + np.minimum(i, lengths - 1)]
             c[i >= lengths] = 0
             out[j] = c
@@ -122,34 +128,48 @@ class Matcher:
         """(windows, signatures, coordinates) bytes at the coordinates of each window's item."""
         return embedded[coords[which], np.arange(len(which))[:, None, None]]
 
-    def _calibrate(self, recall: float, rng: np.random.Generator) -> int:
-        """Signatures per walk for the recall, from the agreement of seeded edits
-        (a third each: insert, delete, replace) at the full number of edits."""
-        agree = []
-        pick = rng.permutation(len(self.texts))[:CALIBRATION_ITEMS]
-        for k in pick:
-            t, e = self.texts[k], self.edits[k]
-            if not e:
-                continue
-            mutated = bytearray(t)
-            for _ in range(e):
-                p, kind = int(rng.integers(len(mutated))), rng.integers(3)
-                if kind == 0:
-                    mutated.insert(p, int(rng.integers(97, 123)))
-                elif kind == 1 and len(mutated) > 1:
-                    del mutated[p]
-                else:
-                    mutated[p] = int(rng.integers(97, 123))
-            window = bytes(mutated[: len(t)])
-            buf = np.frombuffer(t + window + b"\0", np.uint8)
-            both = [self._walk(w, buf, np.array([0, len(t)]), np.array([len(t), len(window)]))[: 2 * len(t)] for w in self.walks]
-            agree.append([float((x[:, 0] == x[:, 1]).mean()) for x in both])
-        if not agree:
-            return 1
-        # chance that a round (one signature from each walk) meets, at a low quantile over the items
-        meets = [1 - math.prod(1 - a ** SAMPLED for a in row) for row in agree]
+    def _edited(self, k: int, rng: np.random.Generator) -> bytes:
+        """The window that a match of item ``k`` has at the full number of edits (a third
+        each: insert, delete, replace) with one in each piece but one: only that piece
+        places a window, at its place minus its offset, whatever the edits shifted."""
+        t, e = self.texts[k], self.edits[k]
+        cuts, whole = self._cuts(t, e), int(rng.integers(e + 1))
+        parts = [t[a:b] for a, b in zip(cuts, cuts[1:])]
+        for i, (at, kind, c) in enumerate(zip(rng.random(e + 1).tolist(), rng.integers(3, size=e + 1).tolist(), rng.integers(97, 123, size=e + 1).tolist())):
+            if i != whole:
+                p, x = int(at * len(parts[i])), parts[i]
+                parts[i] = x[:p] + (b"" if kind == 1 else bytes([c])) + x[p + (kind != 0):]
+        before, after = rng.integers(97, 123, size=(2, e), dtype=np.uint8)
+        begin = e + sum(map(len, parts[:whole])) - cuts[whole]
+        return (before.tobytes() + b"".join(parts) + after.tobytes())[begin: begin + len(t)]
+
+    def _calibrate(self, recall: float, rng: np.random.Generator) -> tuple[int, np.ndarray]:
+        """Signatures per walk for the recall, from the least agreement of each item with
+        its seeded edits, and the items that need more: their windows are all verified."""
+        always = np.zeros(len(self.texts), bool)
+        items = np.array(sorted((k for k, e in enumerate(self.edits) if e), key=lambda k: len(self.texts[k])), np.int64)
+        if not len(items):
+            return 1, always
+        # chance that a round (one signature from each walk) meets
+        meets, at = np.ones(len(items)), 0
+        while at < len(items):  # items of about one length, 64 MB of walks at once
+            n = np.array([len(self.texts[k]) for k in items[at:]])
+            m = max(1, int(np.searchsorted(4 * n * np.arange(1, len(n) + 1), 64 << 20, "right")))
+            n = n[:m]
+            for _ in range(CALIBRATION_RUNS):
+                buf = np.frombuffer(b"".join(x for k in items[at: at + m] for x in (self.texts[k], self._edited(k, rng))) + b"\0", np.uint8)
+                lengths, none = np.repeat(n, 2), np.ones(m)
+                starts = np.cumsum(lengths) - lengths
+                for w in self.walks:
+                    x = self._walk(w, buf, starts, lengths, 2 * int(n[-1]))
+                    same = (x[:, ::2] == x[:, 1::2]) & (np.arange(len(x))[:, None] < 2 * n)
+                    none *= 1 - (same.sum(0) / (2 * n)) ** SAMPLED
+                meets[at: at + m] = np.minimum(meets[at: at + m], 1 - none)
+            at += m
         p = max(1e-3, float(np.quantile(meets, QUANTILE)))
-        return max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(p, 0.999))))
+        signatures = max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(p, 0.999))))
+        always[items] = (1 - meets) ** signatures > 1 - recall
+        return signatures, always
 
     def windows(self, buf: bytes) -> list[tuple[int, int]]:
         """(item, start) of the windows that a whole piece places in ``buf``
@@ -189,7 +209,7 @@ class Matcher:
         if not len(item):
             return []
         data = np.frombuffer(buf, np.uint8)
-        candidate = np.zeros(len(item), bool)
+        candidate = self.always[item]
         for at in range(0, len(item), 8192):
             part = slice(at, at + 8192)
             for walk, coords, marks in zip(self.walks, self.coords, self.marks):
