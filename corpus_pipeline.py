@@ -12,20 +12,22 @@ from tripwire.llm import bpe, decontam, quality, simhash, suffix
 from tripwire.llm.common import drop_path, read_table, recording, write_once
 from tripwire.llm.queries import BPE_JSON
 
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+Stage = Callable[..., DataFrame]
 _scratch: list[str] = []
 
 
 def stage(fn: Stage) -> Stage:
     """A stage begins when its predecessor's result is written, so it first drops
-    the scratch tables of the stages before it (but what ``docs`` itself reads)."""
+    the scratch tables of the stages before it (but what ``docs`` itself reads):
+    those in ``scratch``, the list of its run, or else of the stages called alone."""
     @wraps(fn)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: list[str] | None = None) -> DataFrame:
+        paths = _scratch if scratch is None else scratch
         read = docs.inputFiles()
-        done = [p for p in _scratch if not any(p.rsplit("/", 1)[1] in f for f in read)]
+        done = [p for p in paths if not any(p.rsplit("/", 1)[1] in f for f in read)]
         drop_path(spark, *done)
-        _scratch[:] = [p for p in _scratch if p not in done]
-        with recording(_scratch):
+        paths[:] = [p for p in paths if p not in done]
+        with recording(paths):
             return fn(spark, docs, sf_dir)
 
     return run_stage
@@ -73,9 +75,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over documents; each result but the last is written and reread as the next one's documents."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, scratch = read_table(spark, sf_dir, "documents"), []  # of this run only: its rows read them after other runs too
     for name, step in STAGES[:-1]:
-        out = step(spark, docs, sf_dir)
-        with recording(_scratch):
+        out = step(spark, docs, sf_dir, scratch)
+        with recording(scratch):
             docs, _ = write_once(out, f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return STAGES[-1][1](spark, docs, sf_dir, scratch)

@@ -98,3 +98,8 @@ def test_pipeline(spark, con):
     assert multi(corpus_pipeline.run(spark, SF001), "doc_id") == want and len(want) < len(docs)
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_duplicates", "repeated_passages", "benchmark_leaks", "tokens"]
+
+
+def test_rows_of_a_run_outlive_the_next_run(spark):
+    first, second = (corpus_pipeline.run(spark, SF001) for _ in range(2))
+    assert multi(first, "doc_id") == multi(second, "doc_id")
