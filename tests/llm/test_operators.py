@@ -272,7 +272,8 @@ def brute_components(fps, distance=2):
 
     def find(i):
         while parent[i] != i:
-            i = parent[i] = parent[parent[i]]
+            parent[i] = parent[parent[i]]
+            i = parent[i]
         return i
 
     for i in range(len(fps)):
