@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.llm import bpe, counts, decontam, html, quality, simhash, substring, suffix, urls, warc
+from tripwire.llm import bpe, collocations, counts, decontam, html, quality, simhash, substring, suffix, urls, warc
 from tripwire.llm.common import SPACE_RE, read_table, scratch_path, write_once
 
 import public_tokenizers
@@ -181,3 +181,30 @@ bad AS (SELECT DISTINCT doc_id FROM s JOIN z USING (stratum, rule) WHERE stat >
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM f
 """
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"), min_count=100, longest=5, top=2000)
+
+
+ORACLES["op11_collocations"] = r"""
+WITH p AS (SELECT lang, pid, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws
+  FROM (SELECT lang, piece, row_number() OVER () AS pid FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+      unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents))),
+s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM p),
+g AS (SELECT lang, k, ws[i:i + k - 1] AS g FROM s, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(ws)),
+c AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang),
+h AS (SELECT * FROM c WHERE f >= 100),
+cut AS (SELECT h.lang, h.k, h.g, h.f AS a, j, l.f AS l, r.f AS r, t.n, (1000::HUGEINT * h.f * t.n) // (l.f::HUGEINT * r.f) AS score
+  FROM h, (SELECT unnest(range(1, 5)) AS j), h l, h r, t
+  WHERE h.k >= 2 AND j < h.k AND l.lang = h.lang AND r.lang = h.lang AND t.lang = h.lang AND l.g = h.g[1:j] AND r.g = h.g[j + 1:h.k]),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+part AS (SELECT DISTINCT h.lang, h.g[i:i + m - 1] AS g, h.f FROM h, (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(2, 5)) AS m)
+  WHERE m < h.k AND i + m - 1 <= h.k),
+ok AS (SELECT low.* FROM low ANTI JOIN part ON part.lang = low.lang AND part.g = low.g AND 100 * part.f >= 100 * low.a),
+z AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score::BIGINT AS score FROM ok)
+SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM z) WHERE rank <= 2000
+"""
