@@ -42,7 +42,7 @@ def brute_collocations(docs, min_count, longest=5, top=2000):
 COLLOCATION = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-@pytest.mark.parametrize("head,tile", [(1 << 16, 1 << 9), (8, 2)])
+@pytest.mark.parametrize("head,tile", [(1 << 18, 1 << 10), (8, 2)])
 def test_collocations(spark, head, tile):
     """All ranked; most phrases outside the head, so that hashes, bitmap and COO count them; repeated words, ties, null language and text."""
     rng = random.Random(11)

@@ -8,9 +8,13 @@ coordinates (COO). Pairs that are frequent enough are ranked by frequency again
 and become the ids of the next length.
 
 What is broadcast has a fixed size at every scale: the HEAD most frequent phrases
-of a length with their ranks, and a bitmap of the others. A phrase outside the
-head has a 62-bit hash for an id and is always counted as COO; a phrase that the
-bitmap lets through by chance only adds counts that the final threshold drops.
+of a length with their ranks, and a bitmap of all that are frequent. A phrase
+outside the head has a 62-bit hash for an id and is always counted as COO; a
+phrase that the bitmap lets through by chance only adds counts that the final
+threshold drops.
+
+Texts are cut into words twice, to count them and to write their ids; every
+further length reads the ids alone.
 """
 
 from __future__ import annotations
@@ -27,11 +31,11 @@ from pyspark.sql import functions as F
 
 from tripwire.llm.common import drop_path, write_once
 
-#: Phrases of one length that have a rank; the rank pair fits 32 bits.
-HEAD = 1 << 16
-#: Ranks on each side of a tile.
-TILE = 1 << 9
-#: Bits of the map of frequent phrases outside the head (4 MB).
+#: Phrases of one length that have a rank.
+HEAD = 1 << 18
+#: Ranks on each side of a tile; the tiles of the plane are numbered by 16 bits.
+TILE = 1 << 10
+#: Bits of the map of the frequent phrases of one length (4 MB).
 MAP_BITS = 1 << 25
 #: Pairs or words held before they are counted and sent on.
 HELD = 1 << 21
@@ -66,14 +70,12 @@ def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
 
 
 class Bitmap:
-    """Which hashes may belong to frequent phrases outside the head; None: there are none."""
+    """Which hashes may belong to frequent phrases."""
 
-    def __init__(self, cells: np.ndarray | None):
+    def __init__(self, cells: np.ndarray):
         self.cells = cells
 
     def has(self, h: np.ndarray) -> np.ndarray:
-        if self.cells is None:
-            return np.zeros(len(h), bool)
         at = h & np.uint64(64 * len(self.cells) - 1)
         return (self.cells[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
@@ -81,20 +83,23 @@ class Bitmap:
 class Words:
     """Ids of single words: rank in the head, or hash, or -1."""
 
-    def __init__(self, ranks: dict[str, dict[bytes, int]], bitmap: Bitmap):
-        self.ranks, self.bitmap = ranks, bitmap
+    def __init__(self, ranks: dict[str, dict[bytes, int]], bitmap: Bitmap | None):
+        self.ranks, self.bitmap = ranks, bitmap  # no bitmap: all frequent words have ranks
 
     def ids(self, lang: str, words: list[bytes], memo: dict) -> np.ndarray:
+        """The ids with one -1 for each run of gaps and rare words, and one at the end."""
         seen = memo.get(lang)
-        if seen is None or len(seen) > HELD // 2:
+        if seen is None or len(seen) > HEAD + HELD // 2:
             seen = memo[lang] = dict(self.ranks.get(lang, {}))
-        if self.bitmap.cells is not None:
+        if self.bitmap is not None:
             new = [w for w in set(words) if w not in seen]
             h = word_hashes(lang, new)
             seen.update(zip(new, np.where(self.bitmap.has(h), tail_id(h), -1).tolist()))
             seen[b"\xff"] = -1
         get = seen.get
-        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        words.append(b"\xff")
+        x = np.array([get(w, -1) for w in words], np.int64)
+        return x[np.r_[True, (x[1:] >= 0) | (x[:-1] >= 0)]]
 
 
 class Pairs:
@@ -105,19 +110,21 @@ class Pairs:
         order = np.argsort(h)
         self.h, self.a, self.b, self.rank, self.bitmap = h[order], a[order], b[order], rank[order], bitmap
 
-    def ids(self, x: np.ndarray) -> np.ndarray:
-        """Id of the phrase that begins at each place, or -1."""
-        out = np.full(len(x), -1, np.int64)
-        at = np.flatnonzero((x[:-1] >= 0) & (x[1:] >= 0))
-        a, b = x[at], x[at + 1]
+    def ids(self, at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, ids) of the phrases that may be frequent, from those one word shorter."""
+        place, a, b = adjacent(at, x)
         h = mix(a, b)
-        ids = np.where(self.bitmap.has(h), tail_id(h), -1)
-        if len(self.h):
-            place = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-            head = (self.h[place] == h) & (self.a[place] == a) & (self.b[place] == b)
-            ids = np.where(head, self.rank[place], ids)
-        out[at] = ids
-        return out
+        some = np.flatnonzero(self.bitmap.has(h))
+        place, a, b, h = place[some], a[some], b[some], h[some]
+        near = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        head = (self.h[near] == h) & (self.a[near] == a) & (self.b[near] == b)
+        return place, np.where(head, self.rank[near], tail_id(h))
+
+
+def adjacent(at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, id, next id) where phrases begin at two places in a row."""
+    i = np.flatnonzero(at[1:] == at[:-1] + 1)
+    return at[i], x[i], x[i + 1]
 
 
 def count_pairs(a: np.ndarray, b: np.ndarray, head: int = HEAD, side: int = TILE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -181,10 +188,22 @@ def count_words(docs: DataFrame) -> DataFrame:
     return part.groupBy("lang", "word", "h").agg(F.sum("c").alias("f"))
 
 
-def count_next(docs: DataFrame, words, steps: list, head: int, side: int) -> DataFrame:
+def word_ids(docs: DataFrame, words) -> DataFrame:
+    """(ids): the word ids of each text, -1 between pieces and at the end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, memo = words.value, {}
+        for batch in batches:
+            found = [table.ids(lang, pieces(text), memo) for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            ends = np.cumsum([0, *map(len, found)])
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*found, np.empty(0, np.int64)])))], ["ids"])
+
+    return docs.mapInArrow(run, "ids array<long>")
+
+
+def count_next(ids: DataFrame, steps: list, head: int, side: int) -> DataFrame:
     """(a, b, f): the pairs of overlapping phrases of the length that ``steps`` reach."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, chain, memo = words.value, [s.value for s in steps], {}
+        chain = [s.value for s in steps]
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
@@ -195,30 +214,31 @@ def count_next(docs: DataFrame, words, steps: list, head: int, side: int) -> Dat
             held.clear()
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = first.ids(lang, pieces(text), memo)
+            flat = batch.column(0).flatten().to_numpy()
+            for k in range(0, len(flat), HELD):
+                x = flat[k: k + HELD + len(steps) + 1]  # as many places more as a phrase that begins before them has
+                at = np.flatnonzero(x >= 0)
+                x = x[at]
                 for step in chain:
-                    x = step.ids(x)
-                at = np.flatnonzero((x[:-1] >= 0) & (x[1:] >= 0))
-                if len(at):
-                    held.append((x[at], x[at + 1]))
-                    size += len(at)
+                    at, x = step.ids(at, x)
+                at, a, b = adjacent(at, x)
+                mine = np.searchsorted(at, HELD)
+                held.append((a[:mine], b[:mine]))
+                size += mine
                 if size > HELD:
                     yield from flush()
                     size = 0
         yield from flush()
 
-    return docs.mapInArrow(run, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("f"))
+    return ids.mapInArrow(run, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("f"))
 
 
 def _bitmap(known: DataFrame) -> Bitmap:
-    """The bitmap of the phrases without a rank, put together by bit_or: at most
-    MAP_BITS / 64 rows reach the driver."""
+    """The bitmap of all phrases, put together by bit_or: at most MAP_BITS / 64
+    rows reach the driver."""
     at = F.col("h").bitwiseAND(MAP_BITS - 1)
-    got = known.filter("rank IS NULL").groupBy(F.shiftright(at, 6).alias("cell")) \
+    got = known.groupBy(F.shiftright(at, 6).alias("cell")) \
         .agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 63L AS INT))")).alias("bits")).collect()
-    if not got:
-        return Bitmap(None)
     cells = np.zeros(MAP_BITS // 64, np.int64)
     for r in got:
         cells[r.cell] = r.bits
@@ -255,7 +275,7 @@ def collocations(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
     falling, then the phrase by its UTF-8 bytes. Repeated rows count as often as
     they occur; other columns are not read; an empty table gives an empty result.
 
-    The texts are read once per length. Tasks send distinct pairs with counts, so
+    Tasks send distinct pairs with counts, so
     a word or phrase that a third of all places hold is one row per task. ``head``
     phrases of a length have ranks, ``tile`` of them on a side of a tile; both
     change the cost and not the result.
@@ -287,10 +307,10 @@ def collocations(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
     ranks: dict[str, dict[bytes, int]] = {}
     for i, r in enumerate(first):
         ranks.setdefault(r.lang, {})[r.word.encode("utf-8", "surrogatepass")] = i
-    words = spark.sparkContext.broadcast(Words(ranks, _bitmap(known)))
+    places = written(word_ids(docs, spark.sparkContext.broadcast(Words(ranks, _bitmap(known) if len(first) == head else None))), "ids")
 
     for n in range(2, longest + 1):
-        pairs = written(count_next(docs, words, steps, head, tile).filter(F.col("f") >= min_count), "pairs")
+        pairs = written(count_next(places, steps, head, tile).filter(F.col("f") >= min_count), "pairs")
         first = ranked(pairs, "a", "b")
         if not first:
             break
