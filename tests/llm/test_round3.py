@@ -75,3 +75,147 @@ def test_scores_beyond_64_bits(spark):
     a, l, r, n = 9 * 10 ** 14, 10 ** 15 + 7, 2 * 10 ** 15 + 1, 10 ** 18 + 9
     df = spark.createDataFrame([("en", "x y", a, [l], [r], n)], "lang string, phrase string, a long, fronts array<long>, backs array<long>, n long")
     assert collocations._scores(df, 5).first().score == 1000 * a * n // (l * r)
+
+
+# ---- conversation repair ------------------------------------------------------------
+
+def brute_repair(rows):
+    """(blank, duplicate, truncated, illegal, cost, audit, lines) of one conversation's rows in order."""
+    seen, faults = set(), []
+    for role, text in rows:
+        body = text.strip(" \t\n\x0b\x0c\r")
+        faults.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else "")
+        seen.add((role, text))
+    follow = {"": "u", "s": "u", "u": "a", "a": "u"}
+    best = {}
+
+    def least(i, st):
+        """(cost, audit, lines) from row i on in state st, inserting at most twice in a place."""
+        if (i, st) not in best:
+            opts = []
+            for n in range(3):
+                at, pre = st, []
+                for _ in range(n):
+                    at = follow[at]
+                    pre.append(("user:" if at == "u" else "assistant:"))
+                if i == len(rows):
+                    if at in ("", "a"):
+                        opts.append((5 * n, "I" * n, pre))
+                    continue
+                (role, text), f = rows[i], faults[i]
+                moves = [(2, "D", at, [])]
+                if f not in ("blank", "duplicate"):
+                    extra = 5 * (f == "truncated")
+                    if role[:1] == follow[at] or (role[:1] == "s" and at == ""):
+                        moves.append((extra, "K", role[:1], [f"{role}:{text}"]))
+                    moves.append((1 + extra, "R", follow[at], [f"{'user' if follow[at] == 'u' else 'assistant'}:{text}"]))
+                for c, letter, to, line in moves:
+                    rest = least(i + 1, to)
+                    opts.append((5 * n + c + rest[0], "I" * n + letter + rest[1], pre + line + rest[2]))
+            best[i, st] = min(opts, key=lambda o: o[:2])
+        return best[i, st]
+
+    for i in range(len(rows), -1, -1):
+        for st in follow:
+            least(i, st)
+    cost, audit, lines = least(0, "")
+    pairs = [(a[0][:1] + b[0][:1]) for a, b in zip(rows, rows[1:])]
+    n = Counter(faults)
+    return n["blank"], n["duplicate"], n["truncated"], sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, lines
+
+
+def brute_report(data, damaged=True):
+    convs = {}
+    for conv, turn, role, text in data:
+        rows_ = convs.setdefault(conv, [])
+        role, text = (" " if x is None else x for x in (role, text))
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20 if damaged else 9
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        rows_ += [(turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    out = []
+    for conv, rs in convs.items():
+        rs.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.md5(r[2].encode()).digest()))
+        turns = {t for t, _, _ in rs if t is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        *counts, audit, lines = brute_repair([r[1:] for r in rs])
+        out.append((conv, gaps, *counts, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_conversation_sql_on_messy_rows(spark):
+    import duckdb
+    import pandas as pd
+    from tripwire.llm.queries import ORACLES
+    data = messy(8, 60, 7)
+    c = duckdb.connect()
+    frame = pd.DataFrame(data, columns=["conv_id", "turn", "role", "text"], dtype=object)  # noqa: F841
+    c.execute("CREATE TABLE conversations AS SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, CAST(role AS VARCHAR) AS role, CAST(text AS VARCHAR) AS text FROM frame")
+    res = c.execute(ORACLES["op13_conversation_repair"])
+    at = [[d[0] for d in res.description].index(x) for x in REPORT]
+    assert sorted([tuple(r[i] for i in at) for r in res.fetchall()], key=repr) == brute_report(data)
+
+
+REPORT = ("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def messy(seed, n, longest):
+    rng = random.Random(seed)
+    texts = ["Yes.", "No", "Why?", "", " \n", "And so on!  ", "é。", "\u2028", "x.\u0085", "x\x00.", "a\nb."] + [f"line {i}." for i in range(12)]
+    out = []
+    for conv in [None, *range(n)]:
+        for turn in range(rng.randint(1, longest)):
+            out.append((conv, rng.choice([turn, turn, turn, turn * 2, None, 1]), rng.choice(["user", "assistant"] * 5 + ["system", "tool", "u2", "", "User", None]),
+                        rng.choice(texts + [None])))
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("bits", [16, 1, 0])
+def test_conversation_repair(spark, bits):
+    """One segment for all, and borders of segments inside nearly all conversations."""
+    data = messy(13, 60, 12) + [(77, i, "user", "Again and again.") for i in range(70)] + [(78, 5, "user", "Same.")] * 40 + \
+        [(79, i, ["user", "assistant"][i % 2], f"Turn {i}." + "x" * (200000 if i == 3 else 0) + ".") for i in range(90)] + [(-2 ** 63, 3, "system", "s."), (80, 10 ** 12, "user", "Far.")]
+    df = spark.createDataFrame([(*r, -1, -1) for r in data], TURNS + ", rid long, seg long").repartition(5)
+    from tripwire.llm import conversations
+    got = rows(conversations.report(conversations.repair(df, segment_bits=bits), df), *REPORT)
+    assert got == brute_report(data, damaged=False)
+
+
+def test_conversation_query(spark):
+    from tripwire.llm import conversations
+    from tripwire.llm.queries import QUERIES
+    data = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert rows(QUERIES["op13_conversation_repair"](spark, "/root/testdata/sf0.01"), *REPORT) == brute_report(data)
+    data = messy(5, 60, 3)
+    df = spark.createDataFrame(data, TURNS)
+    want = brute_report(data)
+    assert rows(conversations.report(conversations.repair(conversations.damage(df)), df), *REPORT) == want and any(r[-2] == "" for r in want)
+    assert conversations.report(conversations.repair(df.limit(0)), df.limit(0)).count() == 0
+    assert conversations.report(conversations.repair(df.limit(0)), df.filter("conv_id = 3")).first().repaired_sha256 == hashlib.sha256().hexdigest()
+
+
+def test_least_paths_by_ranks():
+    """The ranks order all nodes of a random graph by their least audits."""
+    from tripwire.llm.conversations import AT_END, Block, Ranks
+    rng = np.random.default_rng(2)
+    size = 60
+    first = np.zeros(size, bool)
+    first[[0, 7, 8, 30]] = True
+    b = Block(first, rng.integers(0, 4, size), rng.random(size) < .2, (rng.random(size) < .3).astype(np.int64), np.ones(size, np.int64))
+    r = Ranks(*b.arcs(np.broadcast_to(AT_END, (4, 4)).copy(), np.ones(4, bool)))
+
+    def audit(v):
+        out = ""
+        while r.letter[v] >= 0:
+            out += "DIKR"[r.letter[v]]
+            v = r.pointers[0][v]
+        return out
+
+    audits = [audit(v) for v in range(b.n * 4)]
+    assert [sorted(set(audits)).index(x) for x in audits] == r.rank.tolist() and [len(x) for x in audits] == r.length.tolist()
+    which, at = r.paths(b.begin * 4)
+    for k, v in enumerate(b.begin * 4):
+        assert "".join("DIKR"[r.letter[x]] for x in at[which == k]) == audits[v]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.llm import bpe, collocations, counts, decontam, html, quality, simhash, substring, suffix, urls, warc
+from tripwire.llm import bpe, collocations, conversations, counts, decontam, html, quality, simhash, substring, suffix, urls, warc
 from tripwire.llm.common import SPACE_RE, read_table, scratch_path, write_once
 
 import public_tokenizers
@@ -208,3 +208,52 @@ ok AS (SELECT low.* FROM low ANTI JOIN part ON part.lang = low.lang AND part.g =
 z AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score::BIGINT AS score FROM ok)
 SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM z) WHERE rank <= 2000
 """
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    return conversations.report(conversations.repair(conversations.damage(rows)), rows.select("conv_id"))
+
+
+def _repair_sql() -> str:
+    """The damage, the faults, and the cheapest edits from the last row backwards:
+    ``v`` has {cost, audit, lines} to the end from the states start, system, user,
+    assistant (1 to 4)."""
+    follows, names, far = {1: 3, 2: 3, 3: 4, 4: 3}, {3: "user", 4: "assistant"}, 10 ** 9
+    before, closed = [], []
+    for st, to in follows.items():
+        keep = lambda ini, t: f"{{'c': CASE WHEN ini = '{ini}' THEN e + v[{t}].c ELSE {far} END, 'a': 'K' || v[{t}].a, 'l': chr(10) || role || ':' || text || v[{t}].l}}"
+        opts = [f"{{'c': 2 + v[{st}].c, 'a': 'D' || v[{st}].a, 'l': v[{st}].l}}",
+                f"{{'c': 1 + e + v[{to}].c, 'a': 'R' || v[{to}].a, 'l': chr(10) || '{names[to]}:' || text || v[{to}].l}}", keep(names[to][0], to)]
+        before.append(f"list_sort([{', '.join(opts + ([keep('s', 2)] if st == 1 else []))}])[1]")
+        then = follows[to]
+        closed.append(f"list_sort([b[{st}], {{'c': 5 + b[{to}].c, 'a': 'I' || b[{to}].a, 'l': chr(10) || '{names[to]}:' || b[{to}].l}}, "
+                      f"{{'c': 10 + b[{then}].c, 'a': 'II' || b[{then}].a, 'l': chr(10) || '{names[to]}:' || chr(10) || '{names[then]}:' || b[{then}].l}}])[1]")
+    return rf"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(key) + 1), lambda p: CAST(ord(key[p]) AS BIGINT))),
+    lambda x, y: list_reduce(list_prepend(xor(x, y), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda w, z: CASE WHEN w & 1 = 1 THEN xor(w >> 1, 3988292384) ELSE w >> 1 END)),
+    4294967295) % 20 AS kind FROM k),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) FROM h WHERE kind <> 0),
+n AS (SELECT conv_id, turn, role, text, role[1] AS ini, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM d),
+f AS (SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+    regexp_matches(text, '[^.!? 	-][ 	-]*\z') AS unended, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM n),
+o AS (SELECT *, CASE WHEN blank OR seen THEN {far} WHEN unended THEN 5 ELSE 0 END AS e FROM f),
+t AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND seen) AS duplicate,
+    count(*) FILTER (NOT blank AND NOT seen AND unended) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM o GROUP BY conv_id),
+s AS (SELECT conv_id, n + 1 AS i, [{{'c': 0::BIGINT, 'a': '', 'l': ''}}, {{'c': 10, 'a': 'II', 'l': chr(10) || 'user:' || chr(10) || 'assistant:'}},
+    {{'c': 5, 'a': 'I', 'l': chr(10) || 'assistant:'}}, {{'c': 0, 'a': '', 'l': ''}}] AS v FROM t
+  UNION ALL
+  SELECT conv_id, i, [{', '.join(closed)}] FROM (
+    SELECT s.conv_id, o.i, [{', '.join(before)}] AS b FROM s JOIN o ON o.conv_id IS NOT DISTINCT FROM s.conv_id AND o.i = s.i - 1)),
+z AS (SELECT conv_id, v[1] AS v FROM s WHERE i = 1)
+SELECT c.conv_id, coalesce(t.gaps, 0) AS gaps, coalesce(t.blank, 0) AS blank, coalesce(t.duplicate, 0) AS duplicate, coalesce(t.truncated, 0) AS truncated,
+  coalesce(t.illegal, 0) AS illegal, coalesce(z.v.c, 0) AS cost, coalesce(z.v.a, '') AS audit, sha256(substr(coalesce(z.v.l, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+ORACLES["op13_conversation_repair"] = _repair_sql()
