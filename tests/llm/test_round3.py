@@ -219,3 +219,100 @@ def test_least_paths_by_ranks():
     which, at = r.paths(b.begin * 4)
     for k, v in enumerate(b.begin * 4):
         assert "".join("DIKR"[r.letter[x]] for x in at[which == k]) == audits[v]
+
+
+# ---- circulant MinHash ------------------------------------------------------------
+
+def brute_near(docs, size=5, percent=85):
+    sets = []
+    for _, t in docs:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i: i + min(size, len(w))]) for i in range(len(w) - min(size, len(w)) + 1)} if w else set())
+    uniq = {}
+    for s in sets:
+        uniq.setdefault(frozenset(s), len(uniq))
+    keys = [k for k in uniq if k]
+    where: dict = {}
+    for i, k in enumerate(keys):
+        for sh in k:
+            where.setdefault(sh, []).append(i)
+    both = Counter(p for v in where.values() for p in itertools.combinations(v, 2))
+    parent = list(range(len(keys)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for (i, j), n in both.items():
+        if 100 * n >= percent * (len(keys[i]) + len(keys[j]) - n):
+            parent[find(i)] = find(j)
+    at = {k: find(i) for i, k in enumerate(keys)}
+    least = {}
+    for (d, _), s in zip(docs, sets):
+        if s and d is not None:
+            r = at[frozenset(s)]
+            least[r] = min(d, least.get(r, d))
+    out = []
+    for (d, _), s in zip(docs, sets):
+        c = least.get(at[frozenset(s)]) if s else d
+        out.append((d, len(s), c, d == c))
+    return sorted(out, key=repr)
+
+
+NEAR = ("doc_id", "n_shingles", "component_id", "kept")
+
+
+def edited(rng, words, n):
+    w = list(words)
+    for _ in range(n):
+        k = rng.randrange(len(w))
+        w[k: k + rng.randint(0, 1)] = [f"e{rng.randrange(10 ** 6)}"]
+    return w
+
+
+@pytest.mark.parametrize("bucket_pairs,hubs", [(1 << 16, 6), (4, 1)])
+def test_near_duplicates(spark, edge_docs, bucket_pairs, hubs):
+    """A star and a chain of edits, sets about the limit, copies, a passage that many share; also with longer bands after few pairs."""
+    from tripwire.llm import minhash
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(300)]
+    base = [rng.choice(vocabulary) for _ in range(120)]
+    docs = [tuple(r) for r in edge_docs.select("doc_id", "text").collect()]
+    star = [edited(rng, base, rng.randint(0, 3)) for _ in range(120)]
+    chain = [[rng.choice(vocabulary) for _ in range(150)]]
+    for _ in range(60):
+        chain.append(edited(rng, chain[-1], 2))
+    passage = [rng.choice(vocabulary) for _ in range(100)]
+    shared = [passage + [rng.choice(vocabulary) for _ in range(rng.randint(12, 60))] for _ in range(80)]
+    few = [[f"x{i}" for i in range(k)] for k in (1, 2, 4, 5, 6)]
+    for w in star + chain + shared + few + few:
+        docs.append((rng.randrange(10 ** 6), " ".join(w) if rng.random() < .5 else "\n".join(w).upper()))
+    df = spark.createDataFrame([(*d, -1) for d in docs], "doc_id long, text string, node long").repartition(6)
+    got = rows(minhash.near_duplicates(df, bucket_pairs=bucket_pairs, hubs=hubs), *NEAR)
+    assert got == brute_near(docs)
+    assert minhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_near_duplicate_query(spark):
+    from tripwire.llm.queries import QUERIES
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    want = brute_near(docs)
+    assert rows(QUERIES["op12_minhash"](spark, "/root/testdata/sf0.01"), *NEAR) == want and not all(r[3] for r in want)
+
+
+def test_circulant_coordinates():
+    """Coordinates agree as often as the sets are similar; bands of pairs at the limit share a key."""
+    from tripwire.llm.minhash import BAND_ROWS, band_keys, bands_for, signature
+    rng = np.random.default_rng(1)
+    for j in (.3, .85):
+        agree, missed = [], 0
+        for _ in range(60):
+            h = rng.integers(0, 2 ** 63, 400, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            k = int(round(400 * 2 * j / (1 + j)))
+            a, b = h[:400], np.r_[h[:k], rng.integers(0, 2 ** 63, 400 - k, dtype=np.uint64)]
+            agree.append(np.mean(signature(a, 180) == signature(b, 180)))
+            for r in BAND_ROWS[:2]:
+                n = bands_for(r, .85)
+                missed += not (band_keys(a, r, n) == band_keys(b, r, n)).any()
+        assert abs(np.mean(agree) - j) < .03 and (j < .5 or not missed)

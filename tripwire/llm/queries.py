@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.llm import bpe, collocations, conversations, counts, decontam, html, quality, simhash, substring, suffix, urls, warc
+from tripwire.llm import bpe, collocations, conversations, counts, decontam, html, minhash, quality, simhash, substring, suffix, urls, warc
 from tripwire.llm.common import SPACE_RE, read_table, scratch_path, write_once
 
 import public_tokenizers
@@ -239,8 +239,11 @@ h AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
 d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
     CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) FROM h WHERE kind <> 0),
 n AS (SELECT conv_id, turn, role, text, role[1] AS ini, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM d),
-f AS (SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
-    regexp_matches(text, '[^.!? 	-][ 	-]*\z') AS unended, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM n),
+f AS (SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+    regexp_matches(text, '[^.!? 	-
+][ 	-
+]*\z') AS unended, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM n),
 o AS (SELECT *, CASE WHEN blank OR seen THEN {far} WHEN unended THEN 5 ELSE 0 END AS e FROM f),
 t AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND seen) AS duplicate,
     count(*) FILTER (NOT blank AND NOT seen AND unended) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM o GROUP BY conv_id),
@@ -257,3 +260,8 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN t ON t.conv_id IS
 
 
 ORACLES["op13_conversation_repair"] = _repair_sql()
+
+
+@query
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=5, percent=85)
