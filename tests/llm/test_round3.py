@@ -271,7 +271,7 @@ def edited(rng, words, n):
     return w
 
 
-@pytest.mark.parametrize("bucket_pairs,hubs", [(1 << 16, 6), (4, 1)])
+@pytest.mark.parametrize("bucket_pairs,hubs", [((1 << 6, 1 << 16), 6), ((2, 2), 1)])
 def test_near_duplicates(spark, edge_docs, bucket_pairs, hubs):
     """A star and a chain of edits, sets about the limit, copies, a passage that many share; also with longer bands after few pairs."""
     from tripwire.llm import minhash

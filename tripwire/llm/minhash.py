@@ -8,10 +8,10 @@ and a candidate pair is a link only if the full sets say so.
 
 Work is on different sets: copies are one node before the search. A bucket never
 gives all its pairs: its members are held against one hub, over rounds with other
-hubs, and members that a chain of links has joined need no comparison any more.
-What is left (pairs of members of different components) is compared directly; a
-bucket with very many of them hands its members to bands twice as long, for which
-the same two permutations give as many coordinates as it takes.
+hubs, and members that links have joined need no comparison any more. What is left
+(open pairs, of members that are not known to be joined) is compared directly; a
+bucket with many of them hands its members to bands twice as long, for which the
+same two permutations give as many coordinates as it takes.
 """
 
 from __future__ import annotations
@@ -31,8 +31,9 @@ from tripwire.llm.common import components, drop_path, slim_rows, write_once
 MISS = 1e-7
 #: Coordinates to a band, at first and for buckets with too many pairs.
 BAND_ROWS = (5, 10, 20)
-#: Pairs of different components that a bucket may have; more go to longer bands.
-BUCKET_PAIRS = 1 << 16
+#: Open pairs that a bucket may have, of bands of each length but the last; the members of
+#: buckets with more go to the next length.
+BUCKET_PAIRS = (1 << 6, 1 << 16)
 #: Rounds of hubs at most, before what is left is compared directly.
 HUBS = 6
 #: Pairs that share one copy of a hub's set.
@@ -144,13 +145,13 @@ def _longer(sets: DataFrame, rows: int, bands: int) -> DataFrame:
 
 
 class Links:
-    """The links found so far, the pairs compared, and the components they give."""
+    """The links found so far, the pairs compared, and labels of nodes: equal ones are in one component."""
 
     def __init__(self, sets: DataFrame, percent: int):
         self.sets, self.percent, self.old = sets, percent, []
         self.links: DataFrame | None = None
         self.tested: DataFrame | None = None
-        self.roots: DataFrame | None = None
+        self.labels: DataFrame | None = None
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
         df, path = write_once(df, name)
@@ -162,7 +163,7 @@ class Links:
         return 100 * F.least(x, y) >= self.percent * F.greatest(x, y)
 
     def compare(self, pairs: DataFrame) -> None:
-        """Hold pairs (hub, node) against the full sets; new links change the components."""
+        """Hold pairs (hub, node) against the full sets; new links change the labels."""
         pairs = pairs.select(F.col("hub"), F.col("node")).distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["hub", "node"], "left_anti")
@@ -178,30 +179,33 @@ class Links:
         linked = self.written(linked, "links")
         swapped = pairs.union(pairs.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
         self.tested = swapped if self.tested is None else self.tested.union(swapped)
-        if linked.limit(1).count():
-            self.links = linked if self.links is None else self.links.union(linked)
-            self.roots, paths = components(self.links)
-            self.old += paths
+        self.links = linked if self.links is None else self.links.union(linked)
+        # each node's least neighbour and that one's least neighbour: equal labels are
+        # linked, and one pass over the links is enough to close stars
+        both = self.links.union(self.links.select("b", "a"))
+        least = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("root"))
+        far = least.select(F.col("node").alias("root"), F.col("root").alias("far"))
+        self.labels = self.written(least.join(far, "root", "left").select("node", F.coalesce("far", "root").alias("root")), "labels")
 
     def members(self, buckets: DataFrame) -> DataFrame:
-        """Members (b, node, n, root) of the buckets that hold two components or more."""
-        if self.roots is None:
+        """Members (b, node, n, root) of the buckets that hold two labels or more."""
+        if self.labels is None:
             m = buckets.withColumn("root", F.col("node"))
         else:
-            m = buckets.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            m = buckets.join(self.labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
         several = m.groupBy("b").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("b")
         return self.written(m.join(several, "b", "left_semi"), "members")
 
 
 def _open_pairs(m: DataFrame) -> DataFrame:
-    """(b, main, open): per bucket its largest component and the pairs of members of different ones."""
+    """(b, main, open): per bucket its most frequent label and about how many pairs have different ones."""
     sizes = m.groupBy("b", "root").agg(F.count("*").alias("c"))
     return sizes.groupBy("b").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("m"), F.max("c").alias("most")) \
         .select("b", "main", ((F.col("m") - F.col("most")) * F.col("m")).alias("open"))
 
 
 def _search(links: Links, buckets: DataFrame, bucket_pairs: int, hubs: int) -> DataFrame | None:
-    """Compare the members of buckets until no pair of different components is left,
+    """Compare the members of buckets until no pair of different labels is left,
     but for buckets with more than ``bucket_pairs`` of them (all, if 0): returns their nodes."""
     m, turn = links.members(buckets), 0
     while True:
@@ -226,7 +230,7 @@ def _search(links: Links, buckets: DataFrame, bucket_pairs: int, hubs: int) -> D
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 85,
-                    bucket_pairs: int = BUCKET_PAIRS, hubs: int = HUBS) -> DataFrame:
+                    bucket_pairs: tuple[int, ...] = BUCKET_PAIRS, hubs: int = HUBS) -> DataFrame:
     """(id, n_shingles, component_id, kept) for each input row.
 
     A text's set: its distinct ``shingle``-word shingles, A-Z lower-cased, words
@@ -256,15 +260,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     need = buckets.select(F.col("node").alias("row")).distinct()
     sets, sets_path = write_once(_sets(texts.join(need, "row", "left_semi"), shingle), "minhash-sets")
     links = Links(sets, percent)
-    for width in BAND_ROWS:
-        last = width == BAND_ROWS[-1]
-        rest = _search(links, buckets, 0 if last else bucket_pairs, hubs)
+    for wider, most in zip((*BAND_ROWS[1:], None), (*bucket_pairs, 0)):
+        rest = _search(links, buckets, most, hubs)
         if rest is None:
             break
-        wider = BAND_ROWS[BAND_ROWS.index(width) + 1]
         buckets = links.written(_longer(sets.join(rest, "node", "left_semi"), wider, bands_for(wider, limit)), "minhash-buckets")
-    member = nodes.select("key", "node", "least_id").withColumn("root", F.col("node")) if links.roots is None else \
-        nodes.select("key", "node", "least_id").join(links.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    member = nodes.select("key", "node", "least_id").withColumn("root", F.col("node"))
+    if links.links is not None:
+        roots, paths = components(links.links)
+        links.old += paths
+        member = member.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     comp, _ = write_once(member.join(member.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select("key", "component_id"), "minhash-comp")
     drop_path(spark, texts_path, nodes_path, buckets_path, sets_path, *links.old)
     out = signed.select("id", "n", "key").join(comp, "key", "left")
