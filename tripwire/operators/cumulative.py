@@ -1,9 +1,10 @@
 """Cumulative sums along a sorted key, bucket by bucket (KS, AUC, AP frames).
 
 A window ordered over a whole partition puts every distinct value of that
-partition in one task. Here rows are first grouped by a monotone bucket of the
-key; bucket totals (a small table) give each bucket's offset, and the running
-sum runs inside each bucket only.
+partition in one task. Here the rows are dealt to ranges of about equal size by
+splitters that Spark samples from the keys themselves, so values crowded in a
+narrow band are parted like any others; the totals of the ranges (one row each)
+give each range's offset, and the running sum runs inside each range only.
 """
 
 from __future__ import annotations
@@ -17,22 +18,20 @@ from pyspark.sql import functions as F
 from tripwire.functions.buckets import log_bucket
 
 _B = "_cs_b"
-# 256 buckets per octave (relative width ~0.4 %): distinct values crowded in
-# a narrow band still spread over many tasks; the bucket table stays around
-# #parts x 256 x #octaves rows.
-SUB_BITS = 8
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], parts: Sequence[str] = (),
-                bucket: Column | None = None, suffix: str = "_before",
-                totals: bool = False) -> DataFrame:
+                suffix: str = "_before", totals: bool = False) -> DataFrame:
     """Add ``<c>_before`` = sum of ``c`` over rows with a smaller ``order_col``
     (same ``parts``). ``order_col`` must be unique within ``parts`` (aggregate
     to distinct values first). ``totals`` also adds ``<c>_total`` per part,
-    taken from the bucket table (no second pass over the rows)."""
+    taken from the range totals (no second pass over the rows).
+
+    The ranges are pinned by one write, since a recomputed sample could cut
+    elsewhere; a range never holds rows of two places in the order."""
+    from tripwire.session import materialize
     parts = list(parts)
-    d = df.withColumn(_B, bucket if bucket is not None
-                      else log_bucket(F.col(order_col).cast("double"), sub_bits=SUB_BITS))
+    d = materialize(df.repartitionByRange(*parts, order_col).withColumn(_B, F.spark_partition_id()), "ranges")
     tot = d.groupBy(*parts, _B).agg(*[F.sum(c).alias(f"_cs_t_{c}") for c in sum_cols])
     wp = Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))
     wb = wp.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)

@@ -228,3 +228,17 @@ def baseline_isolation_forest(train: DataFrame, test: DataFrame, features: Seque
     scored = (test.select(key, label).join(s, key)
               .withColumn("pred", (F.col("anomaly_score") > F.lit(thr)).cast("int")))
     return evaluate_scores(scored, label, "anomaly_score", "pred", name)
+
+
+def paired_forest_scores(clean: DataFrame, injected: DataFrame, test: DataFrame, features: Sequence[str], label: str,
+                         key: str, num_trees: int = 100, max_depth: int = 10, seed: int = 42) -> DataFrame:
+    """Class-weighted forests fitted on the clean and on the injected training
+    rows, both scoring the same test rows: (key, label, score_clean, score_injected),
+    written once. ``metrics.paired_auc`` compares them."""
+    from tripwire.operators.metrics import with_weights
+    from tripwire.session import materialize
+    scored = test.select(key, label, *features)
+    for rows, out in ((clean, "score_clean"), (injected, "score_injected")):
+        model = fit_random_forest(with_weights(rows, label, "_w"), features, label, num_trees, max_depth, seed, weight_col="_w")
+        scored = positive_proba(model, scored, features, out=out).drop("pred")
+    return materialize(scored.select(key, label, "score_clean", "score_injected"), "paired")

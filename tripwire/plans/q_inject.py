@@ -340,6 +340,23 @@ def q_auc_delta(spark, sf):
     return row.select(*[sig_round(F.col(c)).alias(c) for c in row.columns])
 
 
+@query("paired_auc", f"""
+WITH s AS (SELECT CAST(amount_c % 1000 + 300 * isFraud AS DOUBLE) AS a, CAST(amount_c % 777 + 150 * isFraud AS DOUBLE) AS b, isFraud AS y FROM ledger),
+n AS (SELECT sum(y) AS m, sum(1 - y) AS n FROM s),
+p AS (SELECT y, m, n, {", ".join(f"CASE WHEN y = 1 THEN (rank() OVER (ORDER BY {x}) - 1 - pb_{x} + 0.5 * ne_{x}) / n ELSE (m - pb_{x} - 0.5 * pe_{x}) / m END AS v_{x}" for x in "ab")}
+  FROM (SELECT s.*, {", ".join(f"sum(y) OVER (ORDER BY {x} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - sum(y) OVER (PARTITION BY {x}) AS pb_{x}, sum(y) OVER (PARTITION BY {x}) AS pe_{x}, sum(1 - y) OVER (PARTITION BY {x}) AS ne_{x}" for x in "ab")} FROM s) q, n),
+r AS (SELECT max(m) AS m, max(n) AS n, avg(v_a) FILTER (y = 1) AS ua, avg(v_b) FILTER (y = 1) AS ub,
+  var_samp(v_b - v_a) FILTER (y = 1) / max(m) + var_samp(v_b - v_a) FILTER (y = 0) / max(n) AS var FROM p)
+SELECT CAST(m AS BIGINT) AS n_pos, CAST(n AS BIGINT) AS n_neg, {S('ua')} AS auc_a, {S('ub')} AS auc_b, {S('ub - ua')} AS auc_delta,
+  {S('var')} AS var_delta, {S('(ub - ua) / sqrt(var)')} AS z FROM r""")
+def q_paired_auc(spark, sf):
+    """Two scores of the same rows, the difference of their AUCs and its DeLong variance."""
+    rows = Views.get(spark, sf).ledger.select(
+        (F.col("amount_c") % 1000 + 300 * F.col("isFraud")).alias("a"), (F.col("amount_c") % 777 + 150 * F.col("isFraud")).alias("b"), "isFraud")
+    out = metrics.paired_auc(rows, "a", "b", "isFraud")
+    return out.select("n_pos", "n_neg", *[sig_round(F.col(c)).alias(c) for c in ("auc_a", "auc_b", "auc_delta", "var_delta", "z")])
+
+
 @query("top_pct_select", """
 SELECT pos FROM injected WHERE amount_c >= (SELECT quantile_cont(amount_c, 0.8) FROM injected)""")
 def q_top_pct_select(spark, sf):

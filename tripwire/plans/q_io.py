@@ -16,6 +16,7 @@ from tripwire.schema import FEATURES
 from tripwire.session import ensure_checkpoint_dir
 from tripwire.sources import sinks
 from tripwire.sources.fixtures import Views
+from tripwire.sources.lookup_store import LookupStore
 from tripwire.sources.tables import read_ledger_csv
 from tripwire.streaming import detect_stream as ds
 
@@ -124,6 +125,28 @@ def q_lookup_roundtrip(spark, sf):
     return back.groupBy("zone").agg(F.count(F.lit(1)).cast("bigint").alias("n_hashes"))
 
 
+@query("lookup_upsert", """
+WITH r AS (SELECT row_hash, 1 AS batch, zone FROM pool_zoned
+  UNION ALL SELECT row_hash, 2, 'random' FROM pool_zoned WHERE tx_id % 3 = 0
+  UNION ALL SELECT row_hash, 2, 'edge_case' FROM pool_zoned WHERE tx_id % 6 = 0
+  UNION ALL SELECT row_hash, 3, 'cluster' FROM pool_zoned WHERE tx_id % 5 = 0)
+SELECT row_hash, arg_max(zone, batch * 10 + CASE zone WHEN 'random' THEN 1 WHEN 'edge_case' THEN 2 WHEN 'cluster' THEN 3 ELSE 4 END) AS zone
+FROM r GROUP BY row_hash""")
+def q_lookup_upsert(spark, sf):
+    """Three registrations into a saved lookup, the third before the second,
+    the second replayed, with a compaction between them; the last batch of a hash
+    wins, within a batch the last zone."""
+    pool = Views.get(spark, sf).pool_zoned
+    part = lambda n, zone: pool.filter(f"tx_id % {n} = 0").select("row_hash", F.lit(zone).alias("zone"))
+    store = LookupStore(spark, _scratch(spark, "lookup-store"))
+    store.register(1, pool)
+    store.register(3, part(5, "cluster"))
+    store.compact()
+    for _ in range(2):
+        store.register(2, part(3, "random").unionByName(part(6, "edge_case")))
+    return store.lookup()
+
+
 @query("scaler_roundtrip", _w("""
 SELECT f AS feature, """ + S("m") + " AS mean, " + S("s") + """ AS std FROM sc,
  (VALUES """ + ", ".join(f"('{c}')" for c in FEATURES) + """) t(f)

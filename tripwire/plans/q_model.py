@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tripwire.functions.buckets import sig_round, sig_round_sql as S
-from tripwire.operators import inject, lookup, models, nearest, prep, scenarios, synth
+from tripwire.operators import inject, lookup, metrics, models, nearest, prep, scenarios, synth
 from tripwire.operators.ranking import first_n
 from tripwire.plans.q_inject import _w, scaled_inputs, scaled_test
 from tripwire.plans.registry import query
@@ -92,6 +92,18 @@ def q_discriminator(spark, sf):
     return spark.createDataFrame([m])
 
 
+@query("auc_models")
+def q_auc_models(spark, sf):
+    """Forests fitted without and with the decoys (labelled 0) in the training
+    rows, compared on the same clean test rows."""
+    v = Views.get(spark, sf)
+    train, pool, params = scaled_inputs(v)
+    cols = ["tx_id", *FEATURES, "isFraud"]
+    injected = train.select(*cols).unionByName(pool.withColumn("isFraud", F.lit(0)).select(*cols))
+    scores = models.paired_forest_scores(train.select(*cols), injected, scaled_test(v), FEATURES, "isFraud", "tx_id", **RF)
+    return metrics.paired_auc(scores, "score_clean", "score_injected", "isFraud")
+
+
 @query("quality_summary")
 def q_quality_summary(spark, sf):
     """Q9: discriminator + per-feature summary of the pool decoys, with the pass flag."""
