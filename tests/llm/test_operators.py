@@ -237,6 +237,13 @@ def test_rollup(spark, tmp_path):
     assert r.commit(3, put((2, "v", "a", "en", 6))) and r.commit(4, first.limit(0)) and r.batches() == [1, 2, 3, 4]
     assert totals() == sorted([("a", "en", "v", 1, 6), ("b", "en", "v", 1, 4), (None, None, "v", 1, 0), ("a", "en", "w", 1, 7)], key=repr)
     assert counts.Rollup(spark, str(tmp_path / "roll")).totals().count() == 4
+    # ids must rise: totals of later batches were counted without an earlier one
+    late = counts.Rollup(spark, str(tmp_path / "late"))
+    assert late.commit(3, put((1, "v", "a", "en", 10)))
+    with pytest.raises(ValueError):
+        late.commit(2, put((1, "v", "a", "en", 7)))
+    assert late.commit(4, put((1, "v", "a", "en", 5)).withColumn("batch", F.lit(-1))) and not late.commit(4, put((1, "v", "a", "en", 8)))
+    assert [(r.n_docs, r.n_tokens) for r in late.totals().collect()] == [(1, 5)]
     # a batch that died before its commit is not read
     (tmp_path / "roll/unfinished/9-x/delta").mkdir(parents=True)
     assert r.batches() == [1, 2, 3, 4]

@@ -173,7 +173,7 @@ def messy(seed, n, longest):
     return out
 
 
-@pytest.mark.parametrize("bits", [16, 1, 0])
+@pytest.mark.parametrize("bits", [16, 1])
 def test_conversation_repair(spark, bits):
     """One segment for all, and borders of segments inside nearly all conversations."""
     data = messy(13, 60, 12) + [(77, i, "user", "Again and again.") for i in range(70)] + [(78, 5, "user", "Same.")] * 40 + \
@@ -271,9 +271,8 @@ def edited(rng, words, n):
     return w
 
 
-@pytest.mark.parametrize("bucket_pairs,hubs", [((1 << 6, 1 << 16), 6), ((2, 2), 1)])
-def test_near_duplicates(spark, edge_docs, bucket_pairs, hubs):
-    """A star and a chain of edits, sets about the limit, copies, a passage that many share; also with longer bands after few pairs."""
+def test_near_duplicates(spark, edge_docs):
+    """A star and a chain of edits, sets about the limit, copies, a passage that many share; longer bands after few pairs."""
     from tripwire.llm import minhash
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(300)]
@@ -289,7 +288,7 @@ def test_near_duplicates(spark, edge_docs, bucket_pairs, hubs):
     for w in star + chain + shared + few + few:
         docs.append((rng.randrange(10 ** 6), " ".join(w) if rng.random() < .5 else "\n".join(w).upper()))
     df = spark.createDataFrame([(*d, -1) for d in docs], "doc_id long, text string, node long").repartition(6)
-    got = rows(minhash.near_duplicates(df, bucket_pairs=bucket_pairs, hubs=hubs), *NEAR)
+    got = rows(minhash.near_duplicates(df, bucket_pairs=(4, 8), hubs=(1, 0, 1)), *NEAR)
     assert got == brute_near(docs)
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 

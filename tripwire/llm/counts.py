@@ -90,10 +90,15 @@ class Rollup:
         not missed. Several changes of one document in a batch: a delete wins over puts,
         among puts the largest (tokens, source, lang). Rows without doc_id, version or op are ignored; a null
         source or language is a group of its own; null tokens count as zero. False if the batch
-        is already committed."""
-        target = self._path(f"{self.path}/batches/batch={batch}")
-        if self._fs.exists(target):
+        is already committed. Ids must rise: a smaller one than the greatest committed is an
+        error, since the totals of the batches after it were counted without it. Extra
+        columns are not read. Of two writers of one id one wins, and the other gets False."""
+        found = self.batches()
+        if batch in found:
             return False
+        if found and batch < found[-1]:
+            raise ValueError(f"batch {batch} comes after batch {found[-1]}; ids must rise")
+        target = self._path(f"{self.path}/batches/batch={batch}")
         tmp = f"{self.path}/unfinished/{batch}-{uuid.uuid4().hex[:12]}"
         pick = F.max(F.struct((F.col("op") == "delete").alias("gone"), F.coalesce("tokens", F.lit(0).cast("long")).alias("tokens"), *GROUP[:2])).alias("n")
         new = changes.filter("doc_id IS NOT NULL AND version IS NOT NULL AND op IN ('put', 'delete')") \
@@ -115,7 +120,14 @@ class Rollup:
             .withColumn("batch", F.lit(batch).cast("long")).write.parquet(f"{tmp}/delta")
         self._fs.mkdirs(target.getParent())
         self._fs.delete(self._path(f"{tmp}/change"), True)
-        return bool(self._fs.rename(self._path(tmp), target))
+        # a rename onto an existing folder moves into it on some file systems
+        marker = "by-" + tmp.rsplit("-", 1)[1]
+        self._fs.mkdirs(self._path(f"{tmp}/{marker}"))
+        if not self._fs.exists(target) and self._fs.rename(self._path(tmp), target) and self._fs.exists(self._path(f"{target}/{marker}")):
+            return True
+        for lost in (tmp, f"{target}/{tmp.rsplit('/', 1)[1]}"):
+            self._fs.delete(self._path(lost), True)
+        return False
 
 
 def changes(rows: DataFrame, op: str, counts: dict[str, str]) -> DataFrame:

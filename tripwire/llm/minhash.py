@@ -34,8 +34,8 @@ BAND_ROWS = (5, 10, 20)
 #: Open pairs that a bucket may have, of bands of each length but the last; the members of
 #: buckets with more go to the next length.
 BUCKET_PAIRS = (1 << 6, 1 << 16)
-#: Rounds of hubs at most, before what is left is compared directly.
-HUBS = 6
+#: Rounds of hubs at most for bands of each length, before what is left is compared directly.
+HUBS = (1, 0, 4)
 #: Pairs that share one copy of a hub's set.
 SALT = 512
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -230,7 +230,7 @@ def _search(links: Links, buckets: DataFrame, bucket_pairs: int, hubs: int) -> D
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 85,
-                    bucket_pairs: tuple[int, ...] = BUCKET_PAIRS, hubs: int = HUBS) -> DataFrame:
+                    bucket_pairs: tuple[int, ...] = BUCKET_PAIRS, hubs: tuple[int, ...] = HUBS) -> DataFrame:
     """(id, n_shingles, component_id, kept) for each input row.
 
     A text's set: its distinct ``shingle``-word shingles, A-Z lower-cased, words
@@ -260,8 +260,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     need = buckets.select(F.col("node").alias("row")).distinct()
     sets, sets_path = write_once(_sets(texts.join(need, "row", "left_semi"), shingle), "minhash-sets")
     links = Links(sets, percent)
-    for wider, most in zip((*BAND_ROWS[1:], None), (*bucket_pairs, 0)):
-        rest = _search(links, buckets, most, hubs)
+    for wider, most, turns in zip((*BAND_ROWS[1:], None), (*bucket_pairs, 0), hubs):
+        rest = _search(links, buckets, most, turns)
         if rest is None:
             break
         buckets = links.written(_longer(sets.join(rest, "node", "left_semi"), wider, bands_for(wider, limit)), "minhash-buckets")
