@@ -102,3 +102,53 @@ def test_core_queries_without_the_optional_subpackage(module):
     code = f"import sys; sys.modules[{module!r}] = None; import __spark_entry__ as e; from tripwire.plans import QUERIES; " \
            "assert set(e.queries()) == set(QUERIES) and len(QUERIES) > 100 and set(e.oracle_sql()) <= set(QUERIES)"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=__file__.rsplit("/tests/", 1)[0])
+
+
+def test_keys_at_ranks(spark):
+    from tripwire.operators.ranking import at_ranks, int_range_bucket
+    rng = random.Random(9)
+    keys = sorted(rng.sample(range(10 ** 6), 3000)) + [10 ** 12]  # one outlying key
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(7)
+    asked = [1, 2, 2, 1500, 3000, 3001, 3002, 0, None] + [rng.randint(1, 3001) for _ in range(200)]
+    wanted = spark.createDataFrame(list(enumerate(asked)), "draw int, r long")
+    for n in (1, 64, 4096):
+        got = {r.draw: r.k for r in at_ranks(df, "k", wanted, "r", int_range_bucket(df, "k", n_buckets=n)).collect()}
+        assert got == {i: keys[r - 1] for i, r in enumerate(asked) if r and 1 <= r <= len(keys)}
+    assert at_ranks(df.limit(0), "k", wanted, "r", int_range_bucket(df.limit(0), "k")).count() == 0
+
+
+def test_snap_discrete(spark):
+    from tripwire.operators.synth import snap_discrete
+    rows = [(0.2, 0.9, 0.4, 0.6, 1), (0.5, 0.5, 0.1, 0.5, 2), (-3.0, -2.0, -9.0, 7.0, 3), (None, float("nan"), None, None, 4)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, f double, k int")
+    snapped = [tuple(r) for r in snap_discrete(df, ["a", "b", "c"], ["f"]).orderBy("k").collect()]
+    assert snapped == [(0, 1, 0, 1, 1), (1, 0, 0, 0, 2), (0, 1, 0, 1, 3), (1, 0, 0, 0, 4)]
+    # z-scores: the nearest valid row by brute force, and the results are z-scores too
+    rng = random.Random(3)
+    params = {c: (rng.uniform(.1, .9), rng.uniform(.2, 2)) for c in "abcf"}
+    z = lambda c, v: (v - params[c][0]) / params[c][1]
+    rows = [(*(rng.gauss(0, 2) for _ in range(4)), i) for i in range(50)]
+    got = snap_discrete(spark.createDataFrame(rows, df.schema), ["a", "b", "c"], ["f"], params).orderBy("k").collect()
+    for x, g in zip(rows, got):
+        best = min(range(3), key=lambda t: sum((x[i] - z(c, float(i == t))) ** 2 for i, c in enumerate("abc")))
+        flag = min((0.0, 1.0), key=lambda v: abs(x[3] - z("f", v)))
+        assert tuple(g) == pytest.approx((*(z(c, float(i == best)) for i, c in enumerate("abc")), z("f", flag), x[4]))
+
+
+def test_top_up_rechecks_the_cut(spark):
+    """All rows are farther from the real rows than the first draws' percentile."""
+    from tripwire.operators import nearest, synth
+    rng = np.random.default_rng(4)
+    cols = [f"x{j}" for j in range(3)]
+    real = spark.createDataFrame([(i, *map(float, rng.normal(size=3))) for i in range(300)], "tx_id long, " + ", ".join(f"{c} double" for c in cols))
+    kw = {"features": cols, "n_components": 3, "mixture_k": 2, "max_iter": 10}
+    out, plain = (synth.mixture_decoys(real, 200, recheck=r, **kw).toPandas() for r in (True, False))
+    assert len(out) == len(plain) == 200 and out[synth.ID].is_unique
+    anchors = real.toPandas()[cols].to_numpy()
+    dist = lambda d: np.sqrt(((d[cols].to_numpy()[:, None] - anchors[None]) ** 2).sum(-1)).min(1)
+    p = synth.fit_pca(real, cols, 3)
+    mix = synth.fit_mixture(synth.project(real, p), p.k, 2, 42, 10)
+    first = synth.inverse(synth.draw_mixture(spark, mix, 200, "gmm42"), p).toPandas()
+    threshold = np.percentile(dist(first), 10)
+    assert dist(out).min() > threshold and (out[synth.ID] < 200).sum() == (dist(first) > threshold).sum() < 200
+    assert set(plain[synth.ID][plain[synth.ID] < 200]) == set(out[synth.ID][out[synth.ID] < 200])

@@ -159,6 +159,27 @@ def global_rank(df: DataFrame, order_col: Column, tiebreak: Sequence[str],
             .drop(_H, _B, _BEFORE))
 
 
+def at_ranks(df: DataFrame, key: str, wanted: DataFrame, rank_col: str, bucket: Column) -> DataFrame:
+    """``wanted`` with the ``key`` of ``df`` at each of its ranks (1 is the smallest
+    key; keys are unique). Ranks beyond the table, and NULL, are left out.
+
+    The inverse of ``global_rank`` without ranking the table: the counts per
+    ``bucket`` (non-decreasing in ``key``) tell in which bucket a rank lies and at
+    which place, and only the rows of those buckets are shuffled and ordered."""
+    d = df.select(key).withColumn(_B, bucket)
+    counts = _bucket_counts(d, [])
+    starts = counts.select((F.col(_BEFORE) + 1).alias("_at"), F.lit(0).alias("_ask"), F.col(_B), F.col(_BEFORE), F.col(_NB))
+    asks = wanted.select(F.col(rank_col).cast("bigint").alias("_at")).filter("_at >= 1").distinct()
+    asks = asks.select("_at", F.lit(1).alias("_ask"), *[F.lit(None).cast(starts.schema[c].dataType).alias(c) for c in (_B, _BEFORE, _NB)])
+    # one ordered list of bucket starts and wanted ranks: as long as the count table and the ranks
+    so_far = _win([]).orderBy("_at", "_ask").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = starts.unionByName(asks).select("_at", "_ask", *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in (_B, _BEFORE, _NB)]) \
+        .filter((F.col("_ask") == 1) & (F.col("_at") <= F.col(_BEFORE) + F.col(_NB))).select("_at", _B, (F.col("_at") - F.col(_BEFORE)).alias("_nth"))
+    opened = d.join(placed.select(_B).distinct(), _B, "left_semi").withColumn("_nth", F.row_number().over(Window.partitionBy(_B).orderBy(key)).cast("bigint"))
+    found = placed.join(opened, [_B, "_nth"]).select(F.col("_at").alias("_rank_found"), key)
+    return wanted.join(found, F.col(rank_col) == F.col("_rank_found")).drop("_rank_found")
+
+
 def int_range_bucket(df: DataFrame, col: str, n_buckets: int | None = None,
                      rows_per_bucket: int = 1_000_000, max_buckets: int = 1 << 20) -> Column:
     """Equal-width bucket of an integer key over [min, max] (one small aggregate).

@@ -10,6 +10,7 @@ row passes through the driver and every draw is reproducible per id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ from tripwire.functions.draws import standard_normal, uniform01
 from tripwire.operators import nearest, prep
 from tripwire.operators.cumulative import exact_percentile
 from tripwire.operators.ranking import first_n, scalar
-from tripwire.schema import DISCRIMINATOR_PASS, FEATURES
+from tripwire.schema import DISCRIMINATOR_PASS, FEATURES, FLAG_COLUMNS, TYPE_COLUMNS
 from tripwire.session import materialize
 
 ID = "decoy_id"
@@ -114,10 +115,15 @@ def draw_mixture(spark: SparkSession, mix: Mixture, n: int, seed: str, id_offset
 
 def mixture_decoys(real: DataFrame, n: int, features: Sequence[str] = FEATURES, key: str = "tx_id",
                    n_components: int = 10, mixture_k: int = 5, seed: int = 42,
-                   anchors: int = 500, max_iter: int = 100) -> DataFrame:
+                   anchors: int = 500, max_iter: int = 100, recheck: bool = False, max_rounds: int = 20) -> DataFrame:
     """PCA -> mixture -> draw n -> inverse -> drop the 10 % closest to
     <= 500 sampled real rows (strictly above the 10th percentile is kept) ->
-    top up with fresh draws that skip the check -> exactly n rows."""
+    top up with fresh draws -> exactly n rows.
+
+    The fresh draws skip the check, or with ``recheck`` must be farther from the
+    same real rows than the first draws' percentile too: rounds of seeded draws, as
+    many as the share that passed so far calls for, until n rows have passed; an
+    error after ``max_rounds``."""
     spark = real.sparkSession
     p = fit_pca(real, features, n_components)
     mix = fit_mixture(project(real, p), p.k, mixture_k, seed, max_iter)
@@ -127,12 +133,50 @@ def mixture_decoys(real: DataFrame, n: int, features: Sequence[str] = FEATURES,
     thr = exact_percentile(dist, "min_dist", 0.10)
     kept = draws.join(dist.filter(F.col("min_dist") > F.lit(thr)).select(ID), ID)
     n_kept = kept.count()
-    extra = inverse(draw_mixture(spark, mix, n - n_kept, f"gmm{seed}:topup", id_offset=n), p) \
-        if n_kept < n else None
-    out = kept if extra is None else kept.unionByName(extra)
+    out, have, next_id, drawn = kept, n_kept, n, n
+    for turn in range(max_rounds if recheck else 1):
+        if have >= n:
+            break
+        more = n - have if not recheck else math.ceil((n - have) * drawn / max(have, 1)) + 16
+        extra = inverse(draw_mixture(spark, mix, more, f"gmm{seed}:topup{turn if recheck else ''}", id_offset=next_id), p)
+        if recheck:
+            extra = materialize(extra, "topup")
+            far = nearest.min_dist_broadcast(extra, anc, ID, features).filter(F.col("min_dist") > F.lit(thr)).select(ID)
+            extra = materialize(first_n(extra.join(far, ID), ID, f"{seed}:topup{turn}", n - have), "topup-kept")
+            have += extra.count()
+        else:
+            have = n
+        out, next_id, drawn = out.unionByName(extra), next_id + more, drawn + more
+    if have < n:
+        raise RuntimeError(f"{have} of {n} draws passed the uniqueness cut in {max_rounds} rounds")
     return out.withColumn("source", F.lit("mixture"))
 
 
+def snap_discrete(df: DataFrame, types: Sequence[str] = tuple(TYPE_COLUMNS), flags: Sequence[str] = tuple(FLAG_COLUMNS),
+                  params: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """Generated rows with their discrete features moved to the nearest valid
+    value: exactly one of the ``types`` dummies is 1 (at equal distances the first),
+    each of ``flags`` is 0 or 1 (half goes to 0). With ``params`` (feature -> mean,
+    standard deviation) the features are z-scores, and so are the results. NULL or
+    NaN dummies count as 0. One projection of column expressions, no shuffle."""
+    def valid(c: str) -> tuple[float, float]:
+        mean, std = (params or {}).get(c, (0.0, 1.0))
+        return (0.0 - mean) / std, (1.0 - mean) / std
+
+    def value(c: str):
+        return F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.lit(valid(c)[0])).otherwise(F.col(c).cast("double"))
+
+    out = {}
+    if types:
+        # against the row without any type, choosing c changes the squared distance by (x - one)^2 - (x - zero)^2
+        gain = [F.struct(((value(c) - valid(c)[1]) * (value(c) - valid(c)[1]) - (value(c) - valid(c)[0]) * (value(c) - valid(c)[0])).alias("d"), F.lit(i).alias("i"))
+                for i, c in enumerate(types)]
+        best = F.array_min(F.array(*gain))["i"]
+        out |= {c: F.when(best == i, F.lit(valid(c)[1])).otherwise(F.lit(valid(c)[0])) for i, c in enumerate(types)}
+    out |= {c: F.when(F.abs(value(c) - valid(c)[1]) < F.abs(value(c) - valid(c)[0]), F.lit(valid(c)[1])).otherwise(F.lit(valid(c)[0])) for c in flags}
+    return df.withColumns(out)
+
+
 def uniqueness_cut(dist: DataFrame, col: str = "min_dist", q: float = 0.10) -> DataFrame:
     """Keep rows strictly farther than the q-quantile of the distances."""
     thr = exact_percentile(dist, col, q)

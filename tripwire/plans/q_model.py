@@ -7,6 +7,9 @@ Models run with the library's defaults over whole tables.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from tripwire.functions.buckets import sig_round, sig_round_sql as S
@@ -14,8 +17,8 @@ from tripwire.operators import inject, lookup, metrics, models, nearest, prep, s
 from tripwire.operators.ranking import first_n
 from tripwire.plans.q_inject import _w, scaled_inputs, scaled_test
 from tripwire.plans.registry import query
-from tripwire.schema import CONTENT_CENTS, FEATURES
-from tripwire.session import materialize
+from tripwire.schema import CONTENT_CENTS, FEATURES, FLAG_COLUMNS, TYPE_COLUMNS
+from tripwire.session import ensure_checkpoint_dir, materialize
 from tripwire.sources.fixtures import Views, raw_ledger
 
 RF = {"num_trees": 100, "max_depth": 10}
@@ -104,6 +107,40 @@ def q_auc_models(spark, sf):
     return metrics.paired_auc(scores, "score_clean", "score_injected", "isFraud")
 
 
+def _noise(c: str, k: int) -> str:
+    """A feature off its valid values, the same in both engines."""
+    return f"CAST({c} AS DOUBLE) + ((tx_id * {2 * k + 3}) % 17 - 8) / 10.0E0"
+
+
+_SNAP = {c: _noise(c, k) for k, c in enumerate(TYPE_COLUMNS + FLAG_COLUMNS)}
+
+
+@query("snapped_decoys", "WITH x AS (SELECT tx_id, " + ", ".join(f"{e} AS {c}" for c, e in _SNAP.items()) + """ FROM pool_features),
+b AS (SELECT *, list_sort([""" + ", ".join(f"{{'d': 1 - 2 * {c}, 'i': {i}}}" for i, c in enumerate(TYPE_COLUMNS)) + """])[1].i AS best FROM x)
+SELECT tx_id, """ + ", ".join([f"CASE WHEN best = {i} THEN 1.0E0 ELSE 0.0E0 END AS {c}" for i, c in enumerate(TYPE_COLUMNS)]
+                             + [f"CASE WHEN abs({c} - 1) < abs({c}) THEN 1.0E0 ELSE 0.0E0 END AS {c}" for c in FLAG_COLUMNS]) + " FROM b")
+def q_snapped_decoys(spark, sf):
+    """Continuous type dummies and flags of the pool rows moved to the nearest valid values."""
+    v = Views.get(spark, sf)
+    x = prep.feature_frame(v.pool_raw).select("tx_id", *[F.expr(e).alias(c) for c, e in _SNAP.items()])
+    return synth.snap_discrete(x)
+
+
+@query("workflow")
+def q_workflow(spark, sf):
+    """All layers in order with their reports written; returns every report row
+    as (report, row) and the sizes of the injected table and of the lookup."""
+    from tripwire.plans.pipeline import PipelineConfig, run_from_tables
+    out = os.path.join(ensure_checkpoint_dir(spark), "io", f"workflow-{uuid.uuid4().hex[:8]}")
+    made = run_from_tables(spark, sf, out, PipelineConfig(salt=Views.get(spark, sf).salt))
+    sizes = {k: made[k].agg(F.count(F.lit(1)).alias("n")) for k in ("injected", "lookup")}
+    found = None
+    for name, df in ({k: d for k, d in made.items() if k not in sizes} | sizes).items():
+        part = df.select(F.lit(name).alias("report"), F.to_json(F.struct("*")).alias("row"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 @query("quality_summary")
 def q_quality_summary(spark, sf):
     """Q9: discriminator + per-feature summary of the pool decoys, with the pass flag."""

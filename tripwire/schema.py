@@ -28,6 +28,7 @@ KL_EDGES = 50
 # ---------------------------------------------------------------------------
 
 TYPE_COLUMNS = ["type_" + t for t in TYPE_DOMAIN]
+FLAG_COLUMNS = ["orig_zeroed", "is_risky_type"]      # the 0/1 features of DERIVED
 FEATURES = SOURCE_NUMERIC + DERIVED + TYPE_COLUMNS   # 17, canonical order
 AMOUNT = "amount"
 LABEL = "isFraud"
