@@ -135,19 +135,22 @@ def test_snap_discrete(spark):
         assert tuple(g) == pytest.approx((*(z(c, float(i == best)) for i, c in enumerate("abc")), z("f", flag), x[4]))
 
 
-def test_top_up_rechecks_the_cut(spark):
+def test_top_up_rechecks_the_cut(spark, monkeypatch):
     """All rows are farther from the real rows than the first draws' percentile."""
     from tripwire.operators import nearest, synth
     rng = np.random.default_rng(4)
     cols = [f"x{j}" for j in range(3)]
     real = spark.createDataFrame([(i, *map(float, rng.normal(size=3))) for i in range(300)], "tx_id long, " + ", ".join(f"{c} double" for c in cols))
     kw = {"features": cols, "n_components": 3, "mixture_k": 2, "max_iter": 10}
+    # one fit for all: fits of the same rows differ in their last bits from run to run
+    p = synth.fit_pca(real, cols, 3)
+    mix = synth.fit_mixture(synth.project(real, p), p.k, 2, 42, 10)
+    monkeypatch.setattr(synth, "fit_pca", lambda *a, **k: p)
+    monkeypatch.setattr(synth, "fit_mixture", lambda *a, **k: mix)
     out, plain = (synth.mixture_decoys(real, 200, recheck=r, **kw).toPandas() for r in (True, False))
     assert len(out) == len(plain) == 200 and out[synth.ID].is_unique
     anchors = real.toPandas()[cols].to_numpy()
     dist = lambda d: np.sqrt(((d[cols].to_numpy()[:, None] - anchors[None]) ** 2).sum(-1)).min(1)
-    p = synth.fit_pca(real, cols, 3)
-    mix = synth.fit_mixture(synth.project(real, p), p.k, 2, 42, 10)
     first = synth.inverse(synth.draw_mixture(spark, mix, 200, "gmm42"), p).toPandas()
     threshold = np.percentile(dist(first), 10)
     assert dist(out).min() > threshold and (out[synth.ID] < 200).sum() == (dist(first) > threshold).sum() < 200
