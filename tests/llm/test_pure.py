@@ -1,6 +1,7 @@
 """Parts that need no Spark: max-flow, HTML blocks, edit search, chunk joins, fingerprints, tries, automata."""
 import itertools
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -80,6 +81,44 @@ def test_names_that_tell_nothing_keep_the_text(name):
     assert html.main_text(f'<div class="{name}"><p>{ARTICLE}</p></div>') == ARTICLE.strip()
 
 
+@pytest.mark.parametrize("name", ["search-algorithms", "side-effects", "related-work", "legal-framework", "notice-periods", "comments-on-method", "share-prices",
+                                  "tag-systems", "navigation-by-stars", "binary-search"])
+def test_topics_named_like_parts_of_a_page_stay(name):
+    first, last = "The article begins with this sentence, which is long.", "The article ends with this sentence, which is long."
+    for part in (f'<section id="{name}"><h2>A topic</h2><p>{ARTICLE}</p></section>', f'<div class="{name}"><h2>A topic</h2><p>{ARTICLE}</p></div>'):
+        assert html.main_text(f"<article><p>{first}</p>{part}<p>{last}</p></article>") == f"{first}\nA topic\n{ARTICLE.strip()}\n{last}"
+
+
+@pytest.mark.parametrize("name", ["related-posts", "search-box", "side-bar", "share-buttons", "nav-links", "legal-links", "comments-area", "acme-sidebar", "site_footer", "tag-list"])
+def test_parts_of_a_page_inside_an_article_go(name):
+    assert html.main_text(f'<article><p>{ARTICLE}</p><div class="{name}"><p>{REMARK}</p></div></article>') == ARTICLE.strip()
+
+
+def test_linked_title_and_references_piece_by_piece():
+    page = f'<div class="content"><h1><a href="/x">A title that is one link</a></h1><p>{ARTICLE}</p></div>'
+    assert html.main_text(page) == f"A title that is one link\n{ARTICLE.strip()}"
+    assert html.main_text("<article><p>A&<b>amp;</b> and &lt;b&gt; &amp;amp; <![CDATA[&amp; raw]]> here.</p></article>") == "A&amp; and <b> &amp; &amp; raw here."
+
+
+def test_quotes_open_values_only():
+    assert html.main_text(f"<article><p title=it's>{ARTICLE}</p><p class='x>y' title=\"a='b\">{ARTICLE}</p></article>") == "\n".join([ARTICLE.strip()] * 2)
+    assert html.main_text(f"<article><script>var a = \"<b x='\";</script><p class='x'>{ARTICLE}</p></article>") == ARTICLE.strip()
+    assert html.main_text(f'<article><p title="class=ad id=nav">{ARTICLE}</p></article>') == ARTICLE.strip()
+
+
+@pytest.mark.parametrize("page", [
+    lambda n: "<div>x " * n, lambda n: "<a x='" * n, lambda n: "<b>" * n + "</i>" * n, lambda n: "<ul>" + "<h1>" * n + "<li/>" * n, lambda n: "<svg " + "</svg " * n,
+    lambda n: "<p><i>" * n, lambda n: "<a " + "=" * n + '"', lambda n: "<b><div>" + "<i>" * n + "</b>" * n, lambda n: "<div>x " * n + "</div>y " * n, lambda n: "<" * n,
+])
+def test_hostile_markup_takes_linear_time(page):
+    took = []
+    for n in (4000, 32000):
+        start = time.process_time()
+        html.main_text(page(n))
+        took.append(time.process_time() - start)
+    assert took[1] < 24 * took[0] + 0.5  # 8 times the size; with the square it would be 64 times
+
+
 def test_very_long_page():
     assert html.main_text("<article>" + "<p>word after word.</p>" * 20000 + "</article>").count("\n") == 19999
     assert html.main_text("<div>" * 3000 + "<p>A text deep down in the page, and no more.</p>") == "A text deep down in the page, and no more."
