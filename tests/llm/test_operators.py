@@ -155,13 +155,31 @@ def test_thresholds_are_certified_and_useful(spark):
     df = spark.createDataFrame(feats, "doc_id long, lang string, " + ", ".join(
         f"__q_{c} long" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines")) + ", __q_base_failed boolean")
     lab = spark.createDataFrame(labels + labels[:50], "doc_id long, quality int")
-    got = {(r.stratum, r.rule): r for r in quality.thresholds(df, "doc_id", "lang", lab).collect()}
-    best = got["en", "symbols_per_word"]
-    n, a = best.n_good, quality.ALPHA / len(quality.RULES)
-    assert best.cutoff == 0.5 and best.n_caught == best.n_bad == sum(1 - g for _, g in labels[:5900])
+    got = {r.stratum: r for r in quality.thresholds(df, "doc_id", "lang", lab).collect()}
+    best, a = got["en"], quality.ALPHA
+    assert quality.cutoff_at(quality.RULES[0][2], best.setting, quality.N_SETTINGS) == 0.5
+    n = best.n_good
+    assert best.n_caught == best.n_bad == sum(1 - g for _, g in labels[:5900])
     tail = sum(math.comb(n, i) * a**i * (1 - a) ** (n - i) for i in range(best.n_false + 1))
-    assert best.tail == pytest.approx(tail, rel=1e-6) and tail <= quality.DELTA / len(quality.RULES) / 2
-    assert all(r.cutoff is None for (s, rule), r in got.items() if s == "xx" or rule != "symbols_per_word")
+    assert best.tail == pytest.approx(tail, rel=1e-6) and tail <= quality.DELTA / 2
+    assert got["xx"].setting is None
+
+
+@pytest.mark.parametrize("n_good, n_false, certified", [(58, 0, False), (59, 0, True), (92, 1, False), (93, 1, True)])
+def test_settings_need_their_labels(spark, n_good, n_false, certified):
+    """One stratum: the first counts with P(Bin(n, 0.05) <= k) <= 0.05 are 59 for none and 93 for one false rejection."""
+    sym = [500] * n_false + [0] * (n_good - n_false) + [500] * 20  # 20 labelled bad
+    df = spark.createDataFrame([(i, "en", 100, 500, x, 0, 0, 10, 10) for i, x in enumerate(sym)], "doc_id long, lang string, " + ", ".join(
+        f"__q_{c} long" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines")))
+    lab = spark.createDataFrame([(i, int(i < n_good)) for i in range(len(sym))], "doc_id long, quality int")
+    r = quality.thresholds(df, "doc_id", "lang", lab).collect()[0]
+    assert (r.setting, r.n_caught) == ((1, 20) if certified else (None, None))
+
+
+def test_cutoffs_of_settings_only_fall():
+    for _, _, grid in quality.RULES:
+        cut = [quality.cutoff_at(grid, j, quality.N_SETTINGS) for j in range(1, quality.N_SETTINGS + 1)]
+        assert cut[0] == grid[0] and cut[-1] == grid[-1] and sorted(cut, reverse=True) == cut and set(cut) == set(grid)
 
 
 # ---- HTML, URLs -------------------------------------------------------------------

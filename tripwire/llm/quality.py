@@ -1,21 +1,23 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
 Every rule rejects texts whose statistic is over a cutoff. The cutoffs are not
-chosen by hand: for each stratum (language) and rule, the labelled good
-documents are a holdout on which each candidate of a fixed grid, from lenient
-to strict, is tested with the exact binomial tail
-
-    P(Bin(n, a) <= k)  <=  delta / (strata * rules)
-
-(n good documents, k of them rejected), which holds exactly when the
-Clopper-Pearson upper bound of the false rejection rate is at most a. The grid
-is tested in that order and stops at the first failure (fixed-sequence
-testing); strata and rules are corrected by Bonferroni. So, with probability
-1 - delta, every certified cutoff of every stratum rejects at most a share
-a = alpha / rules of its good documents, and the rules together at most alpha.
-Of the certified cutoffs the one that rejects most labelled bad documents, less
-the good ones, is taken, the most lenient in a tie. A stratum without enough
-labels gets no cutoff: nothing is rejected there beyond the base rules.
+chosen by hand: a fixed sequence of joint settings, from lenient to strict,
+names one cutoff for each rule. For each stratum (language), the labelled good
+documents are a holdout on which each setting is tested with the exact binomial
+tail
+
+    P(Bin(n, alpha) <= k)  <=  delta / strata
+
+(n good documents, k of them rejected by any rule of the setting), which holds
+exactly when the Clopper-Pearson upper bound of the false rejection rate is at
+most alpha. The settings are tested in order up to the first failure
+(fixed-sequence testing, so they share one level); strata are corrected by
+Bonferroni. So, with probability 1 - delta, every certified setting of every
+stratum rejects at most a share alpha of its good documents. Of the certified
+settings the one that rejects most labelled bad documents, less the good ones,
+is taken, the most lenient in a tie. A stratum without enough labels (under
+log(delta / strata) / log(1 - alpha) good ones, 86 for four strata) gets no
+setting: nothing is rejected there beyond the base rules.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from tripwire.llm.common import SPACE_RE, write_once
 
 P = "__q_"
 #: Share of a stratum's good documents that all rules together may reject, and
-#: the probability with which any of the bounds may fail.
+#: the probability with which any of the strata's bounds may fail.
 ALPHA, DELTA = 0.05, 0.05
 #: Rules: (name, statistic over the feature columns, cutoffs from lenient to strict).
 RULES: list[tuple[str, str, list[float]]] = [
@@ -38,6 +40,8 @@ RULES: list[tuple[str, str, list[float]]] = [
     ("dup_line_share", "n_dup_lines / n_lines", [0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.45, 0.4, 0.35]),
     ("word_length", "word_chars / n_words", [40.0, 30.0, 25.0, 20.0, 18.0, 16.0, 14.0, 13.0, 12.0]),
 ]
+#: Joint settings, from lenient to strict: each rule walks its cutoffs in even steps over all of them.
+N_SETTINGS = max(len(grid) for _, _, grid in RULES)
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -89,43 +93,49 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
         lambda a: F.exp(a["lt"] + F.log(a["s"]))))
 
 
+def cutoff_at(grid: list[float], setting: int, settings: int) -> float:
+    """A rule's cutoff in a joint setting, 1 the most lenient."""
+    return grid[-(-setting * len(grid) // settings) - 1]
+
+
+def first_setting(rules=None) -> Column:
+    """The most lenient joint setting that rejects the row, one over the number of settings if none does."""
+    rules = rules or RULES
+    m = max(len(grid) for _, _, grid in rules)
+    return F.array_min(F.array(*[sum((F.when(statistic(e) > cutoff_at(grid, j, m), 0).otherwise(1) for j in range(1, m + 1)), F.lit(1))
+                                 for _, e, grid in rules]))
+
+
 def thresholds(feats: DataFrame, id_col: str, stratum_col: str, labels: DataFrame, label_id: str = "doc_id",
                label_col: str = "quality", alpha: float = ALPHA, delta: float = DELTA, rules=None) -> DataFrame:
-    """One row per stratum and rule: (stratum, rule, cutoff or null, n_good,
-    n_false, n_bad, n_caught, tail). A document labelled more than once counts once, as good if
+    """One row per stratum with labels: (stratum, setting or null, n_good, n_bad,
+    n_false, n_caught, tail). A document labelled more than once counts once, as good if
     any label says so; null labels and ids are ignored."""
     rules = rules or RULES
+    m = max(len(grid) for _, _, grid in rules)
     marks = labels.select(F.col(label_id).alias("__id"), F.col(label_col).cast("int").alias("good")) \
         .filter("__id IS NOT NULL AND good IS NOT NULL").groupBy("__id").agg((F.max("good") > 0).alias("good"))
-    # a grid position per row and rule: how many of the cutoffs the statistic is over
-    over = F.array(*[F.struct(F.lit(name).alias("rule"), sum(
-        (F.when(statistic(e) > c, 1).otherwise(0) for c in grid), F.lit(0)).alias("over")) for name, e, grid in rules])
     held = feats.withColumn("__id", F.col(id_col)).join(marks, "__id") \
-        .select(stratum(stratum_col).alias("stratum"), "good", F.explode(over).alias("r")) \
-        .groupBy("stratum", "r.rule", "r.over").agg(F.sum(F.when(F.col("good"), 1).otherwise(0)).alias("g"),
-                                                    F.sum(F.when(F.col("good"), 0).otherwise(1)).alias("b"))
-    # cumulative counts over the grid: a bounded table of strata x rules x cutoffs
-    # the j-th cutoff from the lenient end is exceeded by statistics over ``least`` cutoffs or more
-    grid = feats.sparkSession.createDataFrame([(n, j + 1, len(g) - j, float(c)) for n, _, g in rules for j, c in enumerate(g)],
-                                              "rule string, j int, least int, cutoff double")
-    sums = held.groupBy("stratum", "rule").agg(F.sum("g").alias("n_good"), F.sum("b").alias("n_bad"),
-                                               F.collect_list(F.struct("over", "g", "b")).alias("hist"))
-    beyond = lambda f: F.aggregate(F.col("hist"), F.lit(0).cast("long"),
-                                   lambda a, x: a + F.when(x["over"] >= F.col("least"), x[f]).otherwise(0))
-    n_strata = held.select("stratum").distinct().agg(F.count("*").alias("n_strata"))
-    cand = sums.join(F.broadcast(grid), "rule").withColumn("n_false", beyond("g")).withColumn("n_caught", beyond("b")) \
-        .crossJoin(n_strata)  # one row
-    level = alpha / len(rules)
+        .select(stratum(stratum_col).alias("stratum"), "good", first_setting(rules).alias("first")) \
+        .groupBy("stratum", "first").agg(F.sum(F.when(F.col("good"), 1).otherwise(0)).alias("g"),
+                                         F.sum(F.when(F.col("good"), 0).otherwise(1)).alias("b"))
+    # from here on tables of strata x settings
+    sums = held.groupBy("stratum").agg(F.sum("g").alias("n_good"), F.sum("b").alias("n_bad"),
+                                       F.collect_list(F.struct("first", "g", "b")).alias("hist"))
+    upto = lambda f: F.aggregate(F.col("hist"), F.lit(0).cast("long"),
+                                 lambda a, x: a + F.when(x["first"] <= F.col("j"), x[f]).otherwise(0))
+    cand = sums.crossJoin(sums.agg(F.count("*").alias("n_strata"))) \
+        .withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(m)))).withColumn("n_false", upto("g")).withColumn("n_caught", upto("b"))  # joined with one row
     # over the expected count the tail is no small probability: not summed, not certified
-    cand = cand.withColumn("tail", F.when(F.col("n_false") <= F.col("n_good") * level,
-                                          binomial_tail(F.col("n_good"), F.col("n_false"), level)).otherwise(F.lit(1.0))) \
-        .withColumn("ok", F.col("tail") <= F.lit(delta / len(rules)) / F.col("n_strata"))
-    order = W.partitionBy("stratum", "rule").orderBy("j").rowsBetween(W.unboundedPreceding, 0)
+    cand = cand.withColumn("tail", F.when(F.col("n_false") <= F.col("n_good") * alpha,
+                                          binomial_tail(F.col("n_good"), F.col("n_false"), alpha)).otherwise(F.lit(1.0))) \
+        .withColumn("ok", F.col("tail") <= F.lit(delta) / F.col("n_strata"))
+    order = W.partitionBy("stratum").orderBy("j").rowsBetween(W.unboundedPreceding, 0)
     cand = cand.withColumn("ok", F.min(F.col("ok").cast("int")).over(order) == 1)
     gain = F.col("n_caught") - F.col("n_false")
-    best = F.max_by(F.struct("cutoff", "n_false", "n_caught", "tail"), F.when(F.col("ok") & (gain > 0), F.struct(gain.alias("g"), (-F.col("j")).alias("j"))))
-    return cand.groupBy("stratum", "rule").agg(F.first("n_good").alias("n_good"), F.first("n_bad").alias("n_bad"), best.alias("x")) \
-        .select("stratum", "rule", "x.cutoff", "n_good", "n_bad", "x.n_false", "x.n_caught", "x.tail")
+    best = F.max_by(F.struct("j", "n_false", "n_caught", "tail"), F.when(F.col("ok") & (gain > 0), F.struct(gain.alias("g"), (-F.col("j")).alias("j"))))
+    return cand.groupBy("stratum").agg(F.first("n_good").alias("n_good"), F.first("n_bad").alias("n_bad"), best.alias("x")) \
+        .select("stratum", F.col("x.j").alias("setting"), "n_good", "n_bad", "x.n_false", "x.n_caught", "x.tail")
 
 
 def stratum(col: str) -> Column:
@@ -136,17 +146,18 @@ def judge(feats: DataFrame, labels: DataFrame, id_col: str, stratum_col: str, al
           delta: float = DELTA) -> DataFrame:
     """``feats`` (rows with feature columns) with failed_rules (names) and kept.
 
-    The rows are written once; thresholds come from the labelled ones and are
+    The rows are written once; the settings come from the labelled ones and are
     joined by stratum, a table of one row per stratum."""
     feats, _ = write_once(feats, "quality")
-    cuts = thresholds(feats, id_col, stratum_col, labels, alpha=alpha, delta=delta).filter("cutoff IS NOT NULL") \
-        .groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(P + "cuts"))
-    cuts, _ = write_once(cuts.withColumnRenamed("stratum", P + "stratum"), "quality-cuts")
+    cuts = thresholds(feats, id_col, stratum_col, labels, alpha=alpha, delta=delta).filter("setting IS NOT NULL") \
+        .select(F.col("stratum").alias(P + "stratum"), F.col("setting").alias(P + "setting"))
+    cuts, _ = write_once(cuts, "quality-cuts")
     out = feats.withColumn(P + "stratum", stratum(stratum_col)).join(cuts, P + "stratum", "left")
-    fails = [F.when(statistic(e) > F.col(P + "cuts")[name], F.lit(name)) for name, e, _ in RULES]
+    cutoff = lambda grid: F.get(F.array(*[F.lit(cutoff_at(grid, j, N_SETTINGS)) for j in range(1, N_SETTINGS + 1)]), F.col(P + "setting") - 1)
+    fails = [F.when(statistic(e) > cutoff(grid), F.lit(name)) for name, e, grid in RULES]
     return out.withColumn(P + "failed_rules", F.array_compact(F.array(*fails))) \
         .withColumn(P + "kept", ~F.col(P + "base_failed") & (F.size(P + "failed_rules") == 0)) \
-        .drop(P + "cuts", P + "stratum")
+        .drop(P + "setting", P + "stratum")
 
 
 def quality_rules(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -150,12 +151,11 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed,
 FROM d LEFT JOIN k USING (doc_id)
 """
 
-#: The rules of op2 again as SQL: cutoffs, statistic.
+#: The joint settings of op2 again as SQL: the cutoff of every rule in every setting, and its statistic.
 _Q_RULES = " UNION ALL ".join(
-    f"SELECT '{name}' AS rule, {j + 1} AS j, CAST({c} AS DOUBLE) AS cutoff" for name, _, grid in quality.RULES for j, c in enumerate(grid))
+    f"SELECT '{name}' AS rule, {j} AS j, CAST({grid[math.ceil(j * len(grid) / 11) - 1]} AS DOUBLE) AS cutoff" for name, _, grid in quality.RULES for j in range(1, 12))
 _Q_STATS = " UNION ALL ".join(
     f"SELECT doc_id, stratum, '{name}' AS rule, CASE WHEN {e.split('/')[1]} > 0 THEN {e} ELSE 0.0 END AS stat FROM f" for name, e, _ in quality.RULES)
-_Q_LEVEL, _Q_DELTA = quality.ALPHA / len(quality.RULES), quality.DELTA / len(quality.RULES)
 ORACLES["op2_quality_rules"] = rf"""
 WITH w AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
     list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
@@ -170,14 +170,15 @@ b AS (SELECT doc_id, stratum, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(ar
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b),
 s AS ({_Q_STATS}), g AS ({_Q_RULES}),
 l AS (SELECT doc_id, max(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-k AS (SELECT stratum, rule, j, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND stat > cutoff) AS k, count(*) FILTER (NOT good AND stat > cutoff) AS hit
-  FROM s JOIN l USING (doc_id) JOIN g USING (rule) GROUP BY ALL),
-p AS (SELECT *, CASE WHEN k > n * {_Q_LEVEL} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
-    lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_Q_LEVEL}) + (n - i) * ln(1 - {_Q_LEVEL})))) END AS tail FROM k),
-o AS (SELECT *, min(CASE WHEN tail <= {_Q_DELTA} / (SELECT count(DISTINCT stratum) FROM k) THEN 1 ELSE 0 END)
-    OVER (PARTITION BY stratum, rule ORDER BY j ROWS UNBOUNDED PRECEDING) AS ok FROM p),
-z AS (SELECT stratum, rule, arg_max(cutoff, (hit - k) * 1000 - j) AS cutoff FROM o WHERE ok = 1 AND hit > k GROUP BY stratum, rule),
-bad AS (SELECT DISTINCT doc_id FROM s JOIN z USING (stratum, rule) WHERE stat > cutoff)
+h AS (SELECT doc_id, stratum, j, bool_or(stat > cutoff) AS hit FROM s JOIN g USING (rule) GROUP BY ALL),
+k AS (SELECT stratum, j, count(*) FILTER (good) AS n, count(*) FILTER (good AND hit) AS k, count(*) FILTER (NOT good AND hit) AS hit
+  FROM h JOIN l USING (doc_id) GROUP BY ALL),
+p AS (SELECT *, CASE WHEN k > n * 0.05 THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
+    lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.05) + (n - i) * ln(0.95)))) END AS tail FROM k),
+o AS (SELECT *, min(CASE WHEN tail <= 0.05 / (SELECT count(DISTINCT stratum) FROM k) THEN 1 ELSE 0 END)
+    OVER (PARTITION BY stratum ORDER BY j ROWS UNBOUNDED PRECEDING) AS ok FROM p),
+z AS (SELECT stratum, arg_max(j, (hit - k) * 1000 - j) AS j FROM o WHERE ok = 1 AND hit > k GROUP BY stratum),
+bad AS (SELECT doc_id FROM h JOIN z USING (stratum, j) WHERE hit)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM f
 """
