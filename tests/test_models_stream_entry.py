@@ -64,6 +64,45 @@ def test_stream_first_alarm_equals_batch(spark):
     assert s == b
 
 
+def test_late_accesses_are_counted_and_a_replay_counts_once(spark, tmp_path):
+    import datetime as dt
+    import os
+    import shutil
+    from tripwire.streaming import detect_stream as ds
+    base, src = ds.stream_dir(spark, "late"), str(tmp_path / "src")
+    at = lambda day, hour=12: dt.datetime(2024, 1, day, hour)
+    schema = "actor long, ts timestamp, hit_zone string"
+    first = [(1, at(1), None), (1, at(1), "z"), (1, at(5), None)]
+    # closed, closed, open (its end is 5 January midnight, the mark 5 January 11:00: closed too), same day, no time
+    second = [(1, at(1), "z"), (2, at(2), None), (1, at(4, 23), None), (1, at(5, 1), "z"), (3, None, None)]
+    for rows in (first, second):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        out = ds.run_windows_with_late(spark.readStream.schema(schema).parquet(src), base)
+    want = {(1, 1): (2, 1, 1, 1), (1, 5): (2, 1, 0, 0), (2, 2): (0, 0, 1, 0), (1, 4): (0, 0, 1, 0), (3, None): (0, 0, 1, 0)}
+
+    def got():
+        return {(r.actor, r.window_start and r.window_start.day): (r.n_rows, r.n_decoys, r.n_late, r.n_late_decoys)
+                for r in ds.windows_and_late(spark, out).collect()}
+    assert got() == want
+    for name in ("commits/1", "commits/.1.crc"):  # as if the driver was lost before batch 1 was committed
+        if os.path.exists(f"{base}/checkpoint/{name}"):
+            shutil.move(f"{base}/checkpoint/{name}", str(tmp_path / name.replace("/", "-")))
+    ds.run_windows_with_late(spark.readStream.schema(schema).parquet(src), base)
+    assert got() == want
+
+
+def test_expired_and_live_actors_make_up_the_batch_totals(spark, tmp_path):
+    import datetime as dt
+    from tripwire.streaming import detect_stream as ds
+    at = lambda day: dt.datetime(2024, 1, day)
+    schema = "actor long, ts timestamp, batch int, hit_zone string"
+    rows = [(1, at(1), 1, None), (1, at(2), 2, "z"), (1, at(9), 9, "z"), (2, at(8), 8, None), (2, at(10), 10, None), (3, at(3), 3, None), (None, at(1), 1, "z")]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "src"))
+    out = ds.run_to_files(ds.expiring_first_alarm(spark.readStream.schema(schema).parquet(str(tmp_path / "src"))), "expiring")
+    got = {(r.actor, r.expired_at.day): (r.n_rows, r.n_decoys, r.first_alarm_batch) for r in ds.read_output(spark, out, ds.PARTS).collect()}
+    assert got == {(1, 4): (2, 1, 2), (3, 5): (1, 0, None), (None, 3): (1, 1, 1)}
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as E
     df = E.entry(spark)

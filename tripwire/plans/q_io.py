@@ -84,6 +84,51 @@ def q_stream_first_alarm(spark, sf):
     return ds.latest_per_key(df, "actor").select("actor", "n_rows", "n_decoys", "first_alarm_batch")
 
 
+@query("stream_late_rows", """
+WITH t AS (SELECT *, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, hour(ts) % 2 = 0 AS second FROM hits),
+m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM t WHERE NOT second),
+l AS (SELECT t.*, second AND coalesce(window_end <= mark, false) AS late FROM t, m)
+SELECT actor, window_end - INTERVAL 1 DAY AS window_start, CAST(count(*) FILTER (NOT late) AS BIGINT) AS n_rows,
+ CAST(count(hit_zone) FILTER (NOT late) AS BIGINT) AS n_decoys, CAST(count(*) FILTER (late) AS BIGINT) AS n_late,
+ CAST(count(hit_zone) FILTER (late) AS BIGINT) AS n_late_decoys FROM l GROUP BY actor, window_end""")
+def q_stream_late_rows(spark, sf):
+    """T2 side output: accesses of even hours arrive after all of odd hours, in a
+    second run from the same checkpoint; what is behind the watermark by then is
+    counted as late, so n_rows + n_late are all accesses."""
+    v = Views.get(spark, sf)
+    base = ds.stream_dir(spark, "stream_late_rows")
+    src = os.path.join(base, "src")
+    events = spark.read.parquet(os.path.join(sf, "events.parquet"))
+    second = F.hour(F.col("ts").cast("timestamp")) % 2 == 0
+    n = v.injected.count()
+    probed = None
+    for arriving in (events.filter(~second), events.filter(second)):
+        arriving.write.mode("append").parquet(src)
+        acc = ds.access_stream(spark, src, n, file_glob="*.parquet")
+        probed = probed if probed is not None else ds.probed_rows(v.injected, v.lookup(), v.salt)
+        out = ds.run_windows_with_late(ds.join_probed(acc, probed), base)
+    return ds.windows_and_late(spark, out).select(
+        "actor", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n_rows", "n_decoys", "n_late", "n_late_decoys")
+
+
+@query("stream_expired_actors", """
+WITH s AS (SELECT actor, ts, batch, hit_zone,
+  CASE WHEN ts - lag(ts) OVER (PARTITION BY actor ORDER BY ts) < INTERVAL 2 DAY THEN 0 ELSE 1 END AS new_s FROM hits),
+g AS (SELECT *, sum(new_s) OVER (PARTITION BY actor ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM s)
+SELECT actor, min(ts) AS first_ts, max(ts) + INTERVAL 2 DAY AS expired_at,
+ CAST(count(*) AS BIGINT) AS n_rows, CAST(count(hit_zone) AS BIGINT) AS n_decoys,
+ min(CASE WHEN hit_zone IS NOT NULL THEN batch END) AS first_alarm_batch
+FROM g GROUP BY actor, sid HAVING max(ts) + INTERVAL 2 DAY <= (SELECT max(ts) FROM hits) - INTERVAL 1 HOUR""")
+def q_stream_expired_actors(spark, sf):
+    """T3 with expiry: totals of actors silent for two days, emitted once as they leave the state."""
+    v = Views.get(spark, sf)
+    out = ds.run_to_files(ds.expiring_first_alarm(_hits_stream(v)), "stream_expired_actors", "append")
+    schema = "actor bigint, first_ts timestamp, expired_at timestamp, n_rows bigint, n_decoys bigint, first_alarm_batch int"
+    df = ds.read_output(spark, out, schema)
+    return df.select("actor", F.col("first_ts").cast("timestamp_ntz").alias("first_ts"),
+                     F.col("expired_at").cast("timestamp_ntz").alias("expired_at"), "n_rows", "n_decoys", "first_alarm_batch")
+
+
 @query("stream_session_hits", """
 WITH s AS (SELECT actor, ts, hit_zone,
   CASE WHEN lag(ts) OVER (PARTITION BY actor ORDER BY ts) IS NULL

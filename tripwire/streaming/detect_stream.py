@@ -9,6 +9,10 @@ static injected table and lookup (stream-static joins), then:
 * T3 ``running_first_alarm``  – per-actor running totals and first alarming
                                  batch as a stateful streaming aggregation in
                                  update mode (state is three numbers per actor)
+* T2 ``run_windows_with_late`` – the same windows with a side output: accesses
+                                 behind the watermark are counted, not dropped
+* T3 ``expiring_first_alarm`` – running totals whose state leaves the store once
+                                 the actor has been silent for a given time
 * T4 ``session_hits``         – session windows of accesses per actor
 
 Sinks write each micro-batch to ``<out>/mb=<id>`` with overwrite, so a
@@ -50,10 +54,17 @@ def access_stream(spark: SparkSession, src_dir: str, n_rows: int, file_glob: str
 
 
 def stream_hits(access: DataFrame, rows: DataFrame, lookup: DataFrame, salt: str) -> DataFrame:
-    """Stream-static join to the probed positions, which are written once
-    and not planned anew in every micro-batch."""
-    return join_hits(access, materialize(probe(rows, lookup, salt), "probed")).select(
-        "event_id", "actor", "ts", "batch", "pos", "is_decoy", "hit_zone")
+    """Stream-static join to the probed positions."""
+    return join_probed(access, probed_rows(rows, lookup, salt))
+
+
+def probed_rows(rows: DataFrame, lookup: DataFrame, salt: str) -> DataFrame:
+    """The positions an alarm can come from, written once and not planned anew in every micro-batch."""
+    return materialize(probe(rows, lookup, salt), "probed")
+
+
+def join_probed(access: DataFrame, probed: DataFrame) -> DataFrame:
+    return join_hits(access, probed).select("event_id", "actor", "ts", "batch", "pos", "is_decoy", "hit_zone")
 
 
 def windowed_alarms(hits: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
@@ -109,19 +120,84 @@ def running_first_alarm(hits: DataFrame) -> DataFrame:
         F.min(F.when(hit, F.col("batch"))).cast("int").alias("first_alarm_batch"))
 
 
+def expiring_first_alarm(hits: DataFrame, silence: str = "2 days", delay: str = "1 hour") -> DataFrame:
+    """T3 with event-time timers: running totals and first alarming batch per
+    actor, emitted once when the watermark passes the actor's last access plus
+    ``silence``; the state is removed then, so the store holds live actors only.
+    An actor that comes back starts anew. An actor's stay is a session window of
+    that gap, merged before the shuffle."""
+    hits.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    hit = F.col("hit_zone").isNotNull()
+    return (hits.withWatermark("ts", delay)
+            .groupBy(F.session_window("ts", silence).alias("s"), F.col("actor").cast("bigint").alias("actor"))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+                 F.sum(F.when(hit, 1).otherwise(0)).cast("bigint").alias("n_decoys"),
+                 F.min(F.when(hit, F.col("batch"))).cast("int").alias("first_alarm_batch"))
+            .select("actor", F.col("s.start").alias("first_ts"), F.col("s.end").alias("expired_at"),
+                    "n_rows", "n_decoys", "first_alarm_batch"))
+
+
+def run_windows_with_late(hits: DataFrame, base: str, window: str = "1 day", delay: str = "1 hour") -> str:
+    """T2 with a side output: run all available input and return the folder of
+    partial counts (actor, window_start, window_end, late, n_rows, n_decoys, max_ts).
+
+    An access is late when its window had closed before its micro-batch: the
+    window's end is not after the greatest event time of all earlier batches
+    less ``delay``, the watermark of ``windowed_alarms``, which drops such rows
+    uncounted. Null event times have no window and are late. Each batch is one
+    aggregation with map-side partial sums that overwrites its own folder, so a
+    replay replaces it; ``base`` also holds the checkpoint, and a later call
+    with the same folder goes on where this one ended."""
+    out = os.path.join(base, "out")
+    hit = F.col("hit_zone").isNotNull()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mark = None
+        if batch_id:
+            # one row: the greatest event time before this batch, never from its own earlier attempt
+            mark = read_output(spark, out, PARTS).filter(F.col("mb") < batch_id).agg(F.max("max_ts")).first()[0]
+        limit = F.lit(mark).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        timed = batch.filter("ts IS NOT NULL").withColumn("w", F.window("ts", window))
+        untimed = batch.filter("ts IS NULL").withColumn("w", F.lit(None).cast(timed.schema["w"].dataType))
+        (timed.unionByName(untimed)
+         .groupBy("actor", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
+         .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+              F.sum(F.when(hit, 1).otherwise(0)).cast("bigint").alias("n_decoys"), F.max("ts").alias("max_ts"))
+         .withColumn("late", F.coalesce(F.col("window_end") <= limit, F.col("window_end").isNull()))
+         .write.mode("overwrite").parquet(os.path.join(out, f"mb={batch_id}")))
+
+    _run(hits, write, os.path.join(base, "checkpoint"), "append")
+    return out
+
+
+def windows_and_late(spark: SparkSession, out: str) -> DataFrame:
+    """Per actor and window: rows and hits in time, and those that came late."""
+    d = read_output(spark, out, PARTS)
+    part = lambda c, late: F.sum(F.when(F.col("late") == late, F.col(c)).otherwise(0)).cast("bigint")
+    return d.groupBy("actor", "window_start", "window_end").agg(
+        part("n_rows", False).alias("n_rows"), part("n_decoys", False).alias("n_decoys"),
+        part("n_rows", True).alias("n_late"), part("n_decoys", True).alias("n_late_decoys"))
+
+
+PARTS = "actor bigint, window_start timestamp, window_end timestamp, n_rows bigint, n_decoys bigint, max_ts timestamp, late boolean"
+
+
+def _run(df: DataFrame, write, checkpoint: str, mode: str) -> None:
+    (df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
 def run_to_files(df: DataFrame, name: str, mode: str = "append") -> str:
     """Run a streaming DataFrame over all available input (``availableNow``)
     and return the folder with its output (one ``mb=<id>`` sub-folder per micro-batch)."""
-    spark = df.sparkSession
-    base = stream_dir(spark, name)
-    out, ckpt = os.path.join(base, "out"), os.path.join(base, "checkpoint")
+    base = stream_dir(df.sparkSession, name)
+    out = os.path.join(base, "out")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(os.path.join(out, f"mb={batch_id}"))
 
-    q = (df.writeStream.outputMode(mode).foreachBatch(write)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    _run(df, write, os.path.join(base, "checkpoint"), mode)
     return out
 
 
