@@ -39,6 +39,8 @@ MIN_REVISIT = 1000
 BLOCK_LINES, KEPT_BLOCKS = 2000, 8
 #: Compressed bytes after which a task starts another archive file.
 MAX_FILE = 1 << 30
+#: Archive bytes that a reading task takes at most, and least where there are idle cores, on average.
+READ_BYTES, LEAST_READ = 64 << 20, 1 << 20
 #: The table has no capture time; records carry this one.
 DATE = "2024-01-01T00:00:00Z"
 #: Below every id: sorts captures without an id first.
@@ -117,10 +119,12 @@ def _captures(df: DataFrame, id_col: str, url_col: str, payload_col: str) -> Dat
 
 @dataclass
 class Archive:
-    """Where an archive lies: the folder, and the shard table (file, directory,
-    first and last entry of each index shard; one row per index file)."""
+    """Where an archive lies: the folder, the shard table (file, directory,
+    first and last entry of each index shard; one row per index file), and the
+    bytes of its records."""
     path: str
     shards: list[tuple]
+    size: int = 0
 
 
 def write_archive(df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
@@ -189,8 +193,9 @@ def write_archive(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
                                      .mapInArrow(index, "name string, first_key string, first_id long, last_key string, last_id long"), "warc-shards")
     # one row per index file, so at most as many as there are shuffle partitions
     found = sorted((r.first_key, r.first_id, r.last_key, r.last_id, r.name) for r in shards.collect())
+    size = lines.agg(F.sum("length")).first()[0] or 0
     drop_path(spark, lines_path, shards_path)
-    return Archive(path, found)
+    return Archive(path, found, size)
 
 
 LINE = pa.schema([("key", pa.string()), ("id", pa.int64()), ("type", pa.string()), ("digest", pa.string()),
@@ -267,8 +272,16 @@ def _lines(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(LINE)], schema=LINE)
 
 
-def read_records(lines: DataFrame) -> DataFrame:
-    """The records of index lines, by range reads in file order: (id, type, size, digest, refers_to, payload)."""
+def read_records(lines: DataFrame, archive_bytes: int | None = None) -> DataFrame:
+    """The records of index lines, by range reads in file order: (id, type, size, digest, refers_to, payload).
+
+    An index line is tiny beside its record, so tasks are not dealt by the bytes of
+    the lines where ``archive_bytes``, about the length of the records, is known."""
+    parts = []
+    if archive_bytes is not None:
+        idle = min(lines.sparkSession.sparkContext.defaultParallelism, -(-archive_bytes // LEAST_READ))
+        parts = [max(-(-archive_bytes // READ_BYTES), idle, 1)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, f = None, None
         for b in batches:
@@ -289,7 +302,7 @@ def read_records(lines: DataFrame) -> DataFrame:
         if f is not None:
             f.close()
 
-    return lines.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset") \
+    return lines.select("file", "offset", "length").repartitionByRange(*parts, "file", "offset").sortWithinPartitions("file", "offset") \
         .mapInArrow(run, "id long, type string, size long, digest string, refers_to long, payload binary")
 
 
@@ -302,6 +315,6 @@ def warc_round_trip(df: DataFrame, id_col: str = "page_id", url_col: str = "url"
     back: (id, payload_bytes, payload_digest, record_type, refers_to)."""
     archive = write_archive(df, id_col, url_col, payload_col)
     wanted = df.select(url_key(url_col).alias("key"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id")).distinct()
-    return read_records(lookup(archive, wanted)).select(
+    return read_records(lookup(archive, wanted), archive.size).select(
         F.col("id").alias(id_col), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
         F.col("type").alias("record_type"), "refers_to")
