@@ -64,6 +64,29 @@ def _pts(spark, n, seed, off=0.0):
     return spark.createDataFrame(pd.DataFrame({"k": np.arange(n), "a": x[:, 0], "b": x[:, 1], "c": x[:, 2]})), x
 
 
+def test_nearest_asks_few_leaves_and_skips_null_rows(spark, monkeypatch):
+    """A point goes to its own leaf and to the few whose box is nearer, however many
+    there are; an anchor or a point with a NULL feature has no distance."""
+    rng = np.random.default_rng(5)
+    feats = ["a", "b", "c", "d", "e"]
+    an, q = (rng.normal(size=(n, 5)) * [3, 2, 1, 0.01, 0] for n in (8000, 400))
+    q[:40] = an[:40]
+    rows = [(i, *map(float, x)) for i, x in enumerate(q)] + [(400, None, 0.0, 0.0, 0.0, 0.0)]
+    schema = ", ".join(f"{f} double" for f in feats)
+    anchors = spark.createDataFrame([tuple(map(float, x)) for x in an] + [(None, 0.0, 0.0, 0.0, 0.0)] * 30, schema)
+    written, write = [], nearest.materialize
+    def record(df, *name):
+        out = write(df, *name)
+        if "k" in out.columns:
+            written.append(out.count())
+        return out
+    monkeypatch.setattr(nearest, "materialize", record)
+    got = {r.k: r.min_dist for r in nearest.min_dist_cells(spark.createDataFrame(rows, "k long, " + schema), anchors, "k", feats, n_cells=200).collect()}
+    want = np.sqrt(((q[:, None, :] - an[None, :, :]) ** 2).sum(-1)).min(1)
+    assert sorted(got) == list(range(400)) and max(abs(got[i] - want[i]) for i in got) < 1e-12
+    assert max(written) <= 12 * 400      # old cells: every point went to a third of the 200
+
+
 def test_nearest_paths_agree_with_brute_force(spark):
     q, xq = _pts(spark, 300, 1)
     a, xa = _pts(spark, 2000, 2, 0.5)
