@@ -51,6 +51,17 @@ def test_mixture_draw_moments(spark):
     assert np.array_equal(z.sort_values("decoy_id").z0.to_numpy(), z2.sort_values("decoy_id").z0.to_numpy())
 
 
+def test_forest_is_the_same_with_kept_node_ids(spark, monkeypatch):
+    df = spark.range(600).select(*[F.randn(j).alias(c) for j, c in enumerate("abcd")]).withColumn("y", (F.col("a") * F.col("b") > F.col("c")).cast("int"))
+    vec = models.fit_input(df.withColumn("y", F.col("y").cast("double")), list("abcd"), ["y"])
+    monkeypatch.setattr(models, "fit_input", lambda *a, **k: vec)
+    kept = models.fit_random_forest(df, list("abcd"), "y", 5, 6)
+    monkeypatch.setattr(models, "NODE_IDS", 600 * 5 - 1)
+    walked = models.fit_random_forest(df, list("abcd"), "y", 5, 6)
+    assert kept.getCacheNodeIds() and not walked.getCacheNodeIds()
+    assert [t.toDebugString.split("\n", 1)[1] for t in kept.trees] == [t.toDebugString.split("\n", 1)[1] for t in walked.trees]
+
+
 def test_mixture_decoys_exact_count(spark):
     df = _blob(spark, 1500, 3).withColumnRenamed("k", "tx_id")
     out = synth.mixture_decoys(df, 300, features=list("abcd"), n_components=3, mixture_k=2, max_iter=10)
