@@ -84,7 +84,7 @@ def test_nearest_asks_few_leaves_and_skips_null_rows(spark, monkeypatch):
     got = {r.k: r.min_dist for r in nearest.min_dist_cells(spark.createDataFrame(rows, "k long, " + schema), anchors, "k", feats, n_cells=200).collect()}
     want = np.sqrt(((q[:, None, :] - an[None, :, :]) ** 2).sum(-1)).min(1)
     assert sorted(got) == list(range(400)) and max(abs(got[i] - want[i]) for i in got) < 1e-12
-    assert max(written) <= 12 * 400      # old cells: every point went to a third of the 200
+    assert max(written) <= 12 * 400      # the cells before sent them to 22,714
 
 
 def test_nearest_paths_agree_with_brute_force(spark):
