@@ -1,7 +1,7 @@
 """Decoy synthesis: PCA + Gaussian mixture and a latent-Gaussian generator.
 
-Model fits are Spark ML (PCA, GaussianMixture) over the real rows; their
-parameters are bounded (d x k, k x k per component) and become literals.
+Model fits are Spark ML over the real rows (PCA, the start of the mixture) and EM
+steps over blocks of rows; their parameters are bounded (d x k, k x k per component) and become literals.
 Drawing n decoys is ``spark.range(n)`` plus column arithmetic: a component
 from the cumulative weights, standard normals by Box-Muller from seeded md5
 uniforms of (id, seed, slot), then mu + L·eps and the inverse projection. No
@@ -11,10 +11,11 @@ row passes through the driver and every draw is reproducible per id.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,17 +79,85 @@ class Mixture:
     chol: np.ndarray            # c x k x k (lower Cholesky of each covariance)
 
 
-def fit_mixture(latent: DataFrame, k: int, n_components: int = 5, seed: int = 42, max_iter: int = 100) -> Mixture:
-    """Gaussian mixture with full covariances on the latent rows."""
+#: Bytes of latent rows in a part of the EM's input, and rows that a task takes at a time.
+EM_PART, EM_ROWS = 1 << 26, 2048
+EPS = float(np.finfo(float).eps)
+
+
+def em_blocks(latent: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The rows as binary blocks (n x d doubles, an Arrow batch each), dealt evenly and
+    written once: a step costs the same for every task and converts no row."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
+            parts = [np.ascontiguousarray(x[i:i + EM_ROWS]).tobytes() for i in range(0, len(x), EM_ROWS)]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["x"])
+
+    blocks = materialize(latent.select(*cols).mapInArrow(pack, "x binary"), "em_blocks")
+    size = blocks.agg(F.coalesce(F.sum(F.octet_length("x")), F.lit(0))).first()[0]
+    return blocks.repartition(max(latent.sparkSession.sparkContext.defaultParallelism, -(-size // EM_PART)))
+
+
+def _gaussian(cov: np.ndarray) -> tuple[np.ndarray, float]:
+    """A with |A (x - mean)|^2 the squared Mahalanobis distance, and the log of the density at the
+    mean; directions without variance are left out (pseudo-inverse, as Spark ML)."""
+    d, u = np.linalg.eigh(cov)
+    some = d > EPS * d.max() * len(d)
+    if not some.any():
+        raise ValueError("a component's covariance is zero")
+    root = np.where(some, 1 / np.sqrt(np.where(some, d, 1.0)), 0.0)[:, None] * u.T
+    return root, -0.5 * (len(d) * math.log(2 * math.pi) + float(np.log(d[some]).sum()))
+
+
+def _em_sums(x: np.ndarray, weights: np.ndarray, roots: np.ndarray, shift: np.ndarray, const: np.ndarray) -> np.ndarray:
+    """The sums of an EM step over rows, flat: log-likelihood, then over components r, r x and r x x^T."""
+    n, d = x.shape
+    c = len(weights)
+    y = x @ roots - shift
+    p = EPS + weights * np.exp(const - 0.5 * np.square(y, out=y).reshape(n, c, d).sum(2))
+    total = p.sum(1)
+    r = p / total[:, None]
+    rx = (r[:, :, None] * x[:, None, :]).reshape(n, c * d)
+    return np.concatenate([[np.log(total).sum()], r.sum(0), rx.sum(0), (rx.T @ x).ravel()])
+
+
+def fit_mixture(latent: DataFrame, k: int, n_components: int = 5, seed: int = 42, max_iter: int = 100, tol: float = 0.01) -> Mixture:
+    """Gaussian mixture with full covariances on the latent rows.
+
+    Start, steps and stop are those of Spark ML's GaussianMixture (the log-likelihood
+    changes by at most ``tol``, or ``max_iter`` steps). Spark ML draws the start; a step
+    is one pass over blocks of rows, each task returning its sums (5 x 111 numbers with
+    the defaults)."""
+    from pyspark import StorageLevel
     from pyspark.ml.clustering import GaussianMixture
     from tripwire.operators.models import fit_input
-    vec = fit_input(latent, [f"z{j}" for j in range(k)])
-    model = GaussianMixture(k=n_components, seed=seed, featuresCol="_features", maxIter=max_iter).fit(vec)
+    cols = [f"z{j}" for j in range(k)]
+    model = GaussianMixture(k=n_components, seed=seed, featuresCol="_features", maxIter=0).fit(fit_input(latent, cols))
     g = model.gaussiansDF.collect()         # n_components rows (bounded)
+    weights = np.asarray(model.weights, dtype=float)
     means = np.array([np.asarray(r["mean"], dtype=float) for r in g])
-    covs = [np.asarray(r["cov"].toArray(), dtype=float) for r in g]
-    chol = np.array([np.linalg.cholesky(c + 1e-9 * np.eye(len(c))) for c in covs])
-    return Mixture(np.asarray(model.weights, dtype=float), means, chol)
+    covs = np.array([np.asarray(r["cov"].toArray(), dtype=float) for r in g])
+    c = n_components
+    blocks = em_blocks(latent, cols).rdd.map(lambda row: bytes(row.x)).persist(StorageLevel.MEMORY_AND_DISK)
+    last, now, steps = 0.0, -math.inf, 0
+    while steps < max_iter and abs(now - last) > tol:
+        made = [_gaussian(cov) for cov in covs]
+        roots = np.concatenate([a.T for a, _ in made], axis=1)
+        shift = np.concatenate([a @ m for (a, _), m in zip(made, means)])
+        const = np.array([v for _, v in made])
+
+        def step(raws: Iterator[bytes], weights=weights, roots=roots, shift=shift, const=const):
+            sums = [_em_sums(np.frombuffer(raw).reshape(-1, k), weights, roots, shift, const) for raw in raws]
+            return [np.sum(sums, axis=0)] if sums else []
+
+        sums = np.sum(blocks.mapPartitions(step).collect(), axis=0)     # a row of sums per task
+        n, first, second = sums[1:1 + c], sums[1 + c:1 + c + c * k].reshape(c, k), sums[1 + c + c * k:].reshape(c, k, k)
+        weights, means = n / n.sum(), first / n[:, None]
+        covs = second / n[:, None, None] - means[:, :, None] * means[:, None, :]
+        last, now, steps = now, sums[0], steps + 1
+    blocks.unpersist()
+    chol = np.array([np.linalg.cholesky(cov + 1e-9 * np.eye(k)) for cov in covs])
+    return Mixture(weights, means, chol)
 
 
 def draw_mixture(spark: SparkSession, mix: Mixture, n: int, seed: str, id_offset: int = 0) -> DataFrame:
