@@ -5,6 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tripwire.operators import models, synth
+from tripwire.session import materialize
 
 from .conftest import SF001
 
@@ -172,3 +173,30 @@ def test_stream_state_across_micro_batches(spark, tmp_path):
     batch = detect.first_alarm(detect.access_hits(v.access, v.injected, v.lookup(), v.salt))
     want = {r.actor: (r.n_rows, r.n_decoys, r.first_alarm_batch) for r in batch.collect()}
     assert got == want
+
+
+def test_mixture_steps_are_those_of_spark_ml(spark):
+    from pyspark.ml.clustering import GaussianMixture
+    from tripwire.operators.models import fit_input
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(0, 1, (3000, 3)), rng.normal(4, [0.5, 1, 2], (2000, 3)), rng.normal([-6, 3, 0], 0.3, (500, 3))])
+    latent = spark.createDataFrame(pd.DataFrame(x, columns=["z0", "z1", "z2"])).coalesce(1)
+    latent = materialize(latent)    # one file: Spark ML's start depends on the order of the parts
+    for steps in (1, 12):
+        want = GaussianMixture(k=3, seed=5, featuresCol="_features", maxIter=steps).fit(fit_input(latent, latent.columns))
+        got = synth.fit_mixture(latent, 3, 3, 5, steps)
+        np.testing.assert_allclose(got.weights, want.weights, rtol=1e-9)
+        for m, chol, g in zip(got.means, got.chol, want.gaussiansDF.collect()):
+            np.testing.assert_allclose(m, g["mean"].toArray(), rtol=1e-8, atol=1e-9)
+            np.testing.assert_allclose(chol @ chol.T, g["cov"].toArray(), rtol=1e-7, atol=1e-8)
+
+
+def test_fits_read_parts_of_one_size(spark, monkeypatch):
+    """Before, a fit took the parts of its source's files, where one may hold nearly all rows."""
+    rows = materialize(spark.range(40000).select(F.col("id").cast("double").alias("z0"), F.lit(1.0).alias("z1")).repartition(8, F.col("z0") > 100))
+    parts = [sum(len(r.x) for r in p) for p in synth.em_blocks(rows, ["z0", "z1"]).rdd.glom().collect()]
+    assert sum(parts) == 40000 * 16 and max(parts) <= 3 * sum(parts) / len(parts)
+    monkeypatch.setattr(models, "EVEN_ROWS", 1000)
+    even = models.even_rows(rows)
+    parts = [len(p) for p in even.rdd.glom().collect()]
+    assert sum(parts) == 40000 and max(parts) <= 3 * sum(parts) / len(parts) and even.distinct().count() == 40000

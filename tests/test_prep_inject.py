@@ -124,3 +124,19 @@ def test_unscaled_train_keeps_train_rows_unscaled(spark):
     got = prep.unscaled_train(feats.join(split, "tx_id"))
     assert got.columns == feats.columns
     assert sorted((r.tx_id, r.amount) for r in got.collect()) == [(i, float(i) * 10) for i in range(6)]
+
+
+def test_injection_reads_its_inputs_once(spark):
+    """Before, every zone and count computed the real rows and the pool anew."""
+    rng = np.random.default_rng(11)
+    seen = {n: spark.sparkContext.accumulator(0) for n in ("real", "pool")}
+    frames = {}
+    for name, n in (("real", 400), ("pool", 60)):
+        x = rng.normal(size=(n, 2))
+        df = spark.createDataFrame(pd.DataFrame({"tx_id": np.arange(n) + (0 if name == "real" else 1000), "a": x[:, 0], "b": x[:, 1], "amount": np.abs(x[:, 0]),
+                                                 "isFraud": (x[:, 1] > 0.5).astype(int), "row_hash": [f"{name}{i}" for i in range(n)]}))
+        frames[name] = df.filter(F.udf(lambda k, at=seen[name]: at.add(1) or True, "boolean")("tx_id"))
+    ctx = inject.InjectContext(features=["a", "b"], rf_trees=2, rf_depth=2)
+    rows, _, quotas = inject.inject_decoys(frames["real"], frames["pool"], ctx, ratio=0.1)
+    assert rows.count() == 400 + sum(quotas.values())
+    assert {n: a.value for n, a in seen.items()} == {"real": 400, "pool": 60}
