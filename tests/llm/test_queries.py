@@ -16,7 +16,7 @@ SF001, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "conversations"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     return c
 
