@@ -293,6 +293,30 @@ def test_near_duplicates(spark, edge_docs):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_makes_no_rows_of_pairs(spark, monkeypatch):
+    """Many sets a little under the limit: no table that is written grows with their pairs."""
+    from tripwire.llm import minhash
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    docs = [(i, " ".join(edited(rng, base, 2))) for i in range(220)]
+    wrote, drop = [], minhash.drop_path
+    monkeypatch.setattr(minhash, "drop_path", lambda spark, *paths: (wrote.extend(spark.read.parquet(p).count() for p in paths), drop(spark, *paths)))
+    got = rows(minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")), *NEAR)
+    assert got == brute_near(docs)
+    assert wrote and max(wrote) <= 10 * len(docs)
+
+
+def test_shared_counts(monkeypatch):
+    from tripwire.llm import minhash
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(minhash, "SLAB", 7)
+    sets = [np.unique(rng.integers(0, 60, k)) for k in (0, 1, 5, 30, 30, 60, 200, 0)]
+    got = minhash.shared_counts(np.concatenate(sets), np.array([len(x) for x in sets]))
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        assert got[i, j] == got[j, i] == len(np.intersect1d(sets[i], sets[j]))
+    assert not minhash.shared_counts(np.empty(0, np.int64), np.zeros(2, np.int64)).any()
+
+
 def test_near_duplicate_query(spark):
     from tripwire.llm.queries import QUERIES
     docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]

@@ -6,18 +6,19 @@ the second is applied to the scattered set shifted by k (mod 2^32), and coordina
 k is the least value. Coordinates are banded; sets that share a band are candidates,
 and a candidate pair is a link only if the full sets say so.
 
-Work is on different sets: copies are one node before the search. A bucket never
-gives all its pairs: its members are held against one hub, over rounds with other
-hubs, and members that links have joined need no comparison any more. What is left
-(open pairs, of members that are not known to be joined) is compared directly; a
-bucket with many of them hands its members to bands twice as long, for which the
-same two permutations give as many coordinates as it takes.
+Work is on different sets: copies are one node before the search. Nodes that chains
+of shared buckets join are a group, so linked sets are in one group. A group's sets
+are dealt to parts, and each two parts meet in a block that counts the shared shingles
+of all its pairs at once; only links leave it, no pair is ever a row. A set is sent
+once to each part of its group, not once to each candidate. Groups with too many pairs
+go to bands twice as long, which join fewer of the sets that are not similar; the same
+two permutations give as many coordinates as it takes.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,19 +26,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwire.llm.common import components, drop_path, slim_rows, write_once
+from tripwire.llm.common import Sides, components, drop_path, group_of, slim_rows, write_once, write_sides
 
 #: Chance that a pair at the limit shares no band.
 MISS = 1e-7
-#: Coordinates to a band, at first and for buckets with too many pairs.
+#: Coordinates to a band, at first and for groups with too many pairs.
 BAND_ROWS = (5, 10, 20)
-#: Open pairs that a bucket may have, of bands of each length but the last; the members of
-#: buckets with more go to the next length.
-BUCKET_PAIRS = (1 << 6, 1 << 16)
-#: Rounds of hubs at most for bands of each length, before what is left is compared directly.
-HUBS = (1, 0, 4)
-#: Pairs that share one copy of a hub's set.
-SALT = 512
+#: Pairs that a group may have, of bands of each length but the last; the nodes of groups with more go to the next length.
+GROUP_PAIRS = (1 << 28, 1 << 34)
+#: Sets that a part of a group is made for, in up to PARTS parts; sets and shingles that a part may have on average.
+PART_SETS, PARTS, MOST_SETS, MOST_SHINGLES = 64, 32, 1024, 1 << 21
+#: Shingles whose sets are counted at a time.
+SLAB = 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -123,114 +123,91 @@ def _signed(rows: DataFrame, size: int, limit: float) -> DataFrame:
     return rows.mapInArrow(run, f"row long, id {kind}, n long, key binary, bands array<long>")
 
 
-def _sets(rows: DataFrame, size: int) -> DataFrame:
-    """(node, set) of rows."""
+def _chosen(texts: DataFrame, side: str, size: int, more: list[str], out: Callable, schema: str) -> DataFrame:
+    """``out(rows, sets, {name: values})`` for the rows in the side files with their columns ``more``; texts are not shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
+        memo, sides = WordHashes(), Sides(side)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("row"), _lists([shingle_set(r.as_py(), size, memo).view(np.int64) for r in batch.column("raw")])], ["node", "set"])
-
-    return rows.select("row", "raw").mapInArrow(run, "node long, set array<long>")
-
-
-def _longer(sets: DataFrame, rows: int, bands: int) -> DataFrame:
-    """(node, n, b): the keys of longer bands."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, x in zip(batch.column("node").to_pylist(), batch.column("set")):
-                h = x.values.to_numpy().view(np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array([node] * bands), pa.array([len(h)] * bands), pa.array(band_keys(h, rows, bands))], ["node", "n", "b"])
-
-    return sets.mapInArrow(run, "node long, n long, b long")
-
-
-class Links:
-    """The links found so far, the pairs compared, and labels of nodes: equal ones are in one component."""
-
-    def __init__(self, sets: DataFrame, percent: int):
-        self.sets, self.percent, self.old = sets, percent, []
-        self.links: DataFrame | None = None
-        self.tested: DataFrame | None = None
-        self.labels: DataFrame | None = None
-
-    def written(self, df: DataFrame, name: str) -> DataFrame:
-        df, path = write_once(df, name)
-        self.old.append(path)
-        return df
-
-    def fits(self, x: str, y: str):
-        """Whether sets of these sizes can be similar enough."""
-        return 100 * F.least(x, y) >= self.percent * F.greatest(x, y)
-
-    def compare(self, pairs: DataFrame) -> None:
-        """Hold pairs (hub, node) against the full sets; new links change the labels."""
-        pairs = pairs.select(F.col("hub"), F.col("node")).distinct()
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["hub", "node"], "left_anti")
-        pairs = self.written(pairs, "pairs")
-        # a hub's set is there once for SALT pairs
-        parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / SALT).cast("int").alias("parts"))
-        hubs = parts.join(self.sets.select(F.col("node").alias("hub"), F.col("set").alias("hub_set")), "hub") \
-            .select("hub", "parts", "hub_set", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        dealt = pairs.join(parts, "hub").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).drop("parts")
-        both = F.size(F.array_intersect("set", "hub_set")).cast("long")
-        linked = dealt.join(self.sets, "node").join(hubs, ["hub", "part"]).withColumn("both", both) \
-            .filter(100 * F.col("both") >= self.percent * (F.size("set") + F.size("hub_set") - F.col("both"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        linked = self.written(linked, "links")
-        swapped = pairs.union(pairs.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
-        self.tested = swapped if self.tested is None else self.tested.union(swapped)
-        self.links = linked if self.links is None else self.links.union(linked)
-        # each node's least neighbour and that one's least neighbour: equal labels are
-        # linked, and one pass over the links is enough to close stars
-        both = self.links.union(self.links.select("b", "a"))
-        least = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("root"))
-        far = least.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        self.labels = self.written(least.join(far, "root", "left").select("node", F.coalesce("far", "root").alias("root")), "labels")
-
-    def members(self, buckets: DataFrame) -> DataFrame:
-        """Members (b, node, n, root) of the buckets that hold two labels or more."""
-        if self.labels is None:
-            m = buckets.withColumn("root", F.col("node"))
-        else:
-            m = buckets.join(self.labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = m.groupBy("b").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("b")
-        return self.written(m.join(several, "b", "left_semi"), "members")
-
-
-def _open_pairs(m: DataFrame) -> DataFrame:
-    """(b, main, open): per bucket its most frequent label and about how many pairs have different ones."""
-    sizes = m.groupBy("b", "root").agg(F.count("*").alias("c"))
-    return sizes.groupBy("b").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("m"), F.max("c").alias("most")) \
-        .select("b", "main", ((F.col("m") - F.col("most")) * F.col("m")).alias("open"))
-
-
-def _search(links: Links, buckets: DataFrame, bucket_pairs: int, hubs: int) -> DataFrame | None:
-    """Compare the members of buckets until no pair of different labels is left,
-    but for buckets with more than ``bucket_pairs`` of them (all, if 0): returns their nodes."""
-    m, turn = links.members(buckets), 0
-    while True:
-        state = _open_pairs(m)
-        open_pairs, count = state.agg(F.sum("open"), F.count("*")).first()
-        if not count:
-            return None
-        if turn >= hubs or (turn and open_pairs <= 16 * count):
-            break
-        hub = m.groupBy("b").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "root")).alias("h"))
-        links.compare(m.join(hub.select("b", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.root").alias("hub_root")), "b")
-                      .filter((F.col("root") != F.col("hub_root")) & links.fits("n", "hub_n")))
-        m, turn = links.members(m.drop("root")), turn + 1
-    direct = state.filter(F.col("open") <= bucket_pairs) if bucket_pairs else state
-    a = m.join(direct, "b").filter("root <> main").select("b", "main", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"))
-    links.compare(a.join(m, (a["b"] == m["b"]) & (F.col("root") != F.col("hub_root")) & ((F.col("root") == F.col("main")) | (F.col("hub") < F.col("node")))
-                         & links.fits("n", "hub_n")))
-    if not bucket_pairs:
-        return None
-    rest = links.written(m.join(state.filter(F.col("open") > bucket_pairs), "b", "left_semi").select("node").distinct(), "crowded")
-    return rest if rest.limit(1).count() else None
+            rows = batch.column("row").to_numpy()
+            for g in np.unique(rows >> 33):
+                held = sides.load(int(g), ["row", *more])
+                mine = np.nonzero((rows >> 33 == g) & np.isin(rows, held["row"]))[0]
+                if len(mine):
+                    at = np.searchsorted(held["row"], rows[mine])
+                    sets = [shingle_set(batch.column("raw")[int(i)].as_py(), size, memo) for i in mine]
+                    yield from out(rows[mine], sets, {c: held[c][at] for c in more})
+
+    return texts.select("row", "raw").mapInArrow(run, schema)
+
+
+def _sets(texts: DataFrame, side: str, size: int) -> DataFrame:
+    """(root, parts, node, set) of the rows in the side files."""
+    def out(rows: np.ndarray, sets: list, more: dict) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(more["root"]), pa.array(more["parts"]), pa.array(rows), _lists([h.view(np.int64) for h in sets])],
+                                         ["root", "parts", "node", "set"])
+
+    return _chosen(texts, side, size, ["root", "parts"], out, "root long, parts long, node long, set array<long>")
+
+
+def _longer(texts: DataFrame, side: str, size: int, width: int, bands: int) -> DataFrame:
+    """(node, b): the keys of longer bands of the rows in the side files."""
+    def out(rows: np.ndarray, sets: list, _) -> Iterator[pa.RecordBatch]:
+        for node, h in zip(rows.tolist(), sets):
+            yield pa.RecordBatch.from_arrays([pa.array([node] * bands, pa.int64()), pa.array(band_keys(h, width, bands))], ["node", "b"])
+
+    return _chosen(texts, side, size, [], out, "node long, b long")
+
+
+def shared_counts(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many values each two of the sets share (the sets one after another in ``values``)."""
+    both = np.zeros((len(sizes), len(sizes)), np.float32)
+    if not len(values):
+        return both
+    order = np.argsort(values, kind="stable")
+    v, row = values[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+    same = v[1:] == v[:-1]
+    several = np.r_[False, same] | np.r_[same, False]  # values of one set alone are shared by none
+    v, row = v[several], row[several]
+    col = np.cumsum(np.r_[False, v[1:] != v[:-1]]) if len(v) else row
+    for c in range(0, int(col[-1]) + 1 if len(col) else 0, SLAB):
+        lo, hi = np.searchsorted(col, [c, c + SLAB])
+        m = np.zeros((len(sizes), int(col[hi - 1]) + 1 - c), np.float32)
+        m[row[lo:hi], col[lo:hi] - c] = 1
+        both += m @ m.T
+    return both
+
+
+def _linked(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links (a, b) that join what is similar in a block of sets: each node and the least one that a chain in the block reaches."""
+    def run(block: pa.Table) -> pa.Table:
+        block = block.select(["node", "set"]).sort_by("node")
+        node, sets = block["node"].to_numpy(), pa.concat_arrays(block["set"].chunks)
+        sizes = np.diff(sets.offsets.to_numpy())
+        both = shared_counts(sets.flatten().to_numpy(), sizes).astype(np.int64)
+        near = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+        np.fill_diagonal(near, True)
+        label, before = np.arange(len(node)), None
+        while before is None or (label != before).any():
+            before = label
+            label = np.where(near, label[None, :], len(node)).min(axis=1)
+            label = label[label]
+        far = label != np.arange(len(node))
+        return pa.table({"a": pa.array(node[far]), "b": pa.array(node[label[far]])})
+
+    return run
+
+
+def _blocks(sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of sets in the same group; each two parts of a group are one block."""
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    met = sets.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))) \
+        .filter("other <> part or parts = 1")
+    return met.select("root", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "set") \
+        .groupBy("root", "i", "j").applyInArrow(_linked(percent), "a long, b long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 85,
-                    bucket_pairs: tuple[int, ...] = BUCKET_PAIRS, hubs: tuple[int, ...] = HUBS) -> DataFrame:
+                    bucket_pairs: tuple[int, ...] = GROUP_PAIRS, hubs: tuple[int, ...] = ()) -> DataFrame:
     """(id, n_shingles, component_id, kept) for each input row.
 
     A text's set: its distinct ``shingle``-word shingles, A-Z lower-cased, words
@@ -242,36 +219,49 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     component's, so repeated rows of one id are all kept. Other columns are not
     read. An empty table gives an empty result.
 
-    A pair at the limit is no candidate with chance MISS; of the pairs in a bucket
-    none is left out (see the module). Links are decided on 64-bit hashes of
-    shingles.
+    A pair at the limit is no candidate with chance MISS; of the pairs in a group
+    of buckets none is left out (see the module). ``bucket_pairs``: pairs that a group
+    may have before it goes to longer bands. ``hubs`` (rounds of hubs) is taken for
+    older callers and has no effect: all pairs of a group are counted. Links are
+    decided on 64-bit hashes of shingles.
     """
     if not 1 <= percent <= 100:
         raise ValueError("percent must be 1 to 100")
-    limit = percent / 100
+    limit, old, links = percent / 100, [], None
+
+    def written(table: DataFrame, name: str) -> DataFrame:
+        table, path = write_once(table, f"minhash-{name}")
+        old.append(path)
+        return table
+
     texts, texts_path = slim_rows(df, id_col, text_col, "minhash-texts")
+    old.append(texts_path)
     signed, _ = write_once(_signed(texts, shingle, limit), "minhash")
-    spark = signed.sparkSession
-    nodes, nodes_path = write_once(signed.filter("n > 0").groupBy("key").agg(
-        F.min("row").alias("node"), F.min("id").alias("least_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "minhash-nodes")
-    keys = nodes.select("node", "n", F.explode("bands").alias("b"))
-    shared = keys.groupBy("b").agg(F.count("*").alias("c")).filter("c > 1").select("b")
-    buckets, buckets_path = write_once(keys.join(shared, "b", "left_semi"), "minhash-buckets")
-    need = buckets.select(F.col("node").alias("row")).distinct()
-    sets, sets_path = write_once(_sets(texts.join(need, "row", "left_semi"), shingle), "minhash-sets")
-    links = Links(sets, percent)
-    for wider, most, turns in zip((*BAND_ROWS[1:], None), (*bucket_pairs, 0), hubs):
-        rest = _search(links, buckets, most, turns)
-        if rest is None:
+    nodes = written(signed.filter("n > 0").groupBy("key").agg(
+        F.min("row").alias("node"), F.min("id").alias("least_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
+    keys = nodes.select("node", F.explode("bands").alias("b"))
+    for wider, most in zip((*BAND_ROWS[1:], None), (*bucket_pairs, None)):
+        least = keys.groupBy("b").agg(F.min("node").alias("least"), F.max("node").alias("last")).filter("least <> last").select("b", "least")
+        group, paths = components(keys.join(least, "b").filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")))
+        old += paths
+        m, n = F.count("*"), F.sum("n")
+        parts = F.greatest(F.ceil(n / MOST_SHINGLES), F.ceil(m / MOST_SETS), F.least(F.lit(PARTS), F.ceil(m / PART_SETS)))
+        crowded = m * (m - 1) / 2 > most if most else F.lit(False)
+        size = written(group.join(nodes.select("node", "n"), "node").groupBy("root").agg(parts.cast("long").alias("parts"), crowded.alias("crowded")), "groups")
+        dealt = group.join(size, "root").select(F.col("node").alias("row"), "root", "parts", "crowded").withColumn("g", group_of())
+        old.append(side := write_sides(dealt.filter("not crowded").drop("crowded"), "minhash-dealt", "row"))
+        found = written(_blocks(_sets(texts, side, shingle), percent), "links")
+        links = found if links is None else links.union(found)
+        if not wider or not size.filter("crowded").limit(1).count():
             break
-        buckets = links.written(_longer(sets.join(rest, "node", "left_semi"), wider, bands_for(wider, limit)), "minhash-buckets")
-    member = nodes.select("key", "node", "least_id").withColumn("root", F.col("node"))
-    if links.links is not None:
-        roots, paths = components(links.links)
-        links.old += paths
-        member = member.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    comp, _ = write_once(member.join(member.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select("key", "component_id"), "minhash-comp")
-    drop_path(spark, texts_path, nodes_path, buckets_path, sets_path, *links.old)
+        old.append(side := write_sides(dealt.filter("crowded").select("row", "g"), "minhash-crowded", "row"))
+        keys = written(_longer(texts, side, shingle, wider, bands_for(wider, limit)), "buckets")
+    roots, paths = components(links)
+    old += paths
+    least = written(roots.join(nodes.select("node", "least_id"), "node").groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
+    comp, _ = write_once(nodes.select("key", "node", "least_id").join(roots.join(least, "root").select("node", "component_id"), "node", "left")
+                         .select("key", F.coalesce("component_id", "least_id").alias("component_id")), "minhash-comp")
+    drop_path(signed.sparkSession, *old)
     out = signed.select("id", "n", "key").join(comp, "key", "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
