@@ -87,6 +87,32 @@ def test_nearest_asks_few_leaves_and_skips_null_rows(spark, monkeypatch):
     assert max(written) <= 12 * 400      # the cells before sent them to 22,714
 
 
+def test_high_value_placement_asks_only_leaves_within_the_kth_distance(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    an, q = rng.normal(size=(6000, 4)), rng.normal(size=(900, 4)) * 1.5
+    q[:40] = an[-40:]                       # forty ties at distance 0
+    feats = ["a", "b", "c", "d"]
+    schema = "tx_id long, isFraud int, " + ", ".join(f"{f} double" for f in feats) + ", amount double"
+    real = spark.createDataFrame([(i, 0, *map(float, x), 10.0 if i >= 4000 else 1.0) for i, x in enumerate(an)], schema)
+    pool = spark.createDataFrame([(i, 0, *map(float, x), 1.0) for i, x in enumerate(q)], schema)
+    asked, write = [], nearest.materialize
+
+    def record(df, name):
+        out = write(df, name)
+        if name == "others":
+            asked.append(out.count())
+        return out
+    monkeypatch.setattr(nearest, "materialize", record)
+    ctx = inject.InjectContext(features=feats, high_value_pct=100 / 3)
+    dist = np.sqrt(((q[:, None, :] - an[None, 4000:, :]) ** 2).sum(-1)).min(1)
+    for k in (90, 25, 900):                 # 25: inside the ties, which the key breaks
+        got = inject.strategy_high_value(real, pool, k, ctx, n_cells=100)
+        assert sorted(r.tx_id for r in got.collect()) == sorted(sorted(range(900), key=lambda i: (dist[i], i))[:k])
+    assert asked[0] < asked[2] / 4 and asked[1] <= asked[0]     # before, every point asked whatever k was
+    kept = {r.tx_id: r.min_dist for r in nearest.min_dist_cells(pool, real.filter("tx_id >= 4000"), "tx_id", feats, k=90).collect()}
+    assert 90 <= len(kept) < 200 and max(abs(kept[i] - dist[i]) for i in kept) < 1e-12
+
+
 def test_nearest_paths_agree_with_brute_force(spark):
     q, xq = _pts(spark, 300, 1)
     a, xa = _pts(spark, 2000, 2, 0.5)

@@ -96,7 +96,7 @@ def boundary_rows(scored: DataFrame, score: str, key: str, frac: float = 0.15) -
 
 
 def _nearest_first(decoys: DataFrame, anchors: DataFrame, k: int, ctx: InjectContext, **kw) -> DataFrame:
-    d = nearest.min_dist_cells(decoys, anchors, ctx.key, ctx.features, **kw)
+    d = nearest.min_dist_cells(decoys, anchors, ctx.key, ctx.features, k=int(k), **kw)
     top = smallest_k(d, F.col("min_dist"), ctx.key, int(k))
     return decoys.join(top, ctx.key)
 

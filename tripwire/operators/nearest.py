@@ -10,6 +10,8 @@
   leaves whose box is nearer than u can hold something nearer, and the point is sent
   to those alone. Boxes are tested from the root down, so a point meets the boxes
   near it and not all of them, and a leaf's size does not grow with the anchors.
+  Where only the ``k`` nearest points are wanted, the k-th least u bounds them all,
+  so no point asks for a leaf beyond that either.
   Each (leaf, anchor chunk, point chunk) group is reduced with numpy inside
   ``cogroup.applyInPandas`` (pairs are never materialised as rows), and hot leaves
   are split into chunks so that no group exceeds about ``max_group`` anchors or
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripwire.functions.buckets import log_bucket
 from tripwire.session import materialize
 
 BROADCAST_MAX_ROWS = 20_000
@@ -150,9 +153,9 @@ class _Boxes:
             at[rows] = np.where(x[rows, self.feature[n]] < self.cut[n], self.left[n], self.right[n])
         return self.leaf[at]
 
-    def nearer(self, x: np.ndarray, u: np.ndarray, home: np.ndarray):
-        """Batches of (rows, leaves): leaves other than the home whose box is nearer than u."""
-        limit = u * u * (1 + 1e-9)
+    def nearer(self, x: np.ndarray, u: np.ndarray, home: np.ndarray, most: float = np.inf):
+        """Batches of (rows, leaves): leaves other than the home whose box is nearer than u, and not beyond ``most``."""
+        limit = np.minimum(u, most) ** 2 * (1 + 1e-9)
         every = np.nonzero(u > 0)[0]
         todo = [(every[i:i + PAIRS], np.zeros(len(every[i:i + PAIRS]), dtype=np.int64)) for i in range(0, len(every), PAIRS)]
         while todo:
@@ -171,7 +174,9 @@ class _Boxes:
 
 def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Sequence[str],
                    out: str = "min_dist", n_cells: int | None = None, max_group: int = 20_000,
-                   seed: int = 42) -> DataFrame:
+                   seed: int = 42, k: int | None = None) -> DataFrame:
+    """(key, out) of every point; with ``k``, of the k nearest points and of those that are
+    no farther than a bound a little above the k-th distance, each with its exact distance."""
     feats = list(features)
     spark = points.sparkSession
     whole = ~F.greatest(*[F.col(f).isNull() | F.isnan(f) for f in feats], F.lit(False))
@@ -228,18 +233,33 @@ def min_dist_cells(points: DataFrame, anchors: DataFrame, key: str, features: Se
         schema = T.StructType([*point, T.StructField("_a", T.IntegerType()), T.StructField(out, T.DoubleType())])
         return q_grp.groupBy("_leaf", "_a", "_q").cogroup(a_grp.groupBy("_leaf", "_a", "_q")).applyInPandas(reduce_group, schema)
 
+    q_cells = points.select(key, *doubles).filter(whole)
+    if not stats:
+        return q_cells.limit(0).select(key, F.lit(0.0).alias(out))
+    at_home = materialize(reduced(materialize(q_cells.mapInPandas(assign, T.StructType(point)), "point_leaves")), "home")
+    most = np.inf if k is None else _kth_bound(at_home.groupBy(key).agg(F.min(out).alias(out)), out, k)
+
     def others(it):
         t = b_b.value
         for pdf in it:
             x = pdf[feats].to_numpy(dtype=float)
-            for q, to in t.nearer(x, pdf[out].to_numpy(dtype=float), pdf["_leaf"].to_numpy()):
+            for q, to in t.nearer(x, pdf[out].to_numpy(dtype=float), pdf["_leaf"].to_numpy(), most):
                 yield pdf.iloc[q][[key, *feats]].assign(_leaf=to.astype("int32"))
 
-    q_cells = points.select(key, *doubles).filter(whole)
-    if not stats:
-        return q_cells.limit(0).select(key, F.lit(0.0).alias(out))
-    at_home = materialize(reduced(materialize(q_cells.mapInPandas(assign, T.StructType(point)), "point_leaves")), "home")
     # any chunk of the home leaf bounds the answer; leaves that hold something nearer are asked next
     elsewhere = materialize(at_home.filter(F.col("_a") == 0).mapInPandas(others, T.StructType(point)), "others")
     found = at_home.select(key, out).unionByName(reduced(elsewhere).select(key, out))
-    return found.groupBy(key).agg(F.min(out).alias(out))
+    least = found.groupBy(key).agg(F.min(out).alias(out))
+    return least if most == np.inf else least.filter(F.col(out) <= most)
+
+
+def _kth_bound(df: DataFrame, col: str, k: int) -> float:
+    """A value that at least k rows do not pass: the greatest of the ``log_bucket`` that holds
+    the k-th least value (infinite if there are fewer); a row per bucket is collected."""
+    buckets = df.groupBy(log_bucket(F.col(col)).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.max(col).alias("hi")).collect()
+    seen = 0
+    for r in sorted(buckets, key=lambda r: r["b"]):
+        seen += r["n"]
+        if seen >= k:
+            return r["hi"]
+    return np.inf

@@ -162,7 +162,7 @@ def q_zone_high_value(spark, sf):
     train, pool, _ = scaled_inputs(Views.get(spark, sf))
     k = _quotas(train, pool)["high_value"]
     anchors = inject.high_value_anchors(train, "amount_raw")
-    d = nearest.min_dist_cells(pool, anchors, "tx_id", FEATURES)
+    d = nearest.min_dist_cells(pool, anchors, "tx_id", FEATURES, k=k)
     top = inject.smallest_k(d, F.col("min_dist"), "tx_id", k)
     return top.withColumn("min_dist", sig_round(F.col("min_dist")))
 
@@ -173,7 +173,7 @@ def _two_zone_union(v: Views):
     ctx = _ctx()
     zr = inject.strategy_random(train, pool, q["random"], ctx).withColumn("zone", F.lit("random"))
     anchors = inject.high_value_anchors(train, "amount_raw")
-    d = nearest.min_dist_cells(pool, anchors, "tx_id", FEATURES)
+    d = nearest.min_dist_cells(pool, anchors, "tx_id", FEATURES, k=q["high_value"])
     zh = pool.join(inject.smallest_k(d, F.col("min_dist"), "tx_id", q["high_value"]).select("tx_id"), "tx_id") \
         .withColumn("zone", F.lit("high_value"))
     return inject.assemble(train, zr.unionByName(zh), ctx, ["tx_id"])
