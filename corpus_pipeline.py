@@ -14,12 +14,16 @@ from tripwire.llm.queries import BPE_JSON
 
 Stage = Callable[..., DataFrame]
 _scratch: list[str] = []
+#: Rows of an Arrow batch between Spark and Python. Documents have kilobytes each: Spark's
+#: 10,000 rows are tens of MB, held several times over by each task and its Python worker.
+BATCH_ROWS, BATCH_CONF = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def stage(fn: Stage) -> Stage:
     """A stage begins when its predecessor's result is written, so it first drops
     the scratch tables of the stages before it (but what ``docs`` itself reads):
-    those in ``scratch``, the list of its run, or else of the stages called alone."""
+    those in ``scratch``, the list of its run, or else of the stages called alone.
+    Arrow batches of the session hold at most BATCH_ROWS rows from then on."""
     @wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: list[str] | None = None) -> DataFrame:
         paths = _scratch if scratch is None else scratch
@@ -27,6 +31,8 @@ def stage(fn: Stage) -> Stage:
         done = [p for p in paths if not any(p.rsplit("/", 1)[1] in f for f in read)]
         drop_path(spark, *done)
         paths[:] = [p for p in paths if p not in done]
+        if not 0 < int(spark.conf.get(BATCH_CONF)) <= BATCH_ROWS:
+            spark.conf.set(BATCH_CONF, BATCH_ROWS)
         with recording(paths):
             return fn(spark, docs, sf_dir)
 

@@ -195,6 +195,23 @@ def test_matcher_recall_for_every_item():
     assert len(planted) == 1280 and planted <= {x[:2] for x in decontam.Matcher(items).find(texts)}
 
 
+def test_matcher_bounds_its_arrays(monkeypatch):
+    items, word, rng = _items(20, 3)
+    texts = [" ".join([word(), items[rng.randrange(20)][1], word()]) for _ in range(300)] + ["", None]
+    m = decontam.Matcher(items)
+    want = m.find(texts)
+    assert len({d for d, *_ in want}) == 300
+    work, sizes, joined = 200_000, [], []
+    walk, sample, windows = decontam.Matcher._walk, decontam.Matcher._sample, decontam.Matcher.windows
+    monkeypatch.setattr(decontam, "WORK", work, raising=False)
+    monkeypatch.setattr(decontam, "JOINED", 5000, raising=False)
+    monkeypatch.setattr(decontam.Matcher, "_walk", lambda *a: sizes.append((out := walk(*a)).nbytes) or out)
+    monkeypatch.setattr(decontam.Matcher, "_sample", staticmethod(lambda e, w, c: sizes.append(8 * c[w].size) or sample(e, w, c)))
+    monkeypatch.setattr(decontam.Matcher, "windows", lambda self, buf: joined.append(len(buf)) or windows(self, buf))
+    assert m.find(texts) == want
+    assert max(sizes) <= work and max(joined) < 6000 and len(joined) > 10
+
+
 def test_matcher_small_cases():
     assert decontam.Matcher([]).find(["abc", None, ""]) == []
     m = decontam.Matcher([(1, "xyz"), (2, ""), (3, "xyz"), (4, "a longer item of several words, all of them here")])

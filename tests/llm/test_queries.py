@@ -3,6 +3,7 @@ import hashlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -103,3 +104,19 @@ def test_pipeline(spark, con):
 def test_rows_of_a_run_outlive_the_next_run(spark):
     first, second = (corpus_pipeline.run(spark, SF001) for _ in range(2))
     assert multi(first, "doc_id") == multi(second, "doc_id")
+
+
+def test_stages_hand_python_small_batches(spark):
+    @corpus_pipeline.stage
+    def probe(spark, docs, sf_dir):
+        return docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    try:
+        for own, most in (("10000", 1000), ("0", 1000), ("300", 300)):  # 0: no bound; a smaller one of the session's own stays
+            spark.conf.set(conf, own)
+            got = [r.n for r in probe(spark, spark.range(0, 2500, 1, 1), SF001).collect()]
+            assert sum(got) == 2500 and max(got) == most
+    finally:
+        spark.conf.set(conf, before)

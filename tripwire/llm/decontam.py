@@ -38,6 +38,8 @@ RATE, RECALL = 0.08, 0.999
 SAMPLED, WALKS, CALIBRATION_RUNS, QUANTILE = 4, 6, 16, 0.01
 #: Bytes of items broadcast at once (larger sets go in several passes), and of text searched at once.
 MAX_BROADCAST, SLICE = 32 << 20, 1 << 20
+#: Characters of texts joined for one search, and bytes of walks or sampled coordinates held at once.
+JOINED, WORK = 4 << 20, 8 << 20
 BITS = 22
 NORMAL = bytes(32 if b in (9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -189,7 +191,17 @@ class Matcher:
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(index of text, item id, distance, start, end) of the best placement of
-        each item in each text, ordered; offsets are bytes of the text in UTF-8."""
+        each item in each text, ordered; offsets are bytes of the text in UTF-8.
+        Texts are joined and searched in runs of about JOINED characters."""
+        out, begin, held = [], 0, 0
+        for i, t in enumerate(texts):
+            held += len(t or "")
+            if held >= JOINED or i == len(texts) - 1:
+                out += [(begin + d, *v) for d, *v in self._find(texts[begin: i + 1])]
+                begin, held = i + 1, 0
+        return out
+
+    def _find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         raw = [normal(t) for t in texts]
         starts = np.cumsum([0, *(len(r) + 1 for r in raw)])
         buf = b"\0".join(raw) + b"\0" * 9
@@ -210,11 +222,15 @@ class Matcher:
             return []
         data = np.frombuffer(buf, np.uint8)
         candidate = self.always[item]
-        for at in range(0, len(item), 8192):
-            part = slice(at, at + 8192)
+        walked, met = (max(1, min(8192, WORK // n)) for n in (self.steps, 8 * SAMPLED * self.signatures))
+        for at in range(0, len(item), walked):
+            part = slice(at, at + walked)
             for walk, coords, marks in zip(self.walks, self.coords, self.marks):
-                got = self._sample(self._walk(walk, data, begin[part], stop[part] - begin[part]), item[part], coords)
-                candidate[part] |= (got == marks[item[part]]).all(axis=2).any(axis=1)
+                embedded = self._walk(walk, data, begin[part], stop[part] - begin[part])
+                for a in range(0, embedded.shape[1], met):
+                    which = item[part][a: a + met]
+                    got = self._sample(embedded[:, a: a + met], which, coords)
+                    candidate[at + a: at + a + len(which)] |= (got == marks[which]).all(axis=2).any(axis=1)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for k, d, b, s, low, high in zip(*(x[candidate].tolist() for x in (item, doc, begin, stop, lo, hi))):
             t, e = self.texts[k], self.edits[k]
