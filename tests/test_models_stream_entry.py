@@ -200,3 +200,57 @@ def test_fits_read_parts_of_one_size(spark, monkeypatch):
     even = models.even_rows(rows)
     parts = [len(p) for p in even.rdd.glom().collect()]
     assert sum(parts) == 40000 and max(parts) <= 3 * sum(parts) / len(parts) and even.distinct().count() == 40000
+
+
+def _two_classes(spark, n=6000):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.normal(size=n).round(1), "c": rng.integers(0, 2, n).astype(float),
+                        "d": rng.exponential(size=n) * (rng.random(n) < 0.5)})
+    pdf["y"] = (pdf.a * pdf.b + 0.5 * pdf.d - 0.3 * pdf.c + 0.5 * rng.normal(size=n) > 0.4).astype(int)
+    pdf["w"] = np.where(pdf.y == 1, 1.7, 0.6)
+    return materialize(spark.createDataFrame(pdf).coalesce(1))
+
+
+def test_block_forest_splits_as_spark_ml(spark):
+    """Without a bootstrap and with all features per node nothing is drawn: both give the same tree."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from tripwire.operators import forest
+    df = _two_classes(spark)
+    vec = models.fit_input(df.withColumn("y", F.col("y").cast("double")), list("abcd"), ["y", "w"])
+    for depth in (3, 10):
+        want = RandomForestClassifier(featuresCol="_features", labelCol="y", weightCol="w", numTrees=1, maxDepth=depth,
+                                      featureSubsetStrategy="all", bootstrap=False).fit(vec)
+        got = forest.fit_blocks(df, list("abcd"), "y", 6000, (0.6, 1.7), 1, depth, subset=4, bootstrap=False)
+        a, b = (models.positive_proba(m, df, list("abcd")).select("a", "proba", "pred").orderBy("a").toPandas() for m in (want, got))
+        np.testing.assert_allclose(b.proba, a.proba, atol=1e-12)
+        assert (a.pred == b.pred).all()
+
+
+def test_large_forest_keeps_nothing_per_row_and_tree(spark, monkeypatch):
+    """Before, rows x trees counts and node ids were held for the whole fit, or all trees walked by Spark ML."""
+    from tripwire.operators import forest
+    df = _two_classes(spark)
+    want = models.positive_proba(models.fit_random_forest(df, list("abcd"), "y", 20, 6, weight_col="w"), df, list("abcd"))
+    monkeypatch.setattr(models, "EVEN_ROWS", 1000)
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 300)
+    model = models.fit_random_forest(df, list("abcd"), "y", 20, 6, weight_col="w")
+    assert isinstance(model, forest.BlockForest) and model.feature.shape == (20, 64) and len({r.tobytes() for r in model.cut}) == 20
+    got = models.positive_proba(model, df, list("abcd"))
+    right = lambda s: s.agg(F.avg((F.col("pred") == F.col("y")).cast("int"))).first()[0]
+    assert abs(right(got) - right(want)) < 0.03
+    both = got.select("a", "proba").join(want.select("a", F.col("proba").alias("q")), "a")
+    assert both.select(F.corr("proba", "q")).first()[0] > 0.95
+    again = models.positive_proba(models.fit_random_forest(df, list("abcd"), "y", 20, 6, weight_col="w"), df, list("abcd"))
+    assert again.select("a", "proba").exceptAll(got.select("a", "proba")).count() == 0
+    # three classes, or two weights of a class: Spark ML
+    assert models.class_sizes(df.withColumn("y", F.col("y") + (F.col("a") > 1).cast("int")), "y") is None
+    assert models.class_sizes(df.withColumn("w", F.col("a")), "y", "w") is None
+    assert models.class_sizes(df, "y", "w") == (6000, (0.6, 1.7))
+
+
+def test_bootstrap_draws_are_poisson():
+    from tripwire.operators import forest
+    k = forest.poisson(np.random.default_rng(0), 1 << 20)
+    want = np.exp(-1) / np.cumprod([1, 1, 2, 3, 4, 5])
+    np.testing.assert_allclose(np.bincount(k)[:6] / len(k), want, atol=0.002)
+    assert k.max() < 12
