@@ -254,3 +254,23 @@ def test_bootstrap_draws_are_poisson():
     want = np.exp(-1) / np.cumprod([1, 1, 2, 3, 4, 5])
     np.testing.assert_allclose(np.bincount(k)[:6] / len(k), want, atol=0.002)
     assert k.max() < 12
+
+
+def test_ledger_of_one_file_is_dealt_evenly(spark, tmp_path, monkeypatch):
+    """Before, every step over the ledger had as many tasks as the orders file had row groups."""
+    import datetime
+    from tripwire.sources import fixtures
+    n = 4000
+    day = [datetime.datetime(1995, 1, 1) + datetime.timedelta(days=i % 700) for i in range(n)]
+    orders = pd.DataFrame({"o_orderkey": range(n), "o_custkey": [i % 50 for i in range(n)], "o_orderstatus": ["FOP"[i % 3] for i in range(n)],
+                           "o_totalprice": [100.0 + i for i in range(n)], "o_orderdate": day, "o_orderpriority": [fixtures.PRIORITY_TYPE[i % 4][0] for i in range(n)]})
+    tables = {"orders": orders, "customer": pd.DataFrame({"c_custkey": range(50), "c_acctbal": [10.0 * i for i in range(50)]}),
+              "events": pd.DataFrame({"event_id": range(10), "user_id": [1] * 10, "ts": day[:10]})}
+    for name, pdf in tables.items():
+        spark.createDataFrame(pdf).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(models, "EVEN_ROWS", 1000)
+    v = fixtures.Views(spark, str(tmp_path))
+    parts = [len(p) for p in v.ledger.rdd.glom().collect()]
+    assert sum(parts) == n and max(parts) <= 1.5 * n / spark.sparkContext.defaultParallelism
+    assert v.ledger.exceptAll(fixtures.ledger(spark, str(tmp_path))).count() == 0
+    assert models.even_rows(v.ledger) is v.ledger       # even rows are not written again
